@@ -811,17 +811,17 @@ def forecast_ci(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def compare_models(spark: SparkSession, folder: str) -> DataFrame:
-    rows = ready(spark, folder)
-    folded = split.label_folds(rows, TS, folds_of(rows))
-    return training.trials_table(spark, training.compare_models(folded, FEATURES, Y, ("linear", "elasticnet", "tree", "forest")))
+    rows = materialize(ready(spark, folder).select(TS, Y, *FEATURES), "compare")
+    families = ("linear", "elasticnet", "tree", "forest")
+    return training.trials_table(spark, training.compare_models(rows, TS, folds_of(rows), FEATURES, Y, families))
 
 
 @query
 def tune_model(spark: SparkSession, folder: str) -> DataFrame:
-    rows = ready(spark, folder)
-    folded = materialize(split.label_folds(rows, TS, folds_of(rows)), "tuning")
-    base = training.compare_models(folded, FEATURES, Y, ("tree",))[0]
-    return training.trials_table(spark, [base, training.tune_model(folded, FEATURES, Y, base, iterations=2)])
+    rows = materialize(ready(spark, folder).select(TS, Y, *FEATURES), "tune")
+    folds = folds_of(rows)
+    base = training.compare_models(rows, TS, folds, FEATURES, Y, ("tree",))[0]
+    return training.trials_table(spark, [base, training.tune_model(rows, TS, folds, FEATURES, Y, base, iterations=3)])
 
 
 @query
@@ -853,11 +853,7 @@ def backtest_rf(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _slot_models(features: DataFrame) -> list[training.SlotModel]:
-    def folds(df: DataFrame) -> DataFrame:
-        return split.label_folds(df, "t_slot", split.fold_cuts(df, "t_slot", n_splits=2))
-
-    found = [training.train_slot(features, s, folds, ("ridge", "tree")) for s in slots.DEFAULT_SLOTS]
-    return [m for m in found if m]
+    return training.train_slots(features, slots.DEFAULT_SLOTS, n_splits=2, families=("ridge", "tree"))
 
 
 @query

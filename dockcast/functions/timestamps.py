@@ -53,6 +53,11 @@ def add_minutes(ts: Column, minutes: Column | int) -> Column:
     return ts + F.make_dt_interval(F.lit(0), F.lit(0), m.cast("int"))
 
 
+def minutes(count: float) -> Column:
+    """A duration."""
+    return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(count * 60).cast("decimal(18,6)"))
+
+
 def utc_wall_clock(zoned: Column) -> Column:
     """UTC wall clock of a TIMESTAMP (zoned) column, from its absolute microseconds."""
     return from_micros(F.unix_micros(zoned))

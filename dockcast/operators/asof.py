@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from dockcast.functions.timestamps import minutes
 from dockcast.operators.segments import CUTS, SEGMENT, Segments, plan_segments
 
 _AT, _PROBE, _LEFT, _MATCH, _TIES = "_at", "_probe", "_left", "_match", "_ties"
@@ -58,8 +59,7 @@ def asof_join(
     history = segments.window(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     matched = rows.withColumn(_MATCH, F.last(_MATCH, ignorenulls=True).over(history)).where(F.col(_PROBE) == 1)
     if tolerance_minutes is not None:
-        limit = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(tolerance_minutes * 60).cast("decimal(18,6)"))
-        fresh = F.col(_AT) - F.col(f"{_MATCH}.{right_on}") <= limit
+        fresh = F.col(_AT) - F.col(f"{_MATCH}.{right_on}") <= minutes(tolerance_minutes)
         matched = matched.withColumn(_MATCH, F.when(fresh, F.col(_MATCH)))
     return matched.select(key, f"{_LEFT}.*", *[F.col(f"{_MATCH}.{c}").alias(c) for c in payload])
 

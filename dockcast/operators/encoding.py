@@ -161,14 +161,14 @@ def leak_guard(df: DataFrame, y: str, columns: Sequence[str]) -> DataFrame:
     """
     target = F.col(y).cast("double")
     filled = F.coalesce(target, F.lit(0.0))
+    spread = F.stddev_pop(filled)
     stats = []
     for c in columns:
         x = F.coalesce(F.col(c).cast("double"), F.lit(0.0))
-        spread = F.stddev_pop(x) * F.stddev_pop(filled)
         stats.append(
             F.struct(
                 F.bool_and(x.eqNullSafe(target)).alias("is_equal"),
-                F.try_divide(F.covar_pop(x, filled), spread).alias("corr"),
+                F.try_divide(F.covar_pop(x, filled), F.stddev_pop(x) * spread).alias("corr"),
             ).alias(c)
         )
     wide = _transpose(df.agg(*stats), columns, "s").select("feature", "s.*")

@@ -27,25 +27,27 @@ def with_history(
     add: Callable[[DataFrame, WindowSpec], DataFrame],
     tie: Sequence[str] = (),
     target_rows: int | None = None,
+    copies: bool = False,
 ) -> DataFrame:
     """Add columns that look at most `lookback` rows back in each key's time order.
 
-    With `tie` the rows are first made unique per (key, time); without it they must be. All rows are
-    shuffled once, by key or by (key, segment) for keys too large for one task, and one sort serves
+    With `tie` the rows are first made unique per (key, time), or with `copies` kept and put in tie
+    order; without `tie` they must be unique. All rows are shuffled once, by key or by (key, segment) for keys too large for one task, and one sort serves
     both the dedup and the windows. `reads` names the columns that `add` looks back on.
     """
     segments = plan_segments(df, key, ts, target_rows)
-    if tie and segments.heavy_ties:
-        df, tie = dedup_pk(df, key, ts, tie), ()
+    unique = bool(tie) and not copies
+    if unique and segments.heavy_ties:
+        df, tie, unique = dedup_pk(df, key, ts, tie), (), False
     rows = segments.tag(df)
     if segments.active:
-        borrowed = rows_before(rows, segments, reads, lookback, tie).withColumn(BORROWED, F.lit(True))
+        borrowed = rows_before(rows, segments, reads, lookback, tie, copies).withColumn(BORROWED, F.lit(True))
         rows = rows.withColumn(BORROWED, F.lit(False)).unionByName(borrowed, allowMissingColumns=True)
     rows = rows.repartition(*segments.partition_columns)
-    if tie:
+    if unique:
         first = Window.partitionBy(*segments.partition_columns, ts).orderBy(*tie)
         rows = rows.withColumn("_rn", F.row_number().over(first)).where("_rn = 1").drop("_rn")
-    out = add(rows, segments.window([F.col(ts)]))
+    out = add(rows, segments.window([F.col(c) for c in ([ts, *tie] if copies else [ts])]))
     return out.where(~F.col(BORROWED)).drop(BORROWED, SEGMENT) if segments.active else out
 
 
@@ -95,6 +97,7 @@ def add_slot_history(
     widths: Sequence[int] = (3, 6, 12),
     tie: Sequence[str] = (),
     target_rows: int | None = None,
+    copies: bool = False,
 ) -> DataFrame:
     """Lags, running means and the first difference, as the slot model sees them on each observation."""
 
@@ -102,7 +105,7 @@ def add_slot_history(
         means = {f"y_ma{n}": running_mean(y, w, n) for n in widths}
         return d.withColumns({**lag_columns(y, w, max_lag), **means, "y_diff1": F.col(y) - F.lag(y, 1).over(w)})
 
-    return with_history(df, key, ts, [y], max(max_lag, *widths), add, tie, target_rows)
+    return with_history(df, key, ts, [y], max(max_lag, *widths), add, tie, target_rows, copies)
 
 
 def latest_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from dockcast.functions.timestamps import MICROS_PER_MINUTE, lit_ts, micros
 from dockcast.operators.history import with_history
 from dockcast.operators.segments import numeric_cuts, range_part
+from dockcast.session import materialize
 
 ONE_TASK_ROWS = 1_000_000
 PART_ROWS = 500_000
@@ -103,20 +105,24 @@ def interarrival_mode_per_station(df: DataFrame, key: str, ts: str, tie: Sequenc
 
 def hours_coverage(df: DataFrame, ts: str) -> DataFrame:
     """Number of days, and the median over days of the first and of the last observed hour."""
-    days = df.where(F.col(ts).isNotNull()).groupBy(F.to_date(ts).alias("day")).agg(F.min(ts).alias("low"), F.max(ts).alias("high"))
-    return days.agg(
+    return _per_day(df, ts).agg(
         F.count(F.lit(1)).alias("n_days"),
         F.median(F.hour("low")).alias("hours_min"),
         F.median(F.hour("high")).alias("hours_max"),
     )
 
 
+def _per_day(df: DataFrame, ts: str) -> DataFrame:
+    known = df.where(F.col(ts).isNotNull())
+    return known.groupBy(F.to_date(ts).alias("day")).agg(F.min(ts).alias("low"), F.max(ts).alias("high"))
+
+
 def time_profile(df: DataFrame, ts: str) -> DataFrame:
     """Rows, days, usual gap and usual hours, with a flag per expectation that the feed misses; one row."""
-    rows = df.agg(F.count(F.lit(1)).alias("n_rows"))
-    profile = rows.join(F.broadcast(hours_coverage(df, ts)), F.lit(True)).join(
-        F.broadcast(interarrival_mode(df, ts)), F.lit(True)
-    )
+    figures = ["n_rows", "n_days", "hours_min", "hours_max", "freq_minutes_mode"]
+    parts = [df.agg(F.count(F.lit(1)).alias("n_rows")), hours_coverage(df, ts), interarrival_mode(df, ts)]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    profile = rows.agg(*[F.max(c).alias(c) for c in figures])
     mode = F.col("freq_minutes_mode")
     return profile.withColumns(
         {
@@ -141,34 +147,30 @@ def ks_drift(df: DataFrame, ts: str, feature: str, first_cut: datetime, last_cut
     """
     early, late = drift_windows(F.col(ts), first_cut, last_cut)
     known = df.where(F.col(feature).isNotNull() & (early | late))
-    values = known.groupBy(F.col(feature).cast("double").alias("v")).agg(
-        F.count_if(early).alias("a"), F.count_if(late).alias("b")
-    )
-    running = running_total(values, "v", ["a", "b"], sequence_cuts(values, "v", df.count()), "double")
-    sizes = values.agg(F.sum("a").alias("n_early"), F.sum("b").alias("n_late"))
-    # sizes is one row of two numbers
-    distance = F.abs(F.col("cum_a") / F.col("n_early") - F.col("cum_b") / F.col("n_late"))
-    usable = (F.col("n_early") > MIN_SAMPLE) & (F.col("n_late") > MIN_SAMPLE)
-    stat = (
-        running.join(F.broadcast(sizes.where(usable)), F.lit(True))
-        .groupBy("n_early", "n_late")
-        .agg(F.max(distance).alias("ks_stat"))
-    )
-    return stat.select(
-        F.lit(feature).alias("feature"), "n_early", "n_late", "ks_stat", ks_pvalue(F.col("ks_stat"), F.col("n_early"), F.col("n_late")).alias("pvalue")
+    values = materialize(
+        known.groupBy(F.col(feature).cast("double").alias("v")).agg(F.count_if(early).alias("a"), F.count_if(late).alias("b")),
+        "values",
     )
+    running = running_total(values, "v", ["a", "b"], sequence_cuts(values, "v", values.count()), "double")
+    n1, n2 = (n or 0 for n in values.agg(F.sum("a"), F.sum("b")).first())
+    distance = F.abs(F.col("cum_a") / F.lit(float(n1 or 1)) - F.col("cum_b") / F.lit(float(n2 or 1)))
+    stat = running.agg(F.max(distance).alias("ks_stat"))
+    sizes = [F.lit(n).cast("bigint").alias(name) for n, name in ((n1, "n_early"), (n2, "n_late"))]
+    report = stat.select(F.lit(feature).alias("feature"), *sizes, "ks_stat")
+    report = report.withColumn("pvalue", ks_pvalue(F.col("ks_stat"), F.col("n_early"), F.col("n_late")))
+    return report.where((F.col("n_early") > MIN_SAMPLE) & (F.col("n_late") > MIN_SAMPLE))
 
 
 def ks_pvalue(stat: Column, n1: Column, n2: Column) -> Column:
     """Asymptotic two-sided p-value: 2 * sum of (-1)^(k-1) * exp(-2 k^2 lambda^2), held in [0, 1]."""
-    lam2 = stat * stat * (n1.cast("double") * n2.cast("double") / (n1 + n2))
+    lam2 = stat * stat * F.try_divide(n1.cast("double") * n2.cast("double"), n1 + n2)
     terms = F.sequence(F.lit(1), F.lit(SERIES_TERMS))
     total = F.aggregate(
         terms,
         F.lit(0.0),
         lambda acc, k: acc + F.when(k % 2 == 1, 1.0).otherwise(-1.0) * F.exp(F.lit(-2.0) * k * k * lam2),
     )
-    return F.when(lam2 < 0.04, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2 * total)))
+    return F.when((lam2 < 0.04) | lam2.isNull(), F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2 * total)))
 
 
 def monitoring(df: DataFrame, key: str, ts: str, y: str, feature: str, first_cut: datetime, last_cut: datetime) -> DataFrame:

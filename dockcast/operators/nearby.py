@@ -82,7 +82,8 @@ def nearest_station(points: DataFrame, stations: DataFrame, point_key: str, key:
         F.col("flat").isNotNull() & F.col("flon").isNotNull()
     )
     if sites.isEmpty():
-        return _best_site(left.join(sites, F.lit(False)), point_key, key)
+        absent = F.lit(None).cast("double").alias("distance_m")
+        return left.select(point_key, F.lit(None).cast(stations.schema[key].dataType).alias(key), absent).limit(0)
     radius, rounds = FIRST_RADIUS_M, []
     while True:
         found = materialize(_best_site(_reachable(left, sites, radius), point_key, key), "nearest")
@@ -104,8 +105,6 @@ def _reachable(left: DataFrame, sites: DataFrame, radius_m: float) -> DataFrame:
 
 
 def _best_site(pairs: DataFrame, point_key: str, key: str) -> DataFrame:
-    if "distance_m" not in pairs.columns:
-        pairs = pairs.withColumn("distance_m", F.lit(None).cast("double"))
     best = F.min_by(F.struct(key, "distance_m"), F.struct(F.round("distance_m", 3), key))
     return pairs.groupBy(point_key).agg(best.alias("_best")).select(point_key, "_best.*")
 

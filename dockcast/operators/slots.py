@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockcast.functions.timestamps import MICROS_PER_DAY, MICROS_PER_MINUTE, from_micros, micros
+from dockcast.functions.timestamps import add_minutes
 
 # fixed values: the slots, lead and tolerance of the original jobs
 DEFAULT_SLOTS = ("09:00", "13:00", "16:00", "20:00")
@@ -30,13 +30,14 @@ def smallest_gap_minutes(slots: Sequence[str]) -> int:
 
 def next_slot(ts: Column, slots: Sequence[str], lead_minutes: int = 0) -> Column:
     """The first slot whose cut (slot minus lead) is at or after the time, as a timestamp."""
-    shifted = micros(ts) + F.lit(lead_minutes * MICROS_PER_MINUTE)
-    in_day = F.pmod(shifted, F.lit(MICROS_PER_DAY))
-    marks = [m * MICROS_PER_MINUTE for m in sorted({minute_of_day(s) for s in slots})]
-    chosen = F.lit(marks[0] + MICROS_PER_DAY)
+    shifted = add_minutes(ts, lead_minutes) if lead_minutes else ts
+    day = F.to_date(shifted)
+    marks = sorted({minute_of_day(s) for s in slots})
+    chosen = add_minutes(day.cast("timestamp_ntz"), marks[0] + 1440)
     for mark in reversed(marks):
-        chosen = F.when(in_day <= mark, F.lit(mark)).otherwise(chosen)
-    return from_micros(shifted - in_day + chosen)
+        at = add_minutes(day.cast("timestamp_ntz"), mark)
+        chosen = F.when(shifted <= at, at).otherwise(chosen)
+    return chosen
 
 
 def slot_order(label: Column, slots: Sequence[str] = DEFAULT_SLOTS) -> Column:
@@ -58,5 +59,5 @@ def slot_grid(obs: DataFrame, key: str, ts: str, slots: Sequence[str] = DEFAULT_
     days = F.sequence(F.to_date(bounds[0]), F.to_date(bounds[1]))
     labels = F.array(*[F.struct(F.lit(s).alias("slot_label"), F.lit(minute_of_day(s)).alias("minute")) for s in slots])
     grid = stations.withColumn("day", F.explode(days)).select(key, "day", F.inline(labels))
-    t_slot = F.col("day").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.col("minute"))
+    t_slot = add_minutes(F.col("day").cast("timestamp_ntz"), F.col("minute"))
     return grid.select(key, t_slot.alias("t_slot"), "slot_label").where(F.col("t_slot").between(*bounds))

@@ -5,68 +5,83 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timedelta
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockcast.functions.timestamps import lit_ts, micros
+from dockcast.functions.timestamps import lit_ts, micros, micros_of
 from dockcast.operators.typing import ContractError
 
-HISTOGRAM_BINS = 4_096
 MAX_COLLECT = 10_000
+NARROWING = (24, 60, 60, 1_000)
 
 
 class DistinctTimes:
-    """The sorted distinct times of a table, as a histogram on the driver.
+    """The sorted distinct times of a table, for exact picks by position; use it as a context.
 
-    Only bin counts and single bins of at most MAX_COLLECT values are ever collected; a larger bin
-    is split again, so picking a position takes a few narrowing passes at any scale.
+    Up to MAX_COLLECT times are simply held. More are counted per day; a pick then collects the one day
+    it falls into, narrowed again to hours, minutes, seconds and milliseconds while that is too much to
+    collect. The source table is read once: the distinct times stay cached while the context is open.
     """
 
     def __init__(self, df: DataFrame, ts: str):
-        self._times = df.where(F.col(ts).isNotNull()).select(micros(F.col(ts)).alias("us")).distinct()
-        low, high = self._times.agg(F.min("us"), F.max("us")).first()
-        self.count = 0
-        self._bins: list[tuple[int, int]] = []
-        if low is not None:
-            self._low, self._width, self._bins = self._histogram(low, high)
-            self.count = sum(n for _, n in self._bins)
-
-    def _histogram(self, low: int, high: int) -> tuple[int, int, list[tuple[int, int]]]:
-        width = max(1, (high - low) // HISTOGRAM_BINS + 1)
-        inside = self._times.where(F.col("us").between(low, high))
-        bins = inside.groupBy(F.floor((F.col("us") - low) / F.lit(width)).alias("bin")).count().collect()
-        return low, width, sorted((row["bin"], row["count"]) for row in bins)
+        self._times = df.where(F.col(ts).isNotNull()).select(F.col(ts).alias("t")).distinct()
+        self._held: list[datetime] | None = None
+
+    def __enter__(self) -> DistinctTimes:
+        self._times = self._times.persist(StorageLevel.MEMORY_AND_DISK)
+        held = self._times.limit(MAX_COLLECT + 1).collect()
+        if len(held) <= MAX_COLLECT:
+            self._held = sorted(row["t"] for row in held)
+            self.count = len(self._held)
+        else:
+            per_day = self._times.groupBy(F.to_date("t").cast("timestamp_ntz").alias("start")).count().collect()
+            self._days = sorted((row["start"], row["count"]) for row in per_day)
+            self.count = sum(n for _, n in self._days)
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self._times.unpersist()
 
     def at(self, positions: Sequence[int]) -> list[datetime]:
         """The times at 0-based positions of the sorted sequence."""
-        return [datetime(1970, 1, 1) + timedelta(microseconds=self._pick(p)) for p in positions]
+        return [self._pick(p) for p in positions]
 
-    def _pick(self, position: int) -> int:
+    def _pick(self, position: int) -> datetime:
         if not 0 <= position < self.count:
             raise IndexError(f"position {position} of {self.count} distinct times")
-        low, width, bins = self._low, self._width, self._bins
+        if self._held is not None:
+            return self._held[position]
+        counts, steps = self._days, list(NARROWING)
+        span = timedelta(days=1)
         while True:
-            for number, size in bins:
+            for start, size in counts:
                 if position < size:
                     break
                 position -= size
-            start = low + number * width
-            if width == 1:
-                return start
-            if size <= MAX_COLLECT:
-                inside = self._times.where(F.col("us").between(start, start + width - 1))
-                return sorted(row["us"] for row in inside.collect())[position]
-            low, width, bins = self._histogram(start, start + width - 1)
+            inside = self._times.where((F.col("t") >= lit_ts(start)) & (F.col("t") < lit_ts(start + span)))
+            if size <= MAX_COLLECT or not steps:
+                return sorted(row["t"] for row in inside.collect())[position]
+            parts = steps.pop(0)
+            span = span / parts
+            counts = self._even_parts(inside, start, span)
+
+    @staticmethod
+    def _even_parts(inside: DataFrame, start: datetime, span: timedelta) -> list[tuple[datetime, int]]:
+        width = span // timedelta(microseconds=1)
+        part = F.floor((micros(F.col("t")) - F.lit(micros_of(start))) / F.lit(width)).alias("part")
+        rows = inside.groupBy(part).count().collect()
+        return sorted((start + row["part"] * span, row["count"]) for row in rows)
 
 
 def split_cuts(df: DataFrame, ts: str, p_train: float = 0.70, p_val: float = 0.15) -> tuple[datetime, datetime]:
     """The last training and the last validation time. Positions are truncated binary fractions of the distinct times."""
     if not (0 < p_train < 1 and 0 < p_val < 1 and p_train + p_val < 1):
         raise ValueError("p_train and p_val must be in (0, 1) and leave room for a test part")
-    times = DistinctTimes(df, ts)
-    if times.count < 3:
-        raise ContractError("fewer than three distinct times")
-    first, second = times.at([int(times.count * p_train), int(times.count * (p_train + p_val))])
+    with DistinctTimes(df, ts) as times:
+        if times.count < 3:
+            raise ContractError("fewer than three distinct times")
+        first, second = times.at([int(times.count * p_train), int(times.count * (p_train + p_val))])
     return first, second
 
 
@@ -96,19 +111,18 @@ def fold_cuts(
     df: DataFrame, ts: str, n_splits: int = 3, p_train_start: float = 0.50, p_train_end: float = 0.75, p_val: float = 0.15
 ) -> list[tuple[int, datetime, datetime]]:
     """(fold, last training time, last validation time) of an expanding window; folds without validation times are left out."""
-    times = DistinctTimes(df, ts)
-    if not times.count:
-        return []
     span = (p_train_end - p_train_start) / (n_splits - 1) if n_splits > 1 else 0.0
     shares = [p_train_start + i * span for i in range(n_splits)]
     if n_splits > 1:
         shares[-1] = p_train_end
-    last = times.count - 1
     folds = []
-    for number, share in enumerate(shares, start=1):
-        train_end, val_end = times.at([min(last, int(times.count * share)), min(last, int(times.count * (share + p_val)))])
-        if val_end > train_end:
-            folds.append((number, train_end, val_end))
+    with DistinctTimes(df, ts) as times:
+        last = times.count - 1
+        for number, share in enumerate(shares if times.count else [], start=1):
+            ends = [min(last, int(times.count * share)), min(last, int(times.count * (share + p_val)))]
+            train_end, val_end = times.at(ends)
+            if val_end > train_end:
+                folds.append((number, train_end, val_end))
     return folds
 
 

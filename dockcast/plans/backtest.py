@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dockcast.functions.timestamps import lit_ts
 from dockcast.operators.metrics import mape, persistence, regression_metrics
 from dockcast.operators.split import label_folds
-from dockcast.plans.training import build_estimator, fit
+from dockcast.plans.training import Folds, build_estimator, fit, fold_parts, in_parallel
 from dockcast.session import materialize
 
 SAMPLE_ROWS = 50
-Folds = Sequence[tuple[int, datetime, datetime]]
 
 
 def fold_report(folded: DataFrame) -> DataFrame:
@@ -36,16 +37,14 @@ def model_backtest(
 ) -> DataFrame:
     """Validation rows of every fold with the forecast of the model fitted on that fold's past."""
     rows = materialize(df, "backtest")
-    at, scored = F.col(ts), []
-    for number, train_end, val_end in folds:
-        cut, end = (F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz") for t in (train_end, val_end))
-        model = fit(rows.where(at <= cut), features, y, build_estimator(family, params))
-        part = model.transform(rows.where((at > cut) & (at <= end)))
-        scored.append(part.withColumns({"fold": F.lit(number), "train_end": cut, "val_end": end}).drop("features"))
-    out = scored[0]
-    for part in scored[1:]:
-        out = out.unionByName(part)
-    return out
+
+    def score(fold: tuple[int, datetime, datetime]) -> DataFrame:
+        number, train_end, val_end = fold
+        past, after = fold_parts(rows, ts, train_end, val_end)
+        part = fit(past, features, y, build_estimator(family, params)).transform(after).drop("features")
+        return part.withColumns({"fold": F.lit(number), "train_end": lit_ts(train_end), "val_end": lit_ts(val_end)})
+
+    return reduce(lambda a, b: a.unionByName(b), in_parallel(score, folds))
 
 
 def backtest_summary(scored: DataFrame, y: str) -> DataFrame:

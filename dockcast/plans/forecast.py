@@ -13,6 +13,7 @@ from dockcast.functions.calendar import calendar_of, cyclic
 from dockcast.functions.timestamps import lit_ts
 from dockcast.functions.values import clip
 from dockcast.operators.history import latest_per_key
+from dockcast.operators.quantiles import grouped_quantiles
 from dockcast.operators.typing import ContractError
 
 # fixed values: horizons in steps, and the step, of the original job
@@ -147,15 +148,15 @@ def horizon_summary(forecast: DataFrame) -> DataFrame:
 
 def horizon_describe(forecast: DataFrame) -> DataFrame:
     """Count, mean, sample deviation, quartiles and range per horizon."""
-    quartiles = [F.percentile("yhat", q).alias(name) for name, q in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))]
-    return forecast.groupBy("h").agg(
+    rest = forecast.groupBy("h").agg(
         F.count("yhat").alias("count"),
         F.avg("yhat").alias("mean"),
         F.stddev_samp("yhat").alias("std"),
         F.min("yhat").alias("min"),
-        *quartiles,
         F.max("yhat").alias("max"),
     )
+    quartiles = grouped_quantiles(forecast, "h", "yhat", (0.25, 0.5, 0.75), ("p25", "p50", "p75"))
+    return rest.join(quartiles, "h").select("h", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def horizon_invariance(forecast: DataFrame) -> DataFrame:

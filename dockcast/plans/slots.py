@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockcast.functions.calendar import calendar_columns
-from dockcast.functions.timestamps import add_minutes
+from dockcast.functions.timestamps import add_minutes, minutes
 from dockcast.functions.values import to_numeric
 from dockcast.operators.asof import asof_join
 from dockcast.operators.history import add_slot_history
+from dockcast.operators.segments import TARGET_ROWS
 from dockcast.operators.slots import (
     DEFAULT_LEAD_MINUTES,
     DEFAULT_SLOTS,
@@ -60,7 +61,7 @@ def slot_targets(
 
 
 def _asof_on_grid(grid: DataFrame, obs: DataFrame, slots: Sequence[str], tolerance_minutes: float, tie: Sequence[str]) -> DataFrame:
-    limit = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(tolerance_minutes * 60).cast("decimal(18,6)"))
+    limit = minutes(tolerance_minutes)
     served = obs.withColumn("t_slot", next_slot(F.col("ts"), slots))
     own_slot_only = tolerance_minutes < smallest_gap_minutes(slots)
     if own_slot_only:
@@ -94,8 +95,37 @@ def slot_features(
 ) -> DataFrame:
     """Features of each slot from the history up to slot minus lead, for slots on the daily grid with one lead.
 
-    Only the newest rows per station and slot can matter, so those are kept before the shuffle instead
-    of computing windows over the whole feed; the as-of step then runs on that small table.
+    A large, dense feed is reduced to the newest rows per slot before any shuffle. A small or sparse
+    one has little to reduce and goes through plain windows.
+    """
+    if _is_dense(obs, slots, lead_minutes, max(max_lag + 1, *widths)):
+        return slot_features_reduced(targets, obs, slots, lead_minutes, max_lag, widths, tie, max_age_minutes)
+    return slot_features_any(targets, obs, max_lag, widths, tie, max_age_minutes)
+
+
+def _is_dense(obs: DataFrame, slots: Sequence[str], lead_minutes: int, depth: int) -> bool:
+    """Whether a table too large for one task holds more rows per station and slot than a slot can use."""
+    rows = obs.count()
+    if rows <= TARGET_ROWS:
+        return False
+    served = F.approx_count_distinct(F.struct("station_id", next_slot(F.col("ts"), slots, lead_minutes)))
+    return rows > depth * obs.agg(served).first()[0]
+
+
+def slot_features_reduced(
+    targets: DataFrame,
+    obs: DataFrame,
+    slots: Sequence[str] = DEFAULT_SLOTS,
+    lead_minutes: int = DEFAULT_LEAD_MINUTES,
+    max_lag: int = 12,
+    widths: Sequence[int] = (3, 6, 12),
+    tie: Sequence[str] = (),
+    max_age_minutes: float | None = None,
+) -> DataFrame:
+    """Slot features from the newest rows per station and slot, which is all that can matter.
+
+    Those rows are picked before the shuffle instead of computing windows over the whole feed; the
+    as-of step then runs on that small table.
     """
     depth = max(max_lag + 1, *widths)
     at_cut = obs.withColumn("cut_slot", next_slot(F.col("ts"), slots, lead_minutes))
@@ -107,15 +137,12 @@ def slot_features(
         .agg(F.sort_array(F.collect_list(F.struct((-F.col("_rank")).alias("position"), "ts", "y"))).alias("_own"))
     )
     by_cut = Window.partitionBy("station_id").orderBy("cut_slot").rowsBetween(1 - depth, 0)
-    recent = F.transform(F.flatten(F.collect_list("_own").over(by_cut)), lambda row: F.struct(row["ts"].alias("ts"), row["y"].alias("y")))
-    history = kept.withColumn("_recent", recent).select(
+    history = kept.withColumn("_recent", F.flatten(F.collect_list("_own").over(by_cut))).select(
         "station_id", "cut_slot", F.slice("_recent", F.greatest(F.size("_recent") - depth + 1, F.lit(1)), depth).alias("_recent")
     )
     matched = asof_join(targets, history, "station_id", "t_slot", "cut_slot", bounded=True)
     if max_age_minutes is not None:
-        cut = add_minutes(F.col("t_slot"), -lead_minutes)
-        limit = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(max_age_minutes * 60).cast("decimal(18,6)"))
-        fresh = cut - F.element_at("_recent", -1)["ts"] <= limit
+        fresh = add_minutes(F.col("t_slot"), -lead_minutes) - F.element_at("_recent", -1)["ts"] <= minutes(max_age_minutes)
         matched = matched.withColumn("_recent", F.when(fresh, F.col("_recent")))
     values = F.col("_recent.y")
     columns = {"y_hist_at_cut": _back(values, 0)}
@@ -130,13 +157,17 @@ def slot_features_any(
     obs: DataFrame,
     max_lag: int = 12,
     widths: Sequence[int] = (3, 6, 12),
+    tie: Sequence[str] = (),
+    max_age_minutes: float | None = None,
     target_rows: int | None = None,
 ) -> DataFrame:
-    """The same features for any slot times and a lead per row: windows over the feed, then an as-of join at the cut."""
-    history = add_slot_history(obs, "station_id", "ts", "y", max_lag, widths, target_rows=target_rows)
-    history = history.withColumnRenamed("y", "y_hist_at_cut").select("station_id", "ts", *feature_names(max_lag, widths))
+    """Slot features for any slot times and a lead per row: windows over the feed, then an as-of join at the cut."""
+    history = add_slot_history(obs, "station_id", "ts", "y", max_lag, widths, tie, target_rows, copies=True)
+    names = feature_names(max_lag, widths)
+    history = history.withColumnRenamed("y", "y_hist_at_cut").select("station_id", "ts", *names, *tie)
     probes = targets.withColumn("t_cut", add_minutes(F.col("t_slot"), -F.col("lead_minutes")))
-    return _finish(asof_join(probes, history, "station_id", "t_cut", "ts", target_rows=target_rows), max_lag, widths)
+    matched = asof_join(probes, history, "station_id", "t_cut", "ts", tie, max_age_minutes, target_rows=target_rows)
+    return _finish(matched, max_lag, widths)
 
 
 def _back(values: Column, k: int) -> Column:

@@ -6,11 +6,14 @@ import random
 import re
 import time
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from datetime import datetime
 from typing import Any
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -19,12 +22,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dockcast.functions.timestamps import lit_ts
 from dockcast.functions.values import clip
 from dockcast.operators.encoding import kept_features, numeric_columns, screen_features
 from dockcast.operators.metrics import metrics_by, regression_metrics
+from dockcast.operators.split import fold_cuts
 from dockcast.operators.typing import ContractError
 from dockcast.session import materialize
 
+Folds = Sequence[tuple[int, datetime, datetime]]
+
 # fixed values: sizes of the original jobs
 DEFAULT_TREES = 300
 DEFAULT_SEED = 42
@@ -32,6 +39,7 @@ DEFAULT_BUDGET_SECONDS = 600
 DEFAULT_TUNE_ITERATIONS = 50
 MIN_SLOT_ROWS = 100
 MAX_TREE_DEPTH = 30
+PARALLEL_FITS = 4
 INTERVAL_Z = 1.96
 SLOT_NON_FEATURES = ("station_id", "t_slot", "slot_label", "generated_from", "y")
 
@@ -178,24 +186,43 @@ def trials_table(spark: SparkSession, trials: Sequence[Trial]) -> DataFrame:
     return spark.createDataFrame(rows, METRIC_SCHEMA)
 
 
-def _mean_over_folds(folded: DataFrame, features: Sequence[str], label: str, family: str, params: Mapping[str, Any], seed: int) -> Trial:
+def in_parallel(work: Callable[[Any], Any], items: Sequence[Any], width: int = PARALLEL_FITS) -> list[Any]:
+    """Run independent driver-side fits side by side, so that the cluster is not idle between their small jobs."""
+    with ThreadPoolExecutor(max_workers=max(1, min(width, len(items)))) as pool:
+        return list(pool.map(inheritable_thread_target(work), items))
+
+
+def _mean_over_folds(
+    rows: DataFrame, ts: str, folds: Folds, features: Sequence[str], label: str, family: str, params: Mapping[str, Any], seed: int
+) -> Trial:
     """Fit on each fold's past, score on what follows it, and average the folds."""
-    folds = sorted(row["fold"] for row in folded.select("fold").distinct().collect())
     scores = []
-    for fold in folds:
-        rows = folded.where(F.col("fold") == fold)
-        model = fit(rows.where("part = 'train'"), features, label, build_estimator(family, params, seed))
-        scores.append(evaluate(model, rows.where("part = 'val'"), label).first())
+    for _, train_end, val_end in folds:
+        past, after = fold_parts(rows, ts, train_end, val_end)
+        model = fit(past, features, label, build_estimator(family, params, seed))
+        scores.append(evaluate(model, after, label).first())
     rmse, mae, r2 = (float(np.mean([s[m] for s in scores])) for m in ("rmse", "mae", "r2"))
     return Trial(family, dict(params), rmse, mae, r2)
 
 
+def fold_parts(rows: DataFrame, ts: str, train_end: datetime, val_end: datetime) -> tuple[DataFrame, DataFrame]:
+    """Rows up to the cut, and the validation rows after it; plain time filters on one stored table."""
+    at, cut = F.col(ts), lit_ts(train_end)
+    return rows.where(at <= cut), rows.where((at > cut) & (at <= lit_ts(val_end)))
+
+
 def compare_models(
-    folded: DataFrame, features: Sequence[str], label: str, families: Sequence[str] = tuple(_FAMILIES), metric: str = "rmse", seed: int = DEFAULT_SEED
+    rows: DataFrame,
+    ts: str,
+    folds: Folds,
+    features: Sequence[str],
+    label: str,
+    families: Sequence[str] = tuple(_FAMILIES),
+    metric: str = "rmse",
+    seed: int = DEFAULT_SEED,
 ) -> list[Trial]:
-    """Every family on the expanding folds, best first. `folded` is written once and read by all fits."""
-    rows = materialize(folded.select("fold", "part", *features, label), "folds")
-    trials = [_mean_over_folds(rows, features, label, family, {}, seed) for family in families]
+    """Every family on the expanding folds, best first. `rows` should be a stored table: all fits read it."""
+    trials = in_parallel(lambda family: _mean_over_folds(rows, ts, folds, features, label, family, {}, seed), families)
     return sorted(trials, key=lambda t: -t.r2 if metric == "r2" else getattr(t, metric))
 
 
@@ -204,15 +231,23 @@ def sample_params(family: str, rng: random.Random) -> dict[str, float]:
 
 
 def tune_model(
-    folded: DataFrame, features: Sequence[str], label: str, base: Trial, iterations: int = DEFAULT_TUNE_ITERATIONS, metric: str = "rmse", seed: int = DEFAULT_SEED
+    rows: DataFrame,
+    ts: str,
+    folds: Folds,
+    features: Sequence[str],
+    label: str,
+    base: Trial,
+    iterations: int = DEFAULT_TUNE_ITERATIONS,
+    metric: str = "rmse",
+    seed: int = DEFAULT_SEED,
 ) -> Trial:
     """Random search around one family on the folds; the original stays unless something beats it."""
+    if base.family not in SEARCH_SPACE:
+        return base
     rng, best = random.Random(seed), base
-    rows = materialize(folded.select("fold", "part", *features, label), "folds")
-    for _ in range(iterations if SEARCH_SPACE.get(base.family) else 0):
-        trial = _mean_over_folds(rows, features, label, base.family, sample_params(base.family, rng), seed)
-        if trial.better_than(best, metric):
-            best = trial
+    tries = [sample_params(base.family, rng) for _ in range(iterations)]
+    for trial in in_parallel(lambda p: _mean_over_folds(rows, ts, folds, features, label, base.family, p, seed), tries):
+        best = trial if trial.better_than(best, metric) else best
     return best
 
 
@@ -265,7 +300,7 @@ class SlotModel:
 
 
 def train_slot(
-    features_table: DataFrame, slot: str, folds: Callable[[DataFrame], DataFrame], families: Sequence[str], min_rows: int = MIN_SLOT_ROWS, seed: int = DEFAULT_SEED
+    features_table: DataFrame, slot: str, n_splits: int, families: Sequence[str], min_rows: int = MIN_SLOT_ROWS, seed: int = DEFAULT_SEED
 ) -> SlotModel | None:
     """Compare families for one slot on temporal folds by mae and refit the best on all its rows; None below `min_rows`."""
     rows = features_table.where((F.col("slot_label") == slot) & F.col("y").isNotNull())
@@ -274,11 +309,20 @@ def train_slot(
     names = slot_feature_columns(rows)
     if not names:
         return None
-    filled = materialize(rows.fillna(0.0, subset=names).select("t_slot", "y", *[F.col(c).cast("double").alias(c) for c in names]), "slot")
-    trials = compare_models(folds(filled), names, "y", families, "mae", seed)
+    doubles = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in names]
+    filled = rows.select("t_slot", F.col("y").cast("double").alias("y"), *doubles)
+    trials = compare_models(filled, "t_slot", fold_cuts(filled, "t_slot", n_splits), names, "y", families, "mae", seed)
     return SlotModel(slot, names, refit(filled, names, "y", trials[0], seed), trials)
 
 
+def train_slots(
+    features_table: DataFrame, slots: Sequence[str], n_splits: int = 5, families: Sequence[str] = tuple(_FAMILIES), min_rows: int = MIN_SLOT_ROWS
+) -> list[SlotModel]:
+    """One model per slot that has enough rows. `features_table` should be a stored table."""
+    found = in_parallel(lambda slot: train_slot(features_table, slot, n_splits, families, min_rows), slots)
+    return [m for m in found if m]
+
+
 def predict_slots(features_table: DataFrame, models: Sequence[SlotModel]) -> DataFrame:
     """Score each slot's rows with its own model and exactly the features it was trained on."""
     if not models:
