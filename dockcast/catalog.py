@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from dockcast.functions import display, geo, timestamps, values
 from dockcast.functions.calendar import CALENDAR_COLUMNS, calendar_columns
-from dockcast.operators import encoding, history, leaderboard, monitor, nearby, slots, split, typing
+from dockcast.operators import contracts, encoding, history, leaderboard, monitor, nearby, slots, split
 from dockcast.operators.asof import asof_join
 from dockcast.operators.metrics import metrics_by, persistence, rounded
 from dockcast.plans import backtest, forecast, health, serving, training
@@ -202,12 +202,12 @@ def champion_manifest(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def parse_ts_drop(spark: SparkSession, folder: str) -> DataFrame:
-    return typing.parse_time(_text_times(spark, folder), TS).select("event_id", TS)
+    return contracts.parse_time(_text_times(spark, folder), TS).select("event_id", TS)
 
 
 @query
 def ts_contract(spark: SparkSession, folder: str) -> DataFrame:
-    return typing.unparsed_count(_text_times(spark, folder), TS)
+    return contracts.unparsed_count(_text_times(spark, folder), TS)
 
 
 @query
@@ -233,7 +233,7 @@ def ensure_tz(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def normalize_id(spark: SparkSession, folder: str) -> DataFrame:
     rows = status(spark, folder).select("event_id", F.col(KEY).cast("string").alias("digits"), F.col("event_type").alias("words"))
-    return typing.normalize_id(typing.normalize_id(rows, "digits"), "words")
+    return contracts.normalize_id(contracts.normalize_id(rows, "digits"), "words")
 
 
 @query
@@ -247,7 +247,7 @@ def to_numeric(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def contract_report(spark: SparkSession, folder: str) -> DataFrame:
     rows = status(spark, folder).select(F.nullif(F.col(KEY), F.lit(0)).alias(KEY), TS, (F.col(Y) - 50).alias(Y))
-    return typing.contract_report(rows, KEY, TS, Y)
+    return contracts.contract_report(rows, KEY, TS, Y)
 
 
 @query

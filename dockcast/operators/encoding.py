@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dockcast.functions.values import to_numeric
-from dockcast.operators.typing import ContractError
+from dockcast.operators.contracts import ContractError
 
 JSON_SHARE = 0.6
 MAX_JSON_KEYS = 1_000

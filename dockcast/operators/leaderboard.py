@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dockcast.operators.typing import ContractError, require_columns
+from dockcast.operators.contracts import ContractError, require_columns
 
 # fixed values: column names of the wide board and the short names of its metrics
 WIDE_METRICS = ("val_rmse", "val_mae", "val_r2", "test_rmse", "test_mae", "test_r2")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dockcast.functions.timestamps import lit_ts, micros, micros_of
-from dockcast.operators.typing import ContractError
+from dockcast.operators.contracts import ContractError
 
 MAX_COLLECT = 10_000
 NARROWING = (24, 60, 60, 1_000)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from dockcast.functions.calendar import calendar_columns
 from dockcast.operators.history import add_training_history, coerce_target
-from dockcast.operators.typing import check_contract, normalize_id, parse_time, require_columns
+from dockcast.operators.contracts import check_contract, normalize_id, parse_time, require_columns
 
 HISTORY_COLUMNS = ["y_lag1", "y_lag2", "y_ma3"]
 

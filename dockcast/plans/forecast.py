@@ -14,7 +14,7 @@ from dockcast.functions.timestamps import lit_ts
 from dockcast.functions.values import clip
 from dockcast.operators.history import latest_per_key
 from dockcast.operators.quantiles import grouped_quantiles
-from dockcast.operators.typing import ContractError
+from dockcast.operators.contracts import ContractError
 
 # fixed values: horizons in steps, and the step, of the original job
 DEFAULT_HORIZONS = (1, 3, 6, 12)

@@ -17,7 +17,7 @@ from dockcast.functions.display import (
 from dockcast.functions.values import clip, round_half_even, to_numeric
 from dockcast.operators.history import latest_per_key
 from dockcast.operators.nearby import top_nearby, within_radius
-from dockcast.operators.typing import require_columns
+from dockcast.operators.contracts import require_columns
 
 MAX_BROADCAST_STATIONS = 500_000
 TILE_COLUMNS = ["station_id", "name", "lat", "lon", "timestamp_pred", "h", "yhat", "level", "color"]

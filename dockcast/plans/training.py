@@ -27,7 +27,7 @@ from dockcast.functions.values import clip
 from dockcast.operators.encoding import kept_features, numeric_columns, screen_features
 from dockcast.operators.metrics import metrics_by, regression_metrics
 from dockcast.operators.split import fold_cuts
-from dockcast.operators.typing import ContractError
+from dockcast.operators.contracts import ContractError
 from dockcast.session import materialize
 
 Folds = Sequence[tuple[int, datetime, datetime]]
@@ -189,7 +189,7 @@ def trials_table(spark: SparkSession, trials: Sequence[Trial]) -> DataFrame:
 def in_parallel(work: Callable[[Any], Any], items: Sequence[Any], width: int = PARALLEL_FITS) -> list[Any]:
     """Run independent driver-side fits side by side, so that the cluster is not idle between their small jobs."""
     with ThreadPoolExecutor(max_workers=max(1, min(width, len(items)))) as pool:
-        return list(pool.map(inheritable_thread_target(work), items))
+        return list(pool.map(inheritable_thread_target(SparkSession.active())(work), items))
 
 
 def _mean_over_folds(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dockcast.functions.values import slot_from_path, to_numeric
-from dockcast.operators.typing import ContractError, normalize_id
+from dockcast.operators.contracts import ContractError, normalize_id
 
 SLOT_PREDICTIONS = T.StructType(
     [
@@ -43,13 +43,14 @@ METRICS_LONG = T.StructType(
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path or glob matches anything, on whatever file system it names."""
+    """Whether a path or glob holds parquet, on whatever file system it names."""
     try:
-        return bool(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).limit(1).inputFiles())
+        spark.read.parquet(path)
     except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return False
         raise
+    return True
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
