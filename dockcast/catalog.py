@@ -629,7 +629,8 @@ def nearest_station(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def within_radius(spark: SparkSession, folder: str) -> DataFrame:
     out = serving.nearby_available(materialize(served(spark, folder), "served"), RADIUS_M)
-    return rounded(out.select("focus_id", KEY, "light", "distance_m"), "distance_m", digits=3)
+    out = rounded(out.select("focus_lat", "focus_lon", KEY, "light", "distance_m"), "focus_lat", "focus_lon")
+    return rounded(out, "distance_m", digits=3)
 
 
 @query

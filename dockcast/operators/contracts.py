@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from dockcast.functions.timestamps import parse_ts
@@ -50,11 +50,12 @@ def normalize_id(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, F.col(name).try_cast("bigint") if digits else F.col(name).cast("string"))
 
 
-def parse_time(df: DataFrame, ts: str) -> DataFrame:
-    """Parse a time column and drop the rows that do not parse."""
-    if dict(df.dtypes)[ts] == "timestamp_ntz":
-        return df.where(F.col(ts).isNotNull())
-    return df.withColumn(ts, parse_ts(F.col(ts))).where(F.col(ts).isNotNull())
+def parse_time(df: DataFrame, ts: str, seen: Observation | None = None) -> DataFrame:
+    """Parse a time column and drop the rows that do not parse; `seen` counts them in the same pass."""
+    parsed = df if dict(df.dtypes)[ts] == "timestamp_ntz" else df.withColumn(ts, parse_ts(F.col(ts)))
+    if seen is not None:
+        parsed = parsed.observe(seen, F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(ts).isNull()).alias("n_bad"))
+    return parsed.where(F.col(ts).isNotNull())
 
 
 def contract_counts(key: str, ts: str, y: str) -> list[Column]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -70,8 +70,15 @@ def categories(df: DataFrame, columns: Sequence[str], max_card: int = MAX_CATEGO
     """
     if not columns:
         return {}
-    sketch = df.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in columns]).first()
-    narrow = [c for c in columns if sketch[c] <= 2 * max_card]
+    return _value_sets(df, columns, df.agg(*[_width(c).alias(c) for c in columns]).first(), max_card)
+
+
+def _width(c: str) -> Column:
+    return F.approx_count_distinct(c, 0.02)
+
+
+def _value_sets(df: DataFrame, columns: Sequence[str], widths: Mapping[str, int], max_card: int) -> dict[str, list[str]]:
+    narrow = [c for c in columns if widths[c] <= 2 * max_card]
     if not narrow:
         return {}
     sets = df.agg(*[F.collect_set(c).alias(c) for c in narrow]).first()
@@ -107,13 +114,16 @@ def learn_encoding(df: DataFrame, exclude: Sequence[str] = (), onehot: bool = Tr
     """
     rest = df.drop(*exclude)
     texts = string_columns(rest)
-    json_cols = []
+    shares, widths = {}, {}
     if texts:
-        shares = rest.agg(*[F.avg(looks_like_json(F.col(c)).cast("double")).alias(c) for c in texts]).first()
-        json_cols = [c for c in texts if shares[c] is not None and shares[c] >= JSON_SHARE]
+        json_share = [F.avg(looks_like_json(F.col(c)).cast("double")) for c in texts]
+        seen = rest.agg(*json_share, *[_width(c) for c in texts]).first()
+        shares, widths = dict(zip(texts, seen)), dict(zip(texts, seen[len(texts) :], strict=True))
+    json_cols = [c for c in texts if shares[c] is not None and shares[c] >= JSON_SHARE]
     keys = {c: json_keys(rest, c) for c in json_cols}
     plain = [c for c in texts if not keys.get(c)]
-    return Encoding(keys, categories(rest, plain) if onehot else {}, numeric_columns(rest))
+    found = _value_sets(rest, plain, widths, MAX_CATEGORIES) if onehot else {}
+    return Encoding(keys, found, numeric_columns(rest))
 
 
 def encode(df: DataFrame, encoding: Encoding, keep: Sequence[str] = ()) -> DataFrame:

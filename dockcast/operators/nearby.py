@@ -7,6 +7,8 @@ the search is an equi-join, without poles or a date line as special cases.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,15 +62,20 @@ def point_pairs(focus: DataFrame, others: DataFrame, radius_m: float) -> DataFra
     return near.where(F.col("distance_m") <= radius_m)
 
 
-def within_radius(focus: DataFrame, others: DataFrame, radius_m: float, key: str = "station_id") -> DataFrame:
-    """Every other station within the radius of each focus station, with the distance.
+def within_radius(focus: DataFrame, others: DataFrame, radius_m: float) -> DataFrame:
+    """Every station within the radius of each focus position (focus_lat, focus_lon), with the distance.
 
-    Distances are worked out once per pair of positions, not per pair of stations.
+    Stations at one position share one list, so a pile of stations at one place is not paired with
+    itself. A station at the focus position is listed too; around_station() leaves out the focus itself.
     """
     pairs = point_pairs(focus, others, radius_m)
-    foci = focus.select(F.col(key).alias("focus_id"), F.col("lat").alias("flat"), F.col("lon").alias("flon"))
-    found = foci.join(pairs, ["flat", "flon"]).join(others, ["lat", "lon"])
-    return found.where(F.col("focus_id") != F.col(key)).drop("flat", "flon")
+    return pairs.join(others, ["lat", "lon"]).withColumnsRenamed({"flat": "focus_lat", "flon": "focus_lon"})
+
+
+def around_station(found: DataFrame, focus: DataFrame, focus_id: object, key: str = "station_id") -> DataFrame:
+    """The list of one focus station, without the station itself."""
+    here = focus.where(F.col(key) == focus_id).select(F.col("lat").alias("focus_lat"), F.col("lon").alias("focus_lon"))
+    return found.join(F.broadcast(here.limit(1)), ["focus_lat", "focus_lon"]).where(F.col(key) != focus_id)
 
 
 def nearest_station(points: DataFrame, stations: DataFrame, point_key: str, key: str = "station_id") -> DataFrame:
@@ -78,24 +85,19 @@ def nearest_station(points: DataFrame, stations: DataFrame, point_key: str, key:
     so few points ever meet far stations. Stations at one position count as one candidate.
     """
     sites = stations.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).groupBy("lat", "lon").agg(F.min(key).alias(key))
+    sites = materialize(sites, "sites")
     left = points.select(point_key, F.col("lat").alias("flat"), F.col("lon").alias("flon")).where(
         F.col("flat").isNotNull() & F.col("flon").isNotNull()
     )
-    if sites.isEmpty():
-        absent = F.lit(None).cast("double").alias("distance_m")
-        return left.select(point_key, F.lit(None).cast(stations.schema[key].dataType).alias(key), absent).limit(0)
+    waiting = left.select(point_key).distinct().count() if not sites.isEmpty() else 0
     radius, rounds = FIRST_RADIUS_M, []
-    while True:
-        found = materialize(_best_site(_reachable(left, sites, radius), point_key, key), "nearest")
-        rounds.append(found)
-        left = left.join(found.select(point_key), point_key, "left_anti")
-        if radius >= HALF_CIRCUMFERENCE_M or left.isEmpty():
-            break
+    while waiting and radius < RADIUS_GROWTH * HALF_CIRCUMFERENCE_M:
+        rounds.append(materialize(_best_site(_reachable(left, sites, radius), point_key, key), "nearest"))
+        waiting -= rounds[-1].count()
+        left = left.join(rounds[-1].select(point_key), point_key, "left_anti")
         radius *= RADIUS_GROWTH
-    out = rounds[0]
-    for found in rounds[1:]:
-        out = out.unionByName(found)
-    return out
+    absent = left.select(point_key, F.lit(None).cast(stations.schema[key].dataType).alias(key), F.lit(None).cast("double").alias("distance_m"))
+    return reduce(lambda a, b: a.unionByName(b), rounds) if rounds else absent.limit(0)
 
 
 def _reachable(left: DataFrame, sites: DataFrame, radius_m: float) -> DataFrame:
@@ -144,10 +146,7 @@ def top_nearby(
         limit *= KEEP_GROWTH
     else:
         settled.append(_ranked(_near(open_focus, cells, radius_m, key), value, key, top))
-    out = settled[0]
-    for part in settled[1:]:
-        out = out.unionByName(part)
-    return out
+    return reduce(lambda a, b: a.unionByName(b), settled)
 
 
 def _near(focus: DataFrame, cells: DataFrame, radius_m: float, key: str) -> DataFrame:

@@ -501,7 +501,11 @@ def all_oracles() -> dict[str, str]:
         f"""SELECT s_suppkey, station_id, {_r("distance_m", 3)} FROM pairs
             QUALIFY row_number() OVER (PARTITION BY s_suppkey ORDER BY round(distance_m, 3), station_id) = 1""",
     )
-    sql["within_radius"] = _with(_NEAR, f"SELECT focus_id, station_id, light, {_r('distance', 3, 'distance_m')} FROM near")
+    sql["within_radius"] = _with(
+        f"{_SERVED}, spots AS (SELECT DISTINCT lat, lon FROM served)",
+        f"""SELECT {_r("p.lat", 6, "focus_lat")}, {_r("p.lon", 6, "focus_lon")}, o.station_id, o.light, {_r(_haversine("p.", "o."), 3, "distance_m")}
+            FROM spots p JOIN served o ON o.light IN ('verde', 'amarillo') WHERE {_haversine("p.", "o.")} <= 800""",
+    )
     sql["top5_nearby"] = _with(
         f"""{_NEAR}, placed AS (
           SELECT *, row_number() OVER (PARTITION BY focus_id ORDER BY bikes DESC, round(distance, 3), station_id) AS place FROM near

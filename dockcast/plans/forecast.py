@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,16 +39,16 @@ class LinearScore:
         return df.withColumn(output, total)
 
 
-def resolve_asof(df: DataFrame, ts: str, asof: str | datetime = "now") -> datetime:
-    """'now' is the newest time in the table."""
+def resolve_asof(df: DataFrame, ts: str, asof: str | datetime = "now", zone: str = "UTC") -> datetime:
+    """'now' is the newest time in the table; a time with an offset becomes the wall clock of `zone`."""
     if isinstance(asof, datetime):
-        return asof
+        return asof.astimezone(ZoneInfo(zone)).replace(tzinfo=None) if asof.tzinfo else asof
     if asof.lower() == "now":
         newest = df.agg(F.max(ts)).first()[0]
         if newest is None:
             raise ContractError("the table has no times")
         return newest
-    return datetime.fromisoformat(asof)
+    return resolve_asof(df, ts, datetime.fromisoformat(asof), zone)
 
 
 def latest_at(df: DataFrame, ts: str, asof: datetime, key: str = "station_id", tie: Sequence[str] = ()) -> DataFrame:
@@ -66,7 +67,7 @@ def recursive_forecast(
     constants: Sequence[str] = (),
     capacity: str | None = None,
     shift_in_current: bool = False,
-    interval: Callable[[DataFrame, str], tuple[Column, Column]] | None = None,
+    interval: Callable[[str], tuple[Column, Column]] | None = None,
 ) -> DataFrame:
     """station_id, timestamp_pred, h, yhat, yhat_lo, yhat_hi for every horizon.
 
@@ -82,34 +83,40 @@ def recursive_forecast(
     if shift_in_current:
         lag1, lag2, mean3 = F.col(y), lag1, (F.col(y) + lag1 + lag2) / 3
     state = state.withColumns({"_lag1": lag1, "_lag2": lag2, "_mean3": mean3})
-    cells = []
-    for h in sorted(set(horizons)):
-        at = asof + timedelta(minutes=step_minutes * h)
+    steps = sorted(set(horizons))
+    ends = {h: asof + timedelta(minutes=step_minutes * h) for h in steps}
+    for h in steps:
         features = {c: F.col(c).cast("double") for c in constants}
         features |= {"y_lag1": F.col("_lag1"), "y_lag2": F.col("_lag2"), "y_ma3": F.col("_mean3")}
-        features |= {name: F.lit(float(v)) for name, v in calendar_of(at).items()}
-        out = f"_yhat{h}"
-        state = score(state, features, out)
-        low, high = interval(state, out) if interval else (F.lit(None).cast("double"), F.lit(None).cast("double"))
-        state = state.withColumns({f"_lo{h}": low, f"_hi{h}": high})
-        if capacity:
-            bounded = {c: clip(F.col(c), 0.0, F.col(capacity).cast("double")) for c in (out, f"_lo{h}", f"_hi{h}")}
-            state = state.withColumns({c: F.when(F.col(capacity).isNotNull(), b).otherwise(F.col(c)) for c, b in bounded.items()})
-        cells.append(
-            F.struct(
-                lit_ts(at).alias("timestamp_pred"),
-                F.lit(h).alias("h"),
-                F.col(out).alias("yhat"),
-                F.col(f"_lo{h}").alias("yhat_lo"),
-                F.col(f"_hi{h}").alias("yhat_hi"),
-            )
-        )
-        state = state.withColumns(
-            {"_lag1": F.col(out), "_lag2": F.col("_lag1"), "_mean3": (F.col(out) + F.col("_lag1") + F.col("_lag2")) / 3}
+        features |= {name: F.lit(float(v)) for name, v in calendar_of(ends[h]).items()}
+        state = score(state, features, f"_raw{h}")
+        state = state.withColumn(f"_yhat{h}", _held(F.col(f"_raw{h}"), capacity))
+        new = F.col(f"_yhat{h}")
+        state = state.withColumns({"_lag1": new, "_lag2": F.col("_lag1"), "_mean3": (new + F.col("_lag1") + F.col("_lag2")) / 3})
+    # the bounds feed nothing, so all horizons' bounds are worked out in one step at the end
+    nothing = (F.lit(None).cast("double"), F.lit(None).cast("double"))
+    bounds = {h: interval(f"_raw{h}") if interval else nothing for h in steps}
+    cells = [
+        F.struct(
+            lit_ts(ends[h]).alias("timestamp_pred"),
+            F.lit(h).alias("h"),
+            F.col(f"_yhat{h}").alias("yhat"),
+            _held(bounds[h][0], capacity).alias("yhat_lo"),
+            _held(bounds[h][1], capacity).alias("yhat_hi"),
         )
+        for h in steps
+    ]
     return state.select(key, F.inline(F.array(*cells)))
 
 
+def _held(value: Column, capacity: str | None) -> Column:
+    """Within [0, capacity] where a capacity is known."""
+    if capacity is None:
+        return value
+    limit = F.col(capacity).cast("double")
+    return F.when(limit.isNotNull(), clip(value, 0.0, limit)).otherwise(value)
+
+
 def oneshot_forecast(
     latest: DataFrame,
     score: Scorer,

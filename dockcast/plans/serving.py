@@ -61,7 +61,7 @@ def available(served: DataFrame) -> DataFrame:
 
 
 def nearby_available(served: DataFrame, radius_m: float) -> DataFrame:
-    """All recommendable stations around every station of the map."""
+    """All recommendable stations around every station position of the map."""
     return within_radius(served.select("station_id", "lat", "lon"), available(served), radius_m)
 
 

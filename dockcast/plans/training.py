@@ -118,7 +118,7 @@ def forest_leaf_values(forest) -> list[list[float]]:
     return trees
 
 
-def forest_interval(model: PipelineModel) -> Callable[[DataFrame, str], tuple[Column, Column]]:
+def forest_interval(model: PipelineModel) -> Callable[[str], tuple[Column, Column]]:
     """Forecast ± 1.96 population deviations over the trees; each tree's value is looked up by its leaf, in Arrow batches."""
     trees = forest_leaf_values(model.stages[-1])
     table = np.full((len(trees), max(map(len, trees))), np.nan)
@@ -130,7 +130,7 @@ def forest_interval(model: PipelineModel) -> Callable[[DataFrame, str], tuple[Co
         index = np.stack(leaves.to_numpy()).astype(int) if len(leaves) else np.empty((0, len(table)), dtype=int)
         return pd.Series(table[np.arange(len(table)), index].std(axis=1))
 
-    def interval(df: DataFrame, output: str) -> tuple[Column, Column]:
+    def interval(output: str) -> tuple[Column, Column]:
         spread = F.lit(INTERVAL_Z) * deviation(vector_to_array(F.col(f"_leaf{output}")))
         return F.col(output) - spread, F.col(output) + spread
 

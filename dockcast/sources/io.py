@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -112,6 +112,12 @@ def append_metrics(df: DataFrame, path: str, run_id: str | None = None, run_ts:
     return run
 
 
+def append_params(spark: SparkSession, path: str, run_id: str, params: Mapping[str, object]) -> None:
+    """Append a run's parameters as (run_id, name, value) rows; with the metric log this is the record of runs."""
+    rows = [(run_id, name, str(value)) for name, value in params.items()]
+    spark.createDataFrame(rows, "run_id string, name string, value string").write.mode("append").parquet(path)
+
+
 def version_tag(asof: datetime, step_minutes: int) -> str:
     return f"asof={asof:%Y%m%d_%H%M}/freq={step_minutes}"
 

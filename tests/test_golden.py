@@ -3,6 +3,7 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from dockcast.functions import display, geo, timestamps, values
@@ -138,6 +139,22 @@ def test_missing_columns_and_candidates(spark):
         contracts.require_columns(df, "station_id")
 
 
+def test_dropped_times_are_counted_in_the_same_pass(spark):
+    seen = Observation("times")
+    df = spark.createDataFrame([("2024-01-01 00:00:00",), ("nope",), (None,)], "ts string")
+    assert contracts.parse_time(df, "ts", seen).count() == 1
+    assert seen.get == {"n_rows": 3, "n_bad": 2}
+
+
+def test_asof_times(spark):
+    df = spark.createDataFrame([(at(5),)], "ts timestamp_ntz")
+    assert forecast.resolve_asof(df, "ts") == at(5)
+    assert forecast.resolve_asof(df, "ts", "2024-01-01 10:00:00") == datetime(2024, 1, 1, 10)
+    assert forecast.resolve_asof(df, "ts", "2024-01-01T10:00:00+00:00", slots.DEFAULT_ZONE) == datetime(2024, 1, 1, 7)
+    with pytest.raises(contracts.ContractError):
+        forecast.resolve_asof(df.limit(0), "ts")
+
+
 def test_strict_times(spark):
     df = spark.createDataFrame([("2024-01-01 00:00:00",), ("nope",)], "ts string")
     assert contracts.parse_time(df, "ts").count() == 1

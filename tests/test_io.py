@@ -58,6 +58,13 @@ def test_metric_log_only_grows(spark, tmp_path):
     assert log.where(F.col("run_id") == second).first()["run_ts"] == datetime(2024, 1, 1)
 
 
+def test_run_parameters(spark, tmp_path):
+    io.append_params(spark, f"{tmp_path}/params", "r1", {"trees": 300, "seed": 42})
+    io.append_params(spark, f"{tmp_path}/params", "r2", {"trees": 20})
+    found = {(r["run_id"], r["name"]): r["value"] for r in spark.read.parquet(f"{tmp_path}/params").collect()}
+    assert found == {("r1", "trees"): "300", ("r1", "seed"): "42", ("r2", "trees"): "20"}
+
+
 def test_readers_see_the_version_announced_last(spark, tmp_path):
     base = str(tmp_path)
     for value in (1.0, 2.0):
