@@ -51,8 +51,13 @@ def ready(spark: SparkSession, folder: str) -> DataFrame:
     return model_ready(status_hourly(spark, folder), tie=TIE)
 
 
+def stored_ready(spark: SparkSession, folder: str) -> DataFrame:
+    """The training table as a file, as jobs that read it more than once should have it."""
+    return materialize(ready(spark, folder), "ready")
+
+
 def split_ready(spark: SparkSession, folder: str) -> DataFrame:
-    return split.temporal_split(ready(spark, folder), TS)
+    return split.temporal_split(stored_ready(spark, folder), TS)
 
 
 def folds_of(df: DataFrame):
@@ -441,19 +446,19 @@ def baseline_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def backtest_folds(spark: SparkSession, folder: str) -> DataFrame:
-    rows = ready(spark, folder)
+    rows = stored_ready(spark, folder)
     return backtest.fold_report(split.label_folds(rows, TS, folds_of(rows)))
 
 
 @query
 def backtest_persistence(spark: SparkSession, folder: str) -> DataFrame:
-    rows = ready(spark, folder)
+    rows = stored_ready(spark, folder)
     return rounded(backtest.persistence_backtest(rows, TS, Y, folds_of(rows)), "rmse", "mae", "r2")
 
 
 @query
 def backtest_sample(spark: SparkSession, folder: str) -> DataFrame:
-    rows = ready(spark, folder)
+    rows = stored_ready(spark, folder)
     scored = split.label_folds(rows, TS, folds_of(rows)).where("part = 'val'")
     return backtest.sample_per_fold(scored, [KEY, TS]).select(
         "fold", KEY, TS, F.col(Y).alias("y_true"), persistence().alias("y_pred")
@@ -669,14 +674,14 @@ def time_profile(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def ks_drift(spark: SparkSession, folder: str) -> DataFrame:
-    rows = ready(spark, folder)
+    rows = stored_ready(spark, folder)
     folds = folds_of(rows)
     return rounded(monitor.ks_drift(rows, TS, "y_lag1", folds[0][2], folds[-1][2]), "ks_stat", "pvalue")
 
 
 @query
 def monitoring(spark: SparkSession, folder: str) -> DataFrame:
-    rows = ready(spark, folder)
+    rows = stored_ready(spark, folder)
     folds = folds_of(rows)
     return rounded(monitor.monitoring(rows, KEY, TS, Y, "y_lag1", folds[0][2], folds[-1][2]), "value", "pvalue")
 
@@ -744,7 +749,7 @@ def champion(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def registry_table(spark: SparkSession, folder: str) -> DataFrame:
-    rows = ready(spark, folder)
+    rows = stored_ready(spark, folder)
     scored = split.label_folds(rows, TS, folds_of(rows)).where("part = 'val'").withColumnRenamed("event_type", "framework")
     per_fold = metrics_by(scored, ["fold", "val_end", "framework"], Y, persistence())
     best = per_fold.groupBy("val_end").agg(F.min_by(F.struct("framework", "rmse"), F.struct("rmse", "framework")).alias("w"))
@@ -762,7 +767,7 @@ def compare_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _training_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return materialize(split_ready(spark, folder), "training")
+    return split_ready(spark, folder)
 
 
 def _forest(rows: DataFrame):
@@ -848,7 +853,7 @@ def refit_champion(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def backtest_rf(spark: SparkSession, folder: str) -> DataFrame:
-    rows = ready(spark, folder)
+    rows = stored_ready(spark, folder)
     scored = backtest.model_backtest(rows, TS, Y, FEATURES, folds_of(rows), "forest", {"numTrees": 10, "maxDepth": 5})
     return backtest.backtest_summary(scored, Y)
 

@@ -21,7 +21,7 @@ def micros(ts: Column) -> Column:
     """Microseconds since 1970 of a wall-clock timestamp, read off its fields so that order is kept in any session zone."""
     day = F.unix_date(F.to_date(ts)).cast("bigint") * F.lit(MICROS_PER_DAY)
     minutes = (F.hour(ts) * 60 + F.minute(ts)).cast("bigint") * F.lit(MICROS_PER_MINUTE)
-    seconds = (F.extract(F.lit("SECOND"), ts) * F.lit(1_000_000)).cast("bigint")
+    seconds = F.rint(F.extract(F.lit("SECOND"), ts).cast("double") * F.lit(1e6)).cast("bigint")
     return day + minutes + seconds
 
 

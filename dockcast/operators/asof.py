@@ -23,13 +23,15 @@ def asof_join(
     tolerance_minutes: float | None = None,
     bounded: bool = False,
     target_rows: int | None = None,
+    measure: DataFrame | None = None,
 ) -> DataFrame:
     """Left rows with the right side's columns of the last right row whose time is at or before theirs.
 
     Equal times match. Among right rows with one key and time the last in tie order wins, even if its
     values are NULL. A match older than the tolerance (inclusive) becomes NULL. Both sides are unioned
     and shuffled once; there is no range join and no pair blow-up. `bounded` promises that a key has
-    few enough rows for one task on both sides; otherwise large keys are measured and cut.
+    few enough rows for one task on both sides; otherwise large keys are measured and cut, on
+    `measure` if given: a cheaper table with the right side's keys and times.
     """
     payload = [c for c in right.columns if c != key]
     probes = left.select(
@@ -47,7 +49,8 @@ def asof_join(
     )
     segments = Segments(key, _AT)
     if not bounded:
-        segments = plan_segments(observed.select(key, _AT).unionByName(probes.select(key, _AT)), key, _AT, target_rows)
+        times = observed.select(key, _AT) if measure is None else measure.select(key, F.col(right_on).alias(_AT))
+        segments = plan_segments(times.unionByName(probes.select(key, _AT)), key, _AT, target_rows)
         if segments.heavy_ties:
             observed = _last_of_copies(observed, key)
 

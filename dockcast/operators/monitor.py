@@ -39,14 +39,9 @@ def sequence_cuts(values: DataFrame, column: str, rows: int) -> list[float]:
     return numeric_cuts(values, column, min(MAX_PARTS, rows // PART_ROWS + 1))
 
 
-def _part_edge(values: DataFrame, edge: Column, name: str) -> DataFrame:
-    """One figure per part, at most MAX_PARTS rows."""
-    return values.groupBy("_part").agg(edge.alias(name))
-
-
-def running_total(values: DataFrame, order: str, sums: Sequence[str], cuts: Sequence[float], cut_type: str) -> DataFrame:
+def running_total(values: DataFrame, order: str, sums: Sequence[str], cuts: Sequence[float]) -> DataFrame:
     """Inclusive running sums over a global order: sums inside each part plus the totals of earlier parts."""
-    parted = values.withColumn("_part", range_part(cuts, F.col(order), cut_type))
+    parted = values.withColumn("_part", range_part([F.lit(c) for c in cuts], F.col(order)))
     inside = Window.partitionBy("_part").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     out = parted.withColumns({f"cum_{c}": F.sum(c).over(inside) for c in sums})
     if not cuts:
@@ -63,25 +58,28 @@ def running_total(values: DataFrame, order: str, sums: Sequence[str], cuts: Sequ
 def interarrival_counts(df: DataFrame, ts: str) -> DataFrame:
     """How often each rounded gap in minutes occurs in the sequence of all rows by time.
 
-    Copies of a time give gaps of 0 and are counted before any ordering; the distinct times are then
-    put in order part by part, with the last time of the previous part as the first predecessor.
+    A long sequence is cut into ranges of equal size by a quantile sketch and put in order range by
+    range, with the last time of the previous range as the first predecessor. Copies of a time, which no cut
+    separates, are merged before the shuffle if they fill a range; each gives a gap of 0.
     """
-    rows = df.count()
-    times = df.where(F.col(ts).isNotNull()).groupBy(micros(F.col(ts)).alias("us")).agg(F.count(F.lit(1)).alias("copies"))
-    cuts = sequence_cuts(times, "us", rows)
-    parted = times.withColumn("_part", range_part(cuts, F.col("us"), "bigint"))
-    previous = F.lag("us").over(Window.partitionBy("_part").orderBy("us"))
-    gaps = parted.withColumn("_previous", previous)
+    known = df.where(F.col(ts).isNotNull()).select(F.col(ts).alias("t"))
+    rows, cuts, piles = known.count(), [], False
+    if rows > ONE_TASK_ROWS:
+        parts = min(MAX_PARTS, rows // PART_ROWS + 1)
+        found = known.agg(F.percentile_approx("t", [i / parts for i in range(1, parts)], max(10_000, 4 * parts))).first()[0]
+        cuts = sorted(set(found))
+        piles = len(cuts) < len(found)
+    times = known.groupBy("t").agg(F.count(F.lit(1)).alias("copies")) if piles else known.withColumn("copies", F.lit(1).cast("bigint"))
+    parted = times.withColumn("_part", range_part([lit_ts(c) for c in cuts], F.col("t")))
+    gaps = parted.withColumn("_previous", F.lag("t").over(Window.partitionBy("_part").orderBy("t")))
     if cuts:
-        edges = _part_edge(parted, F.max("us"), "_max")
+        edges = parted.groupBy("_part").agg(F.max("t").alias("_max"))
         edges = edges.select("_part", F.lag("_max").over(Window.orderBy("_part")).alias("_edge"))
         gaps = gaps.join(F.broadcast(edges), "_part").withColumn("_previous", F.coalesce("_previous", "_edge"))
-    minutes = F.bround((F.col("us") - F.col("_previous")) / F.lit(float(MICROS_PER_MINUTE)), 0)
-    pairs = F.array(
-        F.struct(minutes.alias("minutes"), F.lit(1).cast("bigint").alias("n")),
-        F.struct(F.lit(0.0).alias("minutes"), (F.col("copies") - 1).alias("n")),
-    )
-    exploded = gaps.select(F.inline(pairs)).where(F.col("minutes").isNotNull() & (F.col("n") > 0))
+    gap = F.bround((micros(F.col("t")) - micros(F.col("_previous"))) / F.lit(float(MICROS_PER_MINUTE)), 0)
+    counts = gaps.groupBy(gap.alias("minutes")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("copies") - 1).alias("repeats"))
+    pairs = F.array(F.struct("minutes", "n"), F.struct(F.lit(0.0).alias("minutes"), F.col("repeats").alias("n")))
+    exploded = counts.select(F.inline(pairs)).where(F.col("minutes").isNotNull() & (F.col("n") > 0))
     return exploded.groupBy("minutes").agg(F.sum("n").alias("n"))
 
 
@@ -151,7 +149,7 @@ def ks_drift(df: DataFrame, ts: str, feature: str, first_cut: datetime, last_cut
         known.groupBy(F.col(feature).cast("double").alias("v")).agg(F.count_if(early).alias("a"), F.count_if(late).alias("b")),
         "values",
     )
-    running = running_total(values, "v", ["a", "b"], sequence_cuts(values, "v", values.count()), "double")
+    running = running_total(values, "v", ["a", "b"], sequence_cuts(values, "v", values.count()))
     n1, n2 = (n or 0 for n in values.agg(F.sum("a"), F.sum("b")).first())
     distance = F.abs(F.col("cum_a") / F.lit(float(n1 or 1)) - F.col("cum_b") / F.lit(float(n2 or 1)))
     stat = running.agg(F.max(distance).alias("ks_stat"))

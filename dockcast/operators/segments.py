@@ -151,9 +151,6 @@ def numeric_cuts(df: DataFrame, value: str, parts: int) -> list[float]:
     return sorted(set(found or []))
 
 
-def range_part(cuts: Sequence[float], value: Column, cut_type: str) -> Column:
-    """The number of cuts below the value, for an order-preserving split of a global sequence."""
-    if not cuts:
-        return F.lit(0)
-    array = F.array(*[F.lit(c) for c in cuts]).cast(f"array<{cut_type}>")
-    return segment_of(array, value, max_cuts=len(cuts))
+def range_part(cuts: Sequence[Column], value: Column) -> Column:
+    """The number of sorted cuts below the value, for an order-preserving split of a global sequence."""
+    return segment_of(F.array(*cuts), value, max_cuts=len(cuts)) if cuts else F.lit(0)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timedelta
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,31 +16,24 @@ NARROWING = (24, 60, 60, 1_000)
 
 
 class DistinctTimes:
-    """The sorted distinct times of a table, for exact picks by position; use it as a context.
+    """The sorted distinct times of a table, for exact picks by position.
 
-    Up to MAX_COLLECT times are simply held. More are counted per day; a pick then collects the one day
-    it falls into, narrowed again to hours, minutes, seconds and milliseconds while that is too much to
-    collect. The source table is read once: the distinct times stay cached while the context is open.
+    One pass counts the distinct times per day. Up to MAX_COLLECT times are then simply collected; with more,
+    a pick collects the one day it falls into, narrowed again to hours, minutes, seconds and milliseconds
+    while that is too much. Later passes filter on time first. The table should be a stored one.
     """
 
     def __init__(self, df: DataFrame, ts: str):
-        self._times = df.where(F.col(ts).isNotNull()).select(F.col(ts).alias("t")).distinct()
-        self._held: list[datetime] | None = None
-
-    def __enter__(self) -> DistinctTimes:
-        self._times = self._times.persist(StorageLevel.MEMORY_AND_DISK)
-        held = self._times.limit(MAX_COLLECT + 1).collect()
-        if len(held) <= MAX_COLLECT:
-            self._held = sorted(row["t"] for row in held)
-            self.count = len(self._held)
-        else:
-            per_day = self._times.groupBy(F.to_date("t").cast("timestamp_ntz").alias("start")).count().collect()
-            self._days = sorted((row["start"], row["count"]) for row in per_day)
-            self.count = sum(n for _, n in self._days)
-        return self
-
-    def __exit__(self, *_: object) -> None:
-        self._times.unpersist()
+        self._times = df.where(F.col(ts).isNotNull()).select(F.col(ts).alias("t"))
+        day = F.to_date("t").cast("timestamp_ntz").alias("start")
+        per_day = self._times.distinct().groupBy(day).count().collect()
+        self._days = sorted((row["start"], row["count"]) for row in per_day)
+        self.count = sum(n for _, n in self._days)
+        self._held = self._collect(self._times) if self.count <= MAX_COLLECT else None
+
+    @staticmethod
+    def _collect(times: DataFrame) -> list[datetime]:
+        return sorted(row["t"] for row in times.distinct().collect())
 
     def at(self, positions: Sequence[int]) -> list[datetime]:
         """The times at 0-based positions of the sorted sequence."""
@@ -61,7 +53,7 @@ class DistinctTimes:
                 position -= size
             inside = self._times.where((F.col("t") >= lit_ts(start)) & (F.col("t") < lit_ts(start + span)))
             if size <= MAX_COLLECT or not steps:
-                return sorted(row["t"] for row in inside.collect())[position]
+                return self._collect(inside)[position]
             parts = steps.pop(0)
             span = span / parts
             counts = self._even_parts(inside, start, span)
@@ -70,7 +62,7 @@ class DistinctTimes:
     def _even_parts(inside: DataFrame, start: datetime, span: timedelta) -> list[tuple[datetime, int]]:
         width = span // timedelta(microseconds=1)
         part = F.floor((micros(F.col("t")) - F.lit(micros_of(start))) / F.lit(width)).alias("part")
-        rows = inside.groupBy(part).count().collect()
+        rows = inside.distinct().groupBy(part).count().collect()
         return sorted((start + row["part"] * span, row["count"]) for row in rows)
 
 
@@ -78,10 +70,10 @@ def split_cuts(df: DataFrame, ts: str, p_train: float = 0.70, p_val: float = 0.1
     """The last training and the last validation time. Positions are truncated binary fractions of the distinct times."""
     if not (0 < p_train < 1 and 0 < p_val < 1 and p_train + p_val < 1):
         raise ValueError("p_train and p_val must be in (0, 1) and leave room for a test part")
-    with DistinctTimes(df, ts) as times:
-        if times.count < 3:
-            raise ContractError("fewer than three distinct times")
-        first, second = times.at([int(times.count * p_train), int(times.count * (p_train + p_val))])
+    times = DistinctTimes(df, ts)
+    if times.count < 3:
+        raise ContractError("fewer than three distinct times")
+    first, second = times.at([int(times.count * p_train), int(times.count * (p_train + p_val))])
     return first, second
 
 
@@ -115,14 +107,13 @@ def fold_cuts(
     shares = [p_train_start + i * span for i in range(n_splits)]
     if n_splits > 1:
         shares[-1] = p_train_end
-    folds = []
-    with DistinctTimes(df, ts) as times:
-        last = times.count - 1
-        for number, share in enumerate(shares if times.count else [], start=1):
-            ends = [min(last, int(times.count * share)), min(last, int(times.count * (share + p_val)))]
-            train_end, val_end = times.at(ends)
-            if val_end > train_end:
-                folds.append((number, train_end, val_end))
+    times = DistinctTimes(df, ts)
+    last, folds = times.count - 1, []
+    for number, share in enumerate(shares if times.count else [], start=1):
+        ends = [min(last, int(times.count * share)), min(last, int(times.count * (share + p_val)))]
+        train_end, val_end = times.at(ends)
+        if val_end > train_end:
+            folds.append((number, train_end, val_end))
     return folds
 
 

@@ -13,7 +13,6 @@ from dockcast.functions.timestamps import lit_ts
 from dockcast.operators.metrics import mape, persistence, regression_metrics
 from dockcast.operators.split import label_folds
 from dockcast.plans.training import Folds, build_estimator, fit, fold_parts, in_parallel
-from dockcast.session import materialize
 
 SAMPLE_ROWS = 50
 
@@ -35,12 +34,11 @@ def persistence_backtest(df: DataFrame, ts: str, y: str, folds: Folds) -> DataFr
 def model_backtest(
     df: DataFrame, ts: str, y: str, features: Sequence[str], folds: Folds, family: str = "forest", params: dict | None = None
 ) -> DataFrame:
-    """Validation rows of every fold with the forecast of the model fitted on that fold's past."""
-    rows = materialize(df, "backtest")
+    """Validation rows of every fold with the forecast of the model fitted on that fold's past; `df` should be a stored table."""
 
     def score(fold: tuple[int, datetime, datetime]) -> DataFrame:
         number, train_end, val_end = fold
-        past, after = fold_parts(rows, ts, train_end, val_end)
+        past, after = fold_parts(df, ts, train_end, val_end)
         part = fit(past, features, y, build_estimator(family, params)).transform(after).drop("features")
         return part.withColumns({"fold": F.lit(number), "train_end": lit_ts(train_end), "val_end": lit_ts(val_end)})
 

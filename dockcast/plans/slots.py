@@ -98,18 +98,18 @@ def slot_features(
     A large, dense feed is reduced to the newest rows per slot before any shuffle. A small or sparse
     one has little to reduce and goes through plain windows.
     """
-    if _is_dense(obs, slots, lead_minutes, max(max_lag + 1, *widths)):
+    if _is_dense(obs, slots, max(max_lag + 1, *widths)):
         return slot_features_reduced(targets, obs, slots, lead_minutes, max_lag, widths, tie, max_age_minutes)
     return slot_features_any(targets, obs, max_lag, widths, tie, max_age_minutes)
 
 
-def _is_dense(obs: DataFrame, slots: Sequence[str], lead_minutes: int, depth: int) -> bool:
+def _is_dense(obs: DataFrame, slots: Sequence[str], depth: int) -> bool:
     """Whether a table too large for one task holds more rows per station and slot than a slot can use."""
     rows = obs.count()
     if rows <= TARGET_ROWS:
         return False
-    served = F.approx_count_distinct(F.struct("station_id", next_slot(F.col("ts"), slots, lead_minutes)))
-    return rows > depth * obs.agg(served).first()[0]
+    stations, low, high = obs.agg(F.approx_count_distinct("station_id"), F.min("ts"), F.max("ts")).first()
+    return rows > depth * stations * ((high - low).days + 1) * len(slots)
 
 
 def slot_features_reduced(
@@ -166,7 +166,7 @@ def slot_features_any(
     names = feature_names(max_lag, widths)
     history = history.withColumnRenamed("y", "y_hist_at_cut").select("station_id", "ts", *names, *tie)
     probes = targets.withColumn("t_cut", add_minutes(F.col("t_slot"), -F.col("lead_minutes")))
-    matched = asof_join(probes, history, "station_id", "t_cut", "ts", tie, max_age_minutes, target_rows=target_rows)
+    matched = asof_join(probes, history, "station_id", "t_cut", "ts", tie, max_age_minutes, target_rows=target_rows, measure=obs)
     return _finish(matched, max_lag, widths)
 
 

@@ -94,9 +94,9 @@ def test_slot_features_with_an_age_limit(fine):
 def test_dense_feeds_are_reduced(spark, monkeypatch):
     start = datetime(2024, 1, 1)
     dense = spark.createDataFrame([("a", start + timedelta(minutes=i), float(i % 7)) for i in range(3000)], "station_id string, ts timestamp_ntz, y double")
-    assert not slot_plans._is_dense(dense, slots.DEFAULT_SLOTS, 10, 13)
+    assert not slot_plans._is_dense(dense, slots.DEFAULT_SLOTS, 13)
     monkeypatch.setattr(slot_plans, "TARGET_ROWS", 100)
-    assert slot_plans._is_dense(dense, slots.DEFAULT_SLOTS, 10, 13)
+    assert slot_plans._is_dense(dense, slots.DEFAULT_SLOTS, 13)
     targets = slot_plans.slot_targets(dense)
     assert_same(rounded(slot_plans.slot_features(targets, dense), *MEANS), rounded(slot_plans.slot_features_any(targets, dense), *MEANS))
 
@@ -112,6 +112,13 @@ def test_global_sequences_in_parts(spark, monkeypatch):
     assert whole[1] == monitor.ks_drift(ready, TS, "y_lag1", folds[0][2], folds[-1][2]).first()
 
 
+def test_gaps_with_piles_of_copies(piles, monkeypatch):
+    whole = {(r["minutes"], r["n"]) for r in monitor.interarrival_counts(piles, TS).collect()}
+    monkeypatch.setattr(monitor, "ONE_TASK_ROWS", 50)
+    monkeypatch.setattr(monitor, "PART_ROWS", 20)
+    assert whole == {(r["minutes"], r["n"]) for r in monitor.interarrival_counts(piles, TS).collect()}
+
+
 def test_split_cuts_by_narrowing(spark, monkeypatch):
     rows = status(spark, FOLDER)
     whole = split.split_cuts(rows, TS)
