@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,15 +30,17 @@ def build_session(app: str = "dockcast", master: str | None = None, **conf: obje
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder. Only a local session without one gets a folder of its own."""
-    path = spark.conf.get(SHARED_DIR_KEY, None)
-    if not path:
-        path = spark.sparkContext.getConf().get(SHARED_DIR_KEY)
-    if not path:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {SHARED_DIR_KEY} to a folder that all executors share")
-        path = tempfile.mkdtemp(prefix="dockcast-")
-        spark.conf.set(SHARED_DIR_KEY, path)
-    return path.rstrip("/")
+    path = spark.conf.get(SHARED_DIR_KEY, None) or spark.sparkContext.getConf().get(SHARED_DIR_KEY)
+    if path:
+        return path.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set {SHARED_DIR_KEY} to a folder that all executors share")
+    return _local_dir(spark.sparkContext.applicationId)
+
+
+@lru_cache
+def _local_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"dockcast-{application}-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
