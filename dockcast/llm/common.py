@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dockcast.session import materialize
@@ -98,3 +98,29 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total:
     done = marked.filter("_hot").drop("_hot")
     rest = marked.filter("_hot IS NULL").drop("_hot", *taken).join(groups.filter(F.col(size) <= least), key, "left")
     return done.unionByName(rest)
+
+
+def screen(rows: DataFrame, key: Column, listed: DataFrame, bits: int) -> DataFrame:
+    """rows with `_maybe`: false only where the long `key` is not in `listed` (one long column), so the row needs no join.
+
+    The listed keys are marked in a bit table of 2^bits places (2^(bits - 6) rows, at most 2^18) that every task holds. The
+    more keys, the more rows pass needlessly; none is missed.
+    """
+    bits = min(bits, 24)
+    name = listed.columns[0]
+    place = lambda k: k.bitwiseAND(F.lit((1 << bits) - 1))
+    word = lambda k: F.shiftright(place(k), 6)
+    bit = lambda k: place(k).bitwiseAND(F.lit(63)).cast("int")
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit(F.col(name)))
+    table = listed.groupBy(word(F.col(name)).alias("_word")).agg(F.bit_or(one).alias("_bits"))
+    keyed = rows.withColumn("_screened", key)
+    met = keyed.join(F.broadcast(table), word(F.col("_screened")) == F.col("_word"), "left")
+    on = F.call_function("shiftrightunsigned", F.col("_bits"), bit(F.col("_screened"))).bitwiseAND(F.lit(1)) == 1
+    return met.withColumn("_maybe", F.coalesce(on, F.lit(False))).drop("_word", "_bits", "_screened")
+
+
+def first_of(rows: DataFrame, keys: list[str], flag: str) -> DataFrame:
+    """Rows whose flag is set keep it only once per key; for rows that are alike in all that decides."""
+    order = Window.partitionBy(*keys).orderBy(F.monotonically_increasing_id())
+    marked = rows.filter(flag).withColumn("_n", F.row_number().over(order)).withColumn(flag, F.col("_n") == 1).drop("_n")
+    return marked.unionByName(rows.filter(~F.col(flag)))

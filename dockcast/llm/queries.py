@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockcast.llm import chat_format, license_scan, mixing, quality_rules, secret_scan
+from dockcast.llm import chat_format, exact_dedup, license_scan, mixing, packing, quality_rules, secret_scan, simhash, simple8b
 from dockcast.llm.common import documents
+from dockcast.session import scratch_path
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -62,6 +66,11 @@ def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, folder), TOKENIZER)
+
+
 @query
 def op5_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     given = spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text")
@@ -84,6 +93,25 @@ def op5_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    simple8b.write(documents(spark, folder), path, TOKENIZER)
+    return simple8b.read_index(spark, path)
+
+
+@query
+def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.decide(documents(spark, folder)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query
+def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.components(documents(spark, folder))
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 @query
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(mixing.sized(documents(spark, folder)))
