@@ -55,7 +55,7 @@ RULES = (
 )
 BASE = Policy("base", hard=("few_words", "repeated_words"))
 PRODUCTION = Policy(
-    "production-1",
+    "production_1",
     hard=(*BASE.hard, "symbols", "repeated_lines"),
     soft=("short_words", "long_words", "some_repeated_words", "some_repeated_lines", "some_symbols"),
     soft_limit=3,

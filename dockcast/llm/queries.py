@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockcast.llm import chat_format, exact_dedup, license_scan, mixing, packing, quality_rules, secret_scan, simhash, simple8b
+from dockcast.llm import chat_format, exact_dedup, license_scan, mixing, packing, quality_rules, secret_scan, simhash, simple8b, suffix_tree
 from dockcast.llm.common import documents
 from dockcast.session import scratch_path
 
@@ -93,6 +93,16 @@ def op5_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op6_suffix_tree(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    training = docs.filter(~suffix_tree.held_out())
+    scored = suffix_tree.score(docs, suffix_tree.train_tree(training), suffix_tree.train_unigrams(training))
+    return scored.select(
+        "doc_id", suffix_tree.held_out().alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 @query
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
