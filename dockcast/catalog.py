@@ -117,6 +117,11 @@ def _zoned(c: str) -> Column:
     return F.concat(F.date_format(c, "yyyy-MM-dd HH:mm:ss"), F.lit("-03:00")).try_cast("timestamp")
 
 
+def _as_instants(rows: DataFrame) -> DataFrame:
+    """The feed's wall clock read as three hours behind UTC."""
+    return rows.withColumn(TS, F.concat(F.date_format(TS, "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("-03:00")).try_cast("timestamp"))
+
+
 # ---- scans and sinks
 
 
@@ -382,6 +387,13 @@ def onehot(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("event_id", *[c.alias(n) for n, c in cells.items()])
 
 
+@query
+def model_ready_zoned(spark: SparkSession, folder: str) -> DataFrame:
+    """Instants become the UTC wall clock in any session zone."""
+    out = model_ready(_as_instants(status_hourly(spark, folder)), tie=TIE)
+    return rounded(out.select(KEY, TS, Y, "hour", "dow", "y_lag1", "y_lag2", "y_ma3"), "y_ma3")
+
+
 @query
 def numeric_features(spark: SparkSession, folder: str) -> DataFrame:
     out = encoding.numeric_features(ready(spark, folder), [KEY, TS, Y])
@@ -439,6 +451,13 @@ def reg_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(metrics_by(split_ready(spark, folder), ["split"], Y, F.col("y_ma3")), "rmse", "mae", "r2")
 
 
+@query
+def reg_metrics_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    """Forecasts that are missing for one hour of the day count nowhere but in the rows."""
+    yhat = F.when(F.col("hour") != 5, F.col("y_ma3"))
+    return rounded(metrics_by(split_ready(spark, folder), ["split"], Y, yhat), "rmse", "mae", "r2")
+
+
 @query
 def baseline_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(metrics_by(split_ready(spark, folder), ["split"], Y, persistence()), "rmse", "mae", "r2")
@@ -524,6 +543,28 @@ def slot_features(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(features_of_slots(spark, folder), "y_ma3", "y_ma6", "y_ma12", "y_diff1", "hour_sin", "hour_cos")
 
 
+@query
+def slot_features_reduced(spark: SparkSession, folder: str) -> DataFrame:
+    """The plan of a large, dense feed on this one: same answer."""
+    out = slot_plans.slot_features_reduced(targets(spark, folder), obs(spark, folder), tie=TIE)
+    return rounded(out, "y_ma3", "y_ma6", "y_ma12", "y_diff1", "hour_sin", "hour_cos")
+
+
+@query
+def slot_features_lead(spark: SparkSession, folder: str) -> DataFrame:
+    """Targets with a lead of their own; the plan must follow the targets, not the default."""
+    wide = materialize(targets(spark, folder).withColumn("lead_minutes", F.lit(240)), "targets")
+    out = slot_plans.slot_features(wide, obs(spark, folder), tie=TIE, target_rows=0)
+    return rounded(out, "y_ma3", "y_ma6", "y_ma12", "y_diff1", "hour_sin", "hour_cos")
+
+
+@query
+def slot_targets_zoned(spark: SparkSession, folder: str) -> DataFrame:
+    """The feed as instants; slots are wall clock of their zone."""
+    zoned = slot_plans.observations(_as_instants(status(spark, folder)), KEY, TS, Y, TIE, slots.DEFAULT_ZONE)
+    return slot_plans.slot_targets(zoned, tolerance_minutes=LONG_TOLERANCE, tie=TIE)
+
+
 @query
 def filter_slot(spark: SparkSession, folder: str) -> DataFrame:
     return targets(spark, folder).where((F.col("slot_label") == "09:00") & F.col("y").isNotNull()).select(KEY, "t_slot", "y")
@@ -552,6 +593,17 @@ def forecast_clipped(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(out.drop("yhat_lo", "yhat_hi"), "yhat")
 
 
+@query
+def forecast_static(spark: SparkSession, folder: str) -> DataFrame:
+    """A model on a column of the latest row, one out of its JSON, one of the station and the calendar of the forecast time."""
+    latest = latest_rows(spark, folder)
+    cells = encoding.json_values("props", ["k"])
+    known = serving.enrich(latest.withColumns(cells), stations(spark, folder).select(KEY, "capacity"))
+    score = forecast.LinearScore({"event_id": 0.001, "props_k": 0.5, "capacity": 0.25, "hour_sin": 2.0, "dow": 0.75}, intercept=1.0)
+    out = forecast.recursive_forecast(known, score, forecast.resolve_asof(latest, TS))
+    return rounded(out.drop("yhat_lo", "yhat_hi"), "yhat")
+
+
 @query
 def forecast_oneshot(spark: SparkSession, folder: str) -> DataFrame:
     latest = latest_rows(spark, folder)
@@ -631,6 +683,18 @@ def nearest_station(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(nearby.nearest_station(points, stations(spark, folder), "s_suppkey"), "distance_m", digits=3)
 
 
+@query
+def nearest_station_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    """Points without a position stay, without a station."""
+    points = table(spark, folder, "supplier").select(
+        "s_suppkey",
+        F.when(F.col("s_suppkey") % 5 != 0, F.lit(-34.6) + (F.col("s_suppkey") * 37 % 1000) * F.lit(0.0002)).alias("lat"),
+        (F.lit(-58.4) + (F.col("s_suppkey") * 91 % 1000) * F.lit(0.0002)).alias("lon"),
+    )
+    found = nearby.nearest_station(points, stations(spark, folder), "s_suppkey")
+    return rounded(found.withColumn(KEY, F.coalesce(KEY, F.lit(-1))), "distance_m", digits=3)
+
+
 @query
 def within_radius(spark: SparkSession, folder: str) -> DataFrame:
     out = serving.nearby_available(materialize(served(spark, folder), "served"), RADIUS_M)

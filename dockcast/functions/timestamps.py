@@ -77,6 +77,16 @@ def to_naive(zoned: Column, mode: str = "utc", zone: str = "UTC") -> Column:
     raise ValueError(f"mode must be 'utc' or 'local', not {mode!r}")
 
 
+def parse_wall_clock(c: Column, kind: str, mode: str = "utc", zone: str = "UTC") -> Column:
+    """Anything to a wall clock, whatever the session zone: instants by to_naive(), other text as it stands; NULL where it does not parse."""
+    if kind == "timestamp":
+        return to_naive(c, mode, zone)
+    if kind != "string":
+        return parse_ts(c)
+    offset = c.rlike(r"[0-9][ ]*([Zz]|UTC|GMT|[+-][0-9]{2}:?[0-9]{2})[ ]*$") & c.contains(":")
+    return F.when(offset, to_naive(c.try_cast("timestamp"), mode, zone)).otherwise(parse_ts(c))
+
+
 def ensure_zone_instant(ts: Column, zone: str, is_naive: bool) -> Column:
     """Localise a wall clock to `zone`, or leave a zoned value alone; the answer is the UTC wall clock of that instant."""
     if is_naive:

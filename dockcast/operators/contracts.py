@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from dockcast.functions.timestamps import parse_ts
+from dockcast.functions.timestamps import parse_ts, parse_wall_clock
 from dockcast.functions.values import to_numeric
 
 # fixed values: column names that are tried in this order
@@ -50,9 +50,13 @@ def normalize_id(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, F.col(name).try_cast("bigint") if digits else F.col(name).cast("string"))
 
 
-def parse_time(df: DataFrame, ts: str, seen: Observation | None = None) -> DataFrame:
-    """Parse a time column and drop the rows that do not parse; `seen` counts them in the same pass."""
-    parsed = df if dict(df.dtypes)[ts] == "timestamp_ntz" else df.withColumn(ts, parse_ts(F.col(ts)))
+def parse_time(df: DataFrame, ts: str, seen: Observation | None = None, mode: str = "utc", zone: str = "UTC") -> DataFrame:
+    """Parse a time column and drop the rows that do not parse; `seen` counts them in the same pass.
+
+    Zoned values, and text with an offset, are instants: they become the wall clock that `mode` and `zone` name (see to_naive).
+    """
+    kind = dict(df.dtypes)[ts]
+    parsed = df if kind == "timestamp_ntz" else df.withColumn(ts, parse_wall_clock(F.col(ts), kind, mode, zone))
     if seen is not None:
         parsed = parsed.observe(seen, F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(ts).isNull()).alias("n_bad"))
     return parsed.where(F.col(ts).isNotNull())

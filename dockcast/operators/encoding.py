@@ -13,7 +13,6 @@ from dockcast.functions.values import to_numeric
 from dockcast.operators.contracts import ContractError
 
 JSON_SHARE = 0.6
-MAX_JSON_KEYS = 1_000
 MAX_CATEGORIES = 20
 MIN_KNOWN_SHARE = 0.20
 PERFECT_CORRELATION = 0.999999
@@ -44,14 +43,20 @@ def _transpose(one_row: DataFrame, columns: Sequence[str], value: str) -> DataFr
     return one_row.select(F.inline(F.array(*cells)))
 
 
-def json_keys(df: DataFrame, column: str) -> list[str]:
-    """The keys found in a JSON column, sorted. Too many keys is an error, never a cut."""
-    found = df.select(F.explode(F.map_keys(F.from_json(column, _MAP))).alias("k")).distinct().limit(MAX_JSON_KEYS + 1).collect()
-    if len(found) > MAX_JSON_KEYS:
-        raise ContractError(f"{column} holds more than {MAX_JSON_KEYS} JSON keys")
+def json_keys(df: DataFrame, column: str, most: int | None = None) -> list[str]:
+    """The keys found in a JSON column, sorted: one column each. More than `most` is an error, never a cut; json_pairs() has no such need."""
+    keys = df.select(F.explode(F.map_keys(F.from_json(column, _MAP))).alias("k")).distinct()
+    found = (keys if most is None else keys.limit(most + 1)).collect()
+    if most is not None and len(found) > most:
+        raise ContractError(f"{column} holds more than {most} JSON keys")
     return sorted(row["k"] for row in found)
 
 
+def json_pairs(df: DataFrame, column: str, keep: Sequence[str]) -> DataFrame:
+    """The long form, for any number of keys: a row per kept columns, key and text value."""
+    return df.select(*keep, F.explode(F.from_json(column, _MAP)).alias("key", "value"))
+
+
 def json_values(column: str, keys: Sequence[str]) -> dict[str, Column]:
     """One number per key: true and false count as 1 and 0, anything else that is not a number as 0."""
     parsed = F.from_json(F.col(column), _MAP)

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 
 def regression_metrics(y: Column, yhat: Column) -> list[Column]:
-    """rmse, mae and r2 in one pass; r2 of a constant target is 1 if every error is 0, else 0."""
+    """rmse, mae and r2 in one pass over the rows with a target and a forecast; r2 of a constant target is 1 if every error is 0, else 0."""
     error = y - yhat
     squares = F.sum(error * error)
-    total = F.var_pop(y) * F.count(y)
+    scored = F.when(yhat.isNotNull(), y)
+    total = F.var_pop(scored) * F.count(scored)
     r2 = F.when(total > 0, 1 - squares / total).when(squares == 0, 1.0).otherwise(0.0)
     return [
         F.sqrt(F.avg(error * error)).alias("rmse"),

@@ -81,14 +81,14 @@ def around_station(found: DataFrame, focus: DataFrame, focus_id: object, key: st
 def nearest_station(points: DataFrame, stations: DataFrame, point_key: str, key: str = "station_id") -> DataFrame:
     """The nearest station of each point (lat, lon) and its distance; the smallest id on a tie at millimetre level.
 
-    Looks within a small radius first and repeats with a larger one for the points that found none,
+    Every point is returned; one without a position, or without any station, has NULLs. Looks within a small radius first and repeats with a larger one for the points that found none,
     so few points ever meet far stations. Stations at one position count as one candidate.
     """
     sites = stations.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).groupBy("lat", "lon").agg(F.min(key).alias(key))
     sites = materialize(sites, "sites")
-    left = points.select(point_key, F.col("lat").alias("flat"), F.col("lon").alias("flon")).where(
-        F.col("flat").isNotNull() & F.col("flon").isNotNull()
-    )
+    left = points.select(point_key, F.col("lat").alias("flat"), F.col("lon").alias("flon"))
+    placed = F.col("flat").isNotNull() & F.col("flon").isNotNull()
+    nowhere, left = left.where(~placed), left.where(placed)
     waiting = left.select(point_key).distinct().count() if not sites.isEmpty() else 0
     radius, rounds = FIRST_RADIUS_M, []
     while waiting and radius < RADIUS_GROWTH * HALF_CIRCUMFERENCE_M:
@@ -96,8 +96,10 @@ def nearest_station(points: DataFrame, stations: DataFrame, point_key: str, key:
         waiting -= rounds[-1].count()
         left = left.join(rounds[-1].select(point_key), point_key, "left_anti")
         radius *= RADIUS_GROWTH
-    absent = left.select(point_key, F.lit(None).cast(stations.schema[key].dataType).alias(key), F.lit(None).cast("double").alias("distance_m"))
-    return reduce(lambda a, b: a.unionByName(b), rounds) if rounds else absent.limit(0)
+    absent = nowhere.unionByName(left).select(
+        point_key, F.lit(None).cast(stations.schema[key].dataType).alias(key), F.lit(None).cast("double").alias("distance_m")
+    )
+    return reduce(lambda a, b: a.unionByName(b), rounds, absent)
 
 
 def _reachable(left: DataFrame, sites: DataFrame, radius_m: float) -> DataFrame:
@@ -125,7 +127,8 @@ def top_nearby(
     A dense area must not pair every focus with every candidate. First only the best candidates of each
     cube are paired. A focus is settled once its last place beats the best value left out of the cubes
     it looked into; the others are done again with many more candidates per cube, and at the end with all.
-    Stations at one position share their distance, so of those only the best top + 1 can matter.
+    Stations at one position share their distance, so of those only the best top + 1 can matter. Candidates without a
+    value or a position have no place in an order by value and are not listed.
     """
     here = Window.partitionBy("lat", "lon").orderBy(F.desc(value), F.asc(key))
     pool = candidates.where(F.col("lat").isNotNull() & F.col("lon").isNotNull() & F.col(value).isNotNull())

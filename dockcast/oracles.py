@@ -111,7 +111,8 @@ def _r(expr: str, digits: int = 6, name: str | None = None) -> str:
 
 
 def _metrics(y: str, p: str) -> dict[str, str]:
-    sse, sst = f"sum(({y} - {p}) * ({y} - {p}))", f"(var_pop({y}) * count({y}))"
+    known = f"FILTER (({y}) IS NOT NULL AND ({p}) IS NOT NULL)"
+    sse, sst = f"sum(({y} - {p}) * ({y} - {p}))", f"(var_pop({y}) {known} * count(*) {known})"
     return {
         "rmse": f"sqrt(avg(({y} - {p}) * ({y} - {p})))",
         "mae": f"avg(abs({y} - {p}))",
@@ -335,6 +336,11 @@ def all_oracles() -> dict[str, str]:
     numeric = ", ".join(
         [f"{c}::DOUBLE AS {c}" for c in [*plain, "y_lag1", "y_lag2"]] + [_r(c) for c in ("hour_sin", "hour_cos", "y_ma3")]
     )
+    sql["model_ready_zoned"] = _with(
+        _BASE,
+        f"""SELECT station_id, ts_local + INTERVAL 3 HOUR AS ts_local, {_Y}, hour(ts_local + INTERVAL 3 HOUR)::INTEGER AS hour,
+            (isodow(ts_local + INTERVAL 3 HOUR) - 1)::INTEGER AS dow, y_lag1, y_lag2, {_r("y_ma3")} FROM ready""",
+    )
     sql["numeric_features"] = _with(_BASE, f"SELECT event_id::DOUBLE AS event_id, {numeric} FROM ready")
     sql["make_xy"] = _with(
         _BASE,
@@ -373,6 +379,9 @@ def all_oracles() -> dict[str, str]:
     sql["temporal_split"] = _with(_SPLIT, "SELECT station_id, ts_local, split FROM labelled")
     sql["split_report"] = _with(_SPLIT, "SELECT split, min(ts_local) AS first_ts, max(ts_local) AS last_ts, count(*) AS n_rows FROM labelled GROUP BY split")
     sql["reg_metrics"] = _with(_SPLIT, f"SELECT split, count(*) AS n_rows, {_metric_list(_Y, 'y_ma3')} FROM labelled GROUP BY split")
+    sql["reg_metrics_gaps"] = _with(
+        _SPLIT, f"SELECT split, count(*) AS n_rows, {_metric_list(_Y, 'CASE WHEN hour <> 5 THEN y_ma3 END')} FROM labelled GROUP BY split"
+    )
     sql["baseline_metrics"] = _with(_SPLIT, f"SELECT split, count(*) AS n_rows, {_metric_list(_Y, 'coalesce(y_lag1, 0)')} FROM labelled GROUP BY split")
     sql["backtest_folds"] = _with(
         _FOLDED, "SELECT fold, part, min(train_end) AS train_end, min(val_end) AS val_end, count(*) AS n_rows FROM folded GROUP BY fold, part"
@@ -419,6 +428,12 @@ def all_oracles() -> dict[str, str]:
     sql["slot_targets_short"] = _with(f"{_SLOT_BASE}, {_targets(60)}", "SELECT * FROM targets")
     replaced = ", ".join(f"round({c}, 6) + 0.0::DOUBLE AS {c}" for c in ("y_ma3", "y_ma6", "y_ma12", "y_diff1", "hour_sin", "hour_cos"))
     sql["slot_features"] = _with(_SLOT_HISTORY, f"SELECT * REPLACE ({replaced}) FROM slot_features")
+    sql["slot_features_reduced"] = sql["slot_features"]
+    sql["slot_features_lead"] = _with(
+        _SLOT_HISTORY.replace("10::INTEGER AS lead_minutes", "240::INTEGER AS lead_minutes").replace("INTERVAL 10 MINUTE", "INTERVAL 240 MINUTE"),
+        f"SELECT * REPLACE ({replaced}) FROM slot_features",
+    )
+    sql["slot_targets_zoned"] = sql["slot_targets"]
     sql["filter_slot"] = _with(f"{_SLOT_BASE}, {_targets(720)}", "SELECT station_id, t_slot, y FROM targets WHERE slot_label = '09:00' AND y IS NOT NULL")
     five = "('09:00'), ('13:00'), ('16:00'), ('20:00'), ('07:30')"
     sql["slot_order"] = _with(
@@ -431,6 +446,14 @@ def all_oracles() -> dict[str, str]:
     # forecasts
     sql["forecast_recursive"] = _with(_FORECAST, f"SELECT station_id, timestamp_pred, h, {_r('yhat')} FROM forecast")
     sql["forecast_clipped"] = _with(_CLIPPED, f"SELECT station_id, timestamp_pred, h, {_r('yhat')} FROM forecast")
+    at = "(t0 + x.h * INTERVAL 1 HOUR)"
+    static = f"""1.0::DOUBLE + 0.001::DOUBLE * event_id + 0.5::DOUBLE * json_extract_string(props, '$.k')::DOUBLE + 0.25::DOUBLE * s.capacity
+              + 2.0::DOUBLE * sin(2 * pi() * hour{at} / 24.0::DOUBLE) + 0.75::DOUBLE * (isodow{at} - 1)"""
+    sql["forecast_static"] = _with(
+        _FORECAST,
+        f"""SELECT station_id, {at} AS timestamp_pred, x.h::INTEGER AS h, {_r(static, 6, "yhat")}
+            FROM latest JOIN stations s USING (station_id), (SELECT max(ts_local) AS t0 FROM latest), (VALUES (1), (3), (6), (12)) AS x(h)""",
+    )
     sql["forecast_oneshot"] = _with(
         _FORECAST,
         f"""SELECT station_id, t0 + x.h * INTERVAL 1 HOUR AS timestamp_pred, x.h::INTEGER AS h,
@@ -501,6 +524,9 @@ def all_oracles() -> dict[str, str]:
         f"""SELECT s_suppkey, station_id, {_r("distance_m", 3)} FROM pairs
             QUALIFY row_number() OVER (PARTITION BY s_suppkey ORDER BY round(distance_m, 3), station_id) = 1""",
     )
+    sql["nearest_station_gaps"] = f"""SELECT s_suppkey,
+        CASE WHEN s_suppkey % 5 <> 0 THEN station_id ELSE -1 END AS station_id, CASE WHEN s_suppkey % 5 <> 0 THEN distance_m END AS distance_m
+        FROM ({sql["nearest_station"]})"""
     sql["within_radius"] = _with(
         f"{_SERVED}, spots AS (SELECT DISTINCT lat, lon FROM served)",
         f"""SELECT {_r("p.lat", 6, "focus_lat")}, {_r("p.lon", 6, "focus_lon")}, o.station_id, o.light, {_r(_haversine("p.", "o."), 3, "distance_m")}

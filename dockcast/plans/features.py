@@ -20,17 +20,22 @@ def model_ready(
     ts: str = "ts_local",
     y: str = "num_bikes_available",
     tie: Sequence[str] = (),
-    enforce: bool = False,
+    enforce: bool = True,
     target_rows: int | None = None,
+    mode: str = "utc",
+    zone: str = "UTC",
 ) -> DataFrame:
     """Parse, normalise, dedup, add calendar and history, drop rows without full history.
 
     One shuffle by (key, segment) and one sort carry dedup and all history columns. `enforce`
-    runs the data contract first, as one extra aggregate over three columns.
+    runs the data contract first, as one extra aggregate over three columns. `tie` decides which of several rows with one
+    key and time stays; without it such rows would be picked by their target, so it is required.
     """
+    if not tie:
+        raise ValueError("name the columns that break ties between rows with one key and time")
     require_columns(raw, key, ts, y)
-    typed = coerce_target(parse_time(normalize_id(raw, key), ts), y)
+    typed = coerce_target(parse_time(normalize_id(raw, key), ts, mode=mode, zone=zone), y)
     if enforce:
         check_contract(typed, key, ts, y)
-    history = add_training_history(typed, key, ts, y, list(tie) or [y], target_rows)
+    history = add_training_history(typed, key, ts, y, list(tie), target_rows)
     return history.dropna(subset=HISTORY_COLUMNS).withColumns(calendar_columns(F.col(ts)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 from zoneinfo import ZoneInfo
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from dockcast.functions.calendar import calendar_of, cyclic
 from dockcast.functions.timestamps import lit_ts
 from dockcast.functions.values import clip
+from dockcast.operators.encoding import numeric_columns
 from dockcast.operators.history import latest_per_key
 from dockcast.operators.quantiles import grouped_quantiles
 from dockcast.operators.contracts import ContractError
@@ -25,17 +26,24 @@ LAGS = ("y_lag1", "y_lag2", "y_ma3")
 Scorer = Callable[[DataFrame, Mapping[str, Column], str], DataFrame]
 
 
+def require_features(wanted: Iterable[str], known: Mapping[str, Column]) -> None:
+    missing = sorted(set(wanted) - set(known))
+    if missing:
+        raise ContractError(f"the rows lack features of the model: {missing}")
+
+
 @dataclass(frozen=True)
 class LinearScore:
-    """A model that is a weighted sum; scores inside the projection."""
+    """A model that is a weighted sum; scores inside the projection. A feature that the row does not have is an error, a NULL counts as 0."""
 
     weights: Mapping[str, float]
     intercept: float = 0.0
 
     def __call__(self, df: DataFrame, features: Mapping[str, Column], output: str) -> DataFrame:
+        require_features(self.weights, features)
         total = F.lit(self.intercept)
         for name, weight in self.weights.items():
-            total = total + F.lit(weight) * features.get(name, F.lit(0.0))
+            total = total + F.lit(weight) * F.coalesce(features[name], F.lit(0.0))
         return df.withColumn(output, total)
 
 
@@ -64,7 +72,6 @@ def recursive_forecast(
     step_minutes: int = DEFAULT_STEP_MINUTES,
     key: str = "station_id",
     y: str = "num_bikes_available",
-    constants: Sequence[str] = (),
     capacity: str | None = None,
     shift_in_current: bool = False,
     interval: Callable[[str], tuple[Column, Column]] | None = None,
@@ -73,7 +80,8 @@ def recursive_forecast(
 
     Each horizon is scored from the lags left by the one before it; lags move once per listed horizon.
     The first step uses the latest row's own lags, unless `shift_in_current` moves the newest observation
-    in first. Stations without full lags are left out. Values are held in [0, capacity] only if a capacity
+    in first. Every other numeric column of the latest row (encode it first if it holds text) is a feature that stays as it is;
+    the calendar is that of the forecast time. Stations without full lags are left out. Values are held in [0, capacity] only if a capacity
     column is given. All horizons are columns of the same row until one explode at the end.
     """
     if step_minutes <= 0 or not horizons:
@@ -86,7 +94,7 @@ def recursive_forecast(
     steps = sorted(set(horizons))
     ends = {h: asof + timedelta(minutes=step_minutes * h) for h in steps}
     for h in steps:
-        features = {c: F.col(c).cast("double") for c in constants}
+        features = {c: F.col(c).cast("double") for c in numeric_columns(latest)}
         features |= {"y_lag1": F.col("_lag1"), "y_lag2": F.col("_lag2"), "y_ma3": F.col("_mean3")}
         features |= {name: F.lit(float(v)) for name, v in calendar_of(ends[h]).items()}
         state = score(state, features, f"_raw{h}")

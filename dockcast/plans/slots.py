@@ -8,29 +8,43 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockcast.functions.calendar import calendar_columns
-from dockcast.functions.timestamps import add_minutes, minutes
+from dockcast.functions.timestamps import MICROS_PER_DAY, MICROS_PER_MINUTE, add_minutes, micros, minutes, parse_wall_clock
 from dockcast.functions.values import to_numeric
 from dockcast.operators.asof import asof_join
+from dockcast.operators.contracts import check_times, normalize_id
 from dockcast.operators.history import add_slot_history
 from dockcast.operators.segments import TARGET_ROWS
 from dockcast.operators.slots import (
     DEFAULT_LEAD_MINUTES,
     DEFAULT_SLOTS,
     DEFAULT_TOLERANCE_MINUTES,
+    DEFAULT_ZONE,
     GENERATED_FROM,
+    minute_of_day,
     next_slot,
     slot_grid,
     smallest_gap_minutes,
 )
 
+# fixed values: column names of the slot tables
 TARGET_COLUMNS = ["station_id", "t_slot", "slot_label", "y", "generated_from", "lead_minutes", "ts_matched"]
 
 
-def observations(raw: DataFrame, key: str, ts: str, y: str, tie: Sequence[str] = ()) -> DataFrame:
-    """station_id, ts, y and the tie-break columns of a feed."""
-    return raw.select(
-        F.col(key).alias("station_id"), F.col(ts).alias("ts"), to_numeric(F.col(y)).alias("y"), *tie
-    ).where(F.col("station_id").isNotNull() & F.col("ts").isNotNull())
+def observations(
+    raw: DataFrame, key: str, ts: str, y: str, tie: Sequence[str] = (), zone: str = DEFAULT_ZONE, strict: bool = True
+) -> DataFrame:
+    """station_id, ts, y and the tie-break columns of a feed; ids of one type, times as the wall clock of `zone`.
+
+    Text that is no time is an error, or dropped with `strict` off. Rows without an id or a time cannot be placed and go.
+    """
+    kind = dict(raw.dtypes)[ts]
+    typed = normalize_id(raw, key)
+    if kind == "string" and strict:
+        check_times(typed.where(F.col(ts).isNotNull()), ts)
+    at = F.col(ts) if kind == "timestamp_ntz" else parse_wall_clock(F.col(ts), kind, "local", zone)
+    return typed.select(F.col(key).alias("station_id"), at.alias("ts"), to_numeric(F.col(y)).alias("y"), *tie).where(
+        F.col("station_id").isNotNull() & F.col("ts").isNotNull()
+    )
 
 
 def slot_targets(
@@ -92,21 +106,30 @@ def slot_features(
     widths: Sequence[int] = (3, 6, 12),
     tie: Sequence[str] = (),
     max_age_minutes: float | None = None,
+    target_rows: int = TARGET_ROWS,
 ) -> DataFrame:
-    """Features of each slot from the history up to slot minus lead, for slots on the daily grid with one lead.
+    """Features of each slot from the history up to slot minus its lead.
 
-    A large, dense feed is reduced to the newest rows per slot before any shuffle. A small or sparse
-    one has little to reduce and goes through plain windows.
+    Targets that all lie on the daily grid and have the given lead allow a large, dense feed to be reduced to the newest
+    rows per slot before any shuffle. All other targets, and a small or sparse feed, go through plain windows. Both
+    give the same answer wherever the first one is allowed.
     """
-    if _is_dense(obs, slots, max(max_lag + 1, *widths)):
+    if _is_dense(obs, slots, max(max_lag + 1, *widths), target_rows) and _on_grid(targets, slots, lead_minutes):
         return slot_features_reduced(targets, obs, slots, lead_minutes, max_lag, widths, tie, max_age_minutes)
     return slot_features_any(targets, obs, max_lag, widths, tie, max_age_minutes)
 
 
-def _is_dense(obs: DataFrame, slots: Sequence[str], depth: int) -> bool:
+def _on_grid(targets: DataFrame, slots: Sequence[str], lead_minutes: int) -> bool:
+    """Whether every target lies on the daily grid and has the given lead."""
+    marks = [MICROS_PER_MINUTE * minute_of_day(s) for s in slots]
+    fits = F.pmod(micros(F.col("t_slot")), F.lit(MICROS_PER_DAY)).isin(marks) & (F.col("lead_minutes") == lead_minutes)
+    return targets.where(~F.coalesce(fits, F.lit(False))).isEmpty()
+
+
+def _is_dense(obs: DataFrame, slots: Sequence[str], depth: int, target_rows: int = TARGET_ROWS) -> bool:
     """Whether a table too large for one task holds more rows per station and slot than a slot can use."""
     rows = obs.count()
-    if rows <= TARGET_ROWS:
+    if rows <= target_rows:
         return False
     stations, low, high = obs.agg(F.approx_count_distinct("station_id"), F.min("ts"), F.max("ts")).first()
     return rows > depth * stations * ((high - low).days + 1) * len(slots)

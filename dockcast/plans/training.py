@@ -28,6 +28,7 @@ from dockcast.operators.encoding import kept_features, numeric_columns, screen_f
 from dockcast.operators.metrics import metrics_by, regression_metrics
 from dockcast.operators.split import fold_cuts
 from dockcast.operators.contracts import ContractError
+from dockcast.plans.forecast import require_features
 from dockcast.session import materialize
 
 Folds = Sequence[tuple[int, datetime, datetime]]
@@ -87,12 +88,16 @@ def expected_features(model: PipelineModel) -> list[str]:
     return model.stages[0].getInputCols()
 
 
-def model_scorer(model: PipelineModel, leaf: bool = False) -> Callable[[DataFrame, Mapping[str, Column], str], DataFrame]:
-    """Score a table whose features are expressions; absent features count as 0."""
+def model_scorer(
+    model: PipelineModel, leaf: bool = False, absent_as_zero: bool = False
+) -> Callable[[DataFrame, Mapping[str, Column], str], DataFrame]:
+    """Score a table whose features are expressions. An absent feature is an error unless it is asked to count as 0."""
     names = expected_features(model)
     predictor = model.stages[-1].copy()
 
     def score(df: DataFrame, features: Mapping[str, Column], output: str) -> DataFrame:
+        if not absent_as_zero:
+            require_features(names, features)
         cells = [F.coalesce(features[c], F.lit(0.0)) if c in features else F.lit(0.0) for c in names]
         inputs = df.withColumn("_inputs", F.struct(*[e.cast("double").alias(c) for e, c in zip(cells, names, strict=True)]))
         assembler = VectorAssembler(inputCols=[f"_f{i}" for i in range(len(names))], outputCol="_features")

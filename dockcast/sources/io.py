@@ -58,12 +58,18 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
 
 
-def scan_glob(spark: SparkSession, *paths: str, skip_corrupt: bool = True) -> DataFrame:
-    """All files of a glob by column name, each row with its file; unreadable files are skipped on request."""
+def scan_glob(spark: SparkSession, *paths: str, skip_corrupt: bool = False) -> DataFrame:
+    """All files of a glob by column name, each row with its file. An unreadable file is an error; on request it is skipped (see unread_files)."""
     reader = spark.read.option("mergeSchema", "true").option("ignoreCorruptFiles", str(skip_corrupt).lower())
     return reader.parquet(*paths).select("*", F.col("_metadata.file_path").alias("source_file"))
 
 
+def unread_files(spark: SparkSession, found: DataFrame, *paths: str) -> list[str]:
+    """Files of a glob that gave no row to a scan that skips unreadable ones; an empty file is among them."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(list(paths)).select(F.col("path").alias("source_file"))
+    return sorted(r["source_file"] for r in listed.join(found.select("source_file").distinct(), "source_file", "left_anti").collect())
+
+
 def load_predictions(spark: SparkSession, slots_path: str, horizon_path: str) -> DataFrame:
     """Slot predictions if there are any, else horizon predictions, else a typed empty table.
 

@@ -25,6 +25,8 @@ def cell(value):
         return ""
     if isinstance(value, pd.Timestamp):
         return value.isoformat()
+    if isinstance(value, float) and value.is_integer():  # a whole-number column with NULLs
+        return repr(int(value))
     return repr(value)
 
 

@@ -30,7 +30,7 @@ def feed(spark):
 
 @pytest.fixture(scope="module")
 def rows(spark, feed):
-    return materialize(split.temporal_split(model_ready(feed), TS), "rows")
+    return materialize(split.temporal_split(model_ready(feed, tie=[Y]), TS), "rows")
 
 
 @pytest.fixture(scope="module")
