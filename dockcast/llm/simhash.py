@@ -34,7 +34,9 @@ BITS = 64
 SHINGLE, BUDGET = 3, 2
 #: A bucket with more fingerprints than this is cut anew; pairs of nodes that are followed at once.
 MOST_IN_BUCKET = 1 << 16
-FRONTIER = 1 << 20
+FRONTIER = 1 << 16
+#: Links that are held before they are merged into the sets.
+LINKS = 1 << 19
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -102,17 +104,28 @@ LAID = "path string, bucket long, value long, fp long"
 
 
 class _Sets:
-    """Connected sets of 0..n-1, fed with arrays of links."""
+    """Connected sets of 0..n-1, fed with arrays of links. Links inside a set are dropped at once, the others merged in bulk."""
 
     def __init__(self, n: int):
         self.of = np.arange(n)
+        self.held: list[tuple[np.ndarray, np.ndarray]] = []
 
     def link(self, a: np.ndarray, b: np.ndarray) -> None:
+        new = self.of[a] != self.of[b]
+        if new.any():
+            self.held.append((a[new], b[new]))
+        if sum(len(x) for x, _ in self.held) > LINKS:
+            self.merge()
+
+    def merge(self) -> None:
+        if not self.held:
+            return
+        a, b = (np.concatenate(x) for x in zip(*self.held, strict=True))
+        self.held = []
         while len(a):
             x, y = self.of[a], self.of[b]
-            low, high = np.minimum(x, y), np.maximum(x, y)
-            np.minimum.at(self.of, high, low)
-            while (jumped := self.of[self.of]).tobytes() != self.of.tobytes():
+            np.minimum.at(self.of, np.maximum(x, y), np.minimum(x, y))
+            while not np.array_equal(jumped := self.of[self.of], self.of):
                 self.of = jumped
             open_ = self.of[a] != self.of[b]
             a, b = a[open_], b[open_]
@@ -147,8 +160,7 @@ def join_trie(values: np.ndarray, shared: int, budget: int) -> np.ndarray:
         if not len(a):
             continue
         if len(a) > FRONTIER:
-            half = len(a) // 2
-            stack += [(depth, *(x[:half] for x in (a, b, c, d, off))), (depth, *(x[half:] for x in (a, b, c, d, off)))]
+            stack += [(depth, *(x[i : i + FRONTIER].copy() for x in (a, b, c, d, off))) for i in range(0, len(a), FRONTIER)]
             continue
         m, n = split(depth, a, b), split(depth, c, d)
         own = a == c
@@ -163,6 +175,7 @@ def join_trie(values: np.ndarray, shared: int, budget: int) -> np.ndarray:
         together = [np.concatenate(x) for x in zip(*parts, strict=True)]
         full = (together[1] > together[0]) & (together[3] > together[2])
         stack.append((depth + 1, *(x[full] for x in together)))
+    sets.merge()
     return sets.of
 
 
