@@ -150,4 +150,4 @@ def filter_documents(docs: DataFrame, policy: Policy = PRODUCTION, rules: tuple[
     """The documents that pass, with their own columns only."""
     clashes = {c: f"_own_{i}" for i, c in enumerate(docs.columns) if c in (*MEASURES, "failed_bits")}
     kept = ledger(docs.withColumnsRenamed(clashes), rules, clashes.get(text, text)).filter(passes(policy, rules))
-    return kept.withColumnsRenamed({v: k for k, v in clashes.items()}).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return kept.drop(*MEASURES, "failed_bits").withColumnsRenamed({v: k for k, v in clashes.items()}).select(*[F.col(f"`{c}`") for c in docs.columns])
