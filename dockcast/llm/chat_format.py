@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockcast.llm.common import let, whole_text
+from dockcast.llm.common import computed_once, let, whole_text
 
 START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>\n"
 #: A control run: the end of a block with the next block's start, the first start, or a separator.
@@ -76,8 +76,8 @@ def format_conversations(turns: DataFrame, conv: str = "conv_id", loss_role: str
     end = F.struct(F.lit(len(END)).alias("length"), F.lit(False).alias("loss"))
     return blocks.select(
         conv,
-        F.array_join(F.transform("blocks", body), "").alias("formatted"),
-        F.concat(F.flatten(F.transform("blocks", lambda b, i: _runs(b, i == 0, loss_role))), F.array(end)).alias("mask"),
+        computed_once(F.array_join(F.transform("blocks", body), "")).alias("formatted"),
+        computed_once(F.concat(F.flatten(F.transform("blocks", lambda b, i: _runs(b, i == 0, loss_role))), F.array(end))).alias("mask"),
     )
 
 

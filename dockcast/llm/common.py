@@ -54,6 +54,15 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def computed_once(value: Column) -> Column:
+    """The value, marked so that the optimizer neither copies its expression into later filters nor evaluates it again.
+
+    A filter on a deep expression would otherwise be rewritten in terms of the table's columns, and grow with every
+    reference inside it. The condition is always true, but not deterministic, which ends the rewriting.
+    """
+    return F.when(F.monotonically_increasing_id() >= 0, value)
+
+
 def matches(text: Column, pattern: Column | str) -> Column:
     """All non-overlapping matches of a pattern from the left: array<struct<start, end, found>>, code points, end exclusive.
 

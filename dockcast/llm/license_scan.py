@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockcast.llm.common import count_between, let, lower_ascii, matches, whole_text
+from dockcast.llm.common import computed_once, count_between, let, lower_ascii, matches, whole_text
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 RESULTS = ["n_words", "base_places", "detections", "labels", "score"]
@@ -187,9 +187,9 @@ def scan(docs: DataFrame, rules: list[Rule] | None = None, text: str = "text") -
         .withColumn("n_words", count_between(F.col("_text"), NOT_WORD))
         .withColumn("_laid", F.when(gate, laid(lower_ascii(F.col("_text")))))
         .withColumn("_active", F.when(open_, let(present, lambda p: F.filter(table, lambda r: F.array_contains(p, r["keyword"])))))
-        .withColumn("base_places", F.when(open_, base).otherwise(none_base))
+        .withColumn("base_places", computed_once(F.when(open_, base).otherwise(none_base)))
         .withColumn("_found", F.when(open_, F.flatten(F.transform("_active", detect))))
-        .withColumn("detections", F.when(open_, survivors(F.col("_found"))).otherwise(none_found))
+        .withColumn("detections", computed_once(F.when(open_, survivors(F.col("_found"))).otherwise(none_found)))
         .withColumn("labels", all_labels)
         .withColumn("score", F.greatest(F.lit(0.0), F.coalesce(F.array_max(F.transform("detections", lambda d: d["confidence"])), F.lit(0.0))))
         .drop("_text", "_laid", "_active", "_found")

@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockcast.llm.common import whole_text, words_of
+from dockcast.llm.common import computed_once, whole_text, words_of
 
 WINDOW = 8
 SYMBOLS = r"[#*$%&|<>]"
@@ -90,7 +90,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         .withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
         .withColumn(
             "n_repeat_words",
-            F.coalesce(F.aggregate(F.transform(s, covered), F.lit(0), lambda a, x: a + x), F.lit(0)).cast("long"),
+            computed_once(F.coalesce(F.aggregate(F.transform(s, covered), F.lit(0), lambda a, x: a + x), F.lit(0)).cast("long")),
         )
         .drop("_text", "_words", "_lines", "_n", "_hashes", "_windows", "_again", "_sorted", "_starts")
     )

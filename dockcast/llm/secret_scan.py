@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockcast.llm.common import matches, whole_text, words_of
+from dockcast.llm.common import computed_once, matches, whole_text, words_of
 
 # The three patterns, and the least length of what each must find.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -113,9 +113,9 @@ def scan(docs: DataFrame, ratio: list[float], text: str = "text") -> DataFrame:
     return (
         docs.drop(*(c for c in ("base", "spans") if c != text))
         .withColumn("_text", whole_text(text))
-        .withColumn("base", base_spans(body))
+        .withColumn("base", computed_once(base_spans(body)))
         .withColumn("_added", added)
-        .withColumn("spans", F.array_sort(F.concat("base", "_added")))
+        .withColumn("spans", computed_once(F.array_sort(F.concat("base", "_added"))))
         .drop("_text", "_added")
     )
 

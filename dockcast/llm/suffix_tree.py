@@ -33,19 +33,24 @@ from pyspark.sql import functions as F
 from dockcast.llm.common import store
 
 DEPTH = 5
-LEAST_SHARE = 4e-5
+LEAST_SHARE = 1e-4
 LEAST_DIVERGENCE = 0.01  # nats
 PRIOR = 16.0  # symbols that the smoothing counts for
 HEAD_WORDS = 1 << 17
 END = 255
-SLICE_BYTES = 8 << 20
-STREAM = 4096
+SLICE_BYTES = 2 << 20
+STREAM = 2048
 
 
 @dataclass(frozen=True)
 class Tree:
-    """The automaton: per node and byte the next node and the log10 probability; the node after an end; contexts kept."""
+    """The automaton over the symbols seen in training, and one that stands for all others.
 
+    `symbol` numbers the bytes; per node and symbol there are the next node and the log10 probability; `start` is the node after
+    an end.
+    """
+
+    symbol: np.ndarray
     step: np.ndarray
     log10: np.ndarray
     start: int
@@ -126,7 +131,7 @@ def _count_grams(depth: int):
             for k in range(1, depth):
                 real[first_end + k] = False
             parts.append(np.unique(codes[real], return_counts=True))
-            if sum(len(p[0]) for p in parts) > 1 << 22:
+            if sum(len(p[0]) for p in parts) > 1 << 20:
                 parts = [_merge(parts)]
         if parts:
             codes, counts = _merge(parts)
@@ -171,55 +176,63 @@ def contexts(
     return states.unionByName(common.filter("depth = 0"))
 
 
-def compile_tree(rows: list, depth: int = DEPTH) -> Tree:
-    """States (depth, context, symbol, n, total) to the automaton."""
-    states: dict[bytes, np.ndarray] = {b"": np.zeros(256)}
-    for r in rows:
-        states.setdefault(r["context"].to_bytes(r["depth"], "big"), np.zeros(256))[r["symbol"]] = r["n"]
-    smooth: dict[bytes, np.ndarray] = {}
-    for name in sorted(states, key=len):
-        rest = next((smooth[name[k:]] for k in range(1, len(name) + 1) if name[k:] in smooth), np.full(256, 1 / 256))
-        smooth[name] = (states[name] + PRIOR * rest) / (states[name].sum() + PRIOR)
-    nodes = sorted({name[:k] for name in states for k in range(len(name) + 1)}, key=lambda x: (len(x), x))
+def compile_tree(states: pa.Table, depth: int = DEPTH) -> Tree:
+    """States (depth, context, symbol, n) to the automaton."""
+    depths, contexts_, symbols, counts = (states[c].to_numpy() for c in ("depth", "context", "symbol", "n"))
+    used = np.union1d(symbols[depths == 0], [END]).astype(np.int64)
+    other, width = len(used), len(used) + 1
+    symbol = np.full(256, other, np.int64)
+    symbol[used] = np.arange(other)
+    pairs, state = np.unique(np.stack([depths.astype(np.int64), contexts_]), axis=1, return_inverse=True)
+    names = [int(c).to_bytes(8, "big", signed=True)[8 - d :] if d else b"" for d, c in pairs.T.tolist()] or [b""]
+    seen = np.zeros((len(names), width))
+    np.add.at(seen, (state.ravel(), symbol[symbols]), counts)
+    row = {name: i for i, name in enumerate(names)}
+    smooth = np.empty((len(names), width))
+    for name in sorted(names, key=len):
+        i = row[name]
+        rest = next((smooth[row[name[k:]]] for k in range(1, len(name) + 1) if name[k:] in row), 1 / 256)
+        smooth[i] = (seen[i] + PRIOR * rest) / (seen[i].sum() + PRIOR)
+    np.log10(smooth, out=smooth)
+    nodes = sorted({name[:k] for name in names for k in range(len(name) + 1)}, key=lambda x: (len(x), x))
     number = {name: i for i, name in enumerate(nodes)}
-    step = np.zeros((len(nodes), 256), np.int32)
-    log10 = np.empty((len(nodes), 256), np.float32)
-    suffix = np.zeros(len(nodes), np.int32)
+    step = np.zeros((len(nodes), width), np.int32)
+    log10 = np.empty((len(nodes), width), np.float32)
     children: dict[bytes, list[bytes]] = {}
     for name in nodes[1:]:
         children.setdefault(name[:-1], []).append(name)
     for i, name in enumerate(nodes):  # shorter ones first, so the suffix's row is ready
+        suffix = next((number[name[k:]] for k in range(1, len(name) + 1) if name[k:] in number), 0)
         if name:
-            suffix[i] = next(number[name[k:]] for k in range(1, len(name) + 1) if name[k:] in number)
-            step[i] = step[suffix[i]]
-        log10[i] = np.log10(smooth[name]) if name in smooth else log10[suffix[i]]
+            step[i] = step[suffix]
+        log10[i] = smooth[row[name]] if name in row else log10[suffix]
         for child in children.get(name, ()):
-            step[i, child[-1]] = number[child]
+            step[i, symbol[child[-1]]] = number[child]
     start = 0
     for _ in range(depth):
-        start = int(step[start, END])
-    step[:, END] = start
-    return Tree(step, log10, start, len(states), depth)
+        start = int(step[start, symbol[END]])
+    step[:, symbol[END]] = start
+    return Tree(symbol, step, log10, start, len(names), depth)
 
 
 def train_tree(docs: DataFrame, text: str = "text") -> Tree:
-    return compile_tree(contexts(docs, text).collect())
+    return compile_tree(contexts(docs, text).select("depth", "context", "symbol", "n").toArrow())
 
 
 def score_symbols(tree: Tree, symbols: np.ndarray) -> np.ndarray:
     """log10 probability of every symbol. Streams start `depth` symbols early, which is all a state can depend on."""
-    n, depth = len(symbols), tree.depth
+    n, depth, width = len(symbols), tree.depth, tree.step.shape[1]
     streams = max(1, -(-n // STREAM))
     padded = np.full(depth + streams * STREAM, END, np.uint8)
     padded[depth : depth + n] = symbols
-    grid = np.lib.stride_tricks.as_strided(padded, (streams, depth + STREAM), (STREAM, 1))
-    columns = np.ascontiguousarray(grid.T).astype(np.int64)
+    columns = np.lib.stride_tricks.as_strided(padded, (streams, depth + STREAM), (STREAM, 1)).T
     step, log10 = tree.step.ravel(), tree.log10.ravel()
     out = np.empty((STREAM, streams), np.float32)
     node = np.zeros(streams, np.int64)
-    node[0] = tree.start
     for t in range(depth + STREAM):
-        place = node * 256 + columns[t]
+        if t == depth:
+            node[0] = tree.start
+        place = node * width + tree.symbol[columns[t]]
         if t >= depth:
             out[t - depth] = log10[place]
         node = step[place].astype(np.int64)
@@ -269,8 +282,9 @@ def _score(tree: Tree, head: dict[str, int], below: float, ends: int):
 def score(docs: DataFrame, tree: Tree, words: Unigrams, text: str = "text") -> DataFrame:
     """One row per document: doc_id, n_tokens, n_known, train_tokens, base_score and score (log10 probabilities)."""
     below = float(words.tokens + words.distinct + 1)
-    frequent = words.counts.orderBy(F.desc("c"), "word").limit(HEAD_WORDS).collect()  # a bounded table
-    run = _score(tree, {r["word"]: r["c"] for r in frequent}, below, words.ends)
+    frequent = words.counts.orderBy(F.desc("c"), "word").limit(HEAD_WORDS).toArrow()  # a bounded table
+    head = dict(zip(frequent["word"].to_pylist(), frequent["c"].to_pylist(), strict=True))
+    run = _score(tree, head, below, words.ends)
     out = store(docs.select("doc_id", text).mapInArrow(run, SCORED), "lm-scored")
     c = F.coalesce("c", F.lit(0))
     other = (
