@@ -32,6 +32,8 @@ SIDE = len(ALPHABET) + 1  # place 0 is the start of a token, and any other chara
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 #: Documents that the models are trained on, about; they are chosen by a hash of their id.
 SAMPLE_DOCS = 8000
+#: Pairs that a model's single-character shares count for, after a character that was seldom or never met.
+PRIOR = 8.0
 #: Least log-likelihood ratio in nats, in all and per character.
 LEAST_RATIO, LEAST_PER_CHAR = 8.0, 0.4
 
@@ -69,27 +71,31 @@ def _pairs(token: Column) -> Column:
 
 
 def labelled_samples(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, text: str = "text") -> DataFrame:
-    """Samples (token, random) from about `sample_docs` documents: values that the patterns find, and ordinary words of 8+ letters."""
+    """Samples (token, random) from about `sample_docs` documents: values that the patterns find, and all other words of 8+ characters."""
     share = min(1.0, sample_docs / max(1, docs.count()))
     chosen = docs.filter(F.pmod(F.xxhash64(F.col("doc_id")), F.lit(1_000_000)) < int(share * 1_000_000)).select(whole_text(text).alias("_text"))
     value = lambda s: F.regexp_extract(s["found"], r"([A-Za-z0-9+/_=-]+)[.]*$", 1)
     secrets = chosen.select(F.explode(F.transform(base_spans(F.col("_text")), value)).alias("token"))
-    words = chosen.select(F.explode(words_of(F.col("_text"))).alias("token")).filter(F.col("token").rlike("^[A-Za-z][a-z_-]{7,}$"))
+    words = chosen.select(F.explode(words_of(F.col("_text"))).alias("token")).filter(F.col("token").rlike("^[A-Za-z0-9+/_-]{8,}$"))
+    words = words.filter(~F.col("token").rlike(rf"[0-9a-f]{{{HEX_LEAST}}}|{ACCESS}")).join(secrets.distinct(), "token", "left_anti")
     return secrets.withColumn("random", F.lit(True)).unionByName(words.withColumn("random", F.lit(False))).filter("token <> ''")
 
 
 def train(samples: DataFrame) -> list[float]:
-    """The log-likelihood ratio of every character pair, row by row, from samples (token, random). Add-one smoothing per model."""
+    """The log-likelihood ratio of every character pair, row by row, from samples (token, random).
+
+    Each model's pairs are smoothed towards its single characters, and those towards equal shares.
+    """
     counted = samples.select("random", F.explode(_pairs(F.col("token"))).alias("pair")).groupBy("random", "pair").count()
-    counts = {True: [1.0] * SIDE**2, False: [1.0] * SIDE**2}
+    counts = {True: [0] * SIDE**2, False: [0] * SIDE**2}
     for row in counted.collect():  # at most 2 * SIDE^2 rows
-        counts[row["random"]][row["pair"]] += row["count"]
-    ratio = []
-    for first in range(SIDE):
-        rows = {k: v[first * SIDE : (first + 1) * SIDE] for k, v in counts.items()}
-        rest = math.log(sum(rows[False]) / sum(rows[True]))
-        ratio += [math.log(a / b) + rest for a, b in zip(rows[True], rows[False], strict=True)]
-    return ratio
+        counts[row["random"]][row["pair"]] = row["count"]
+    logs = {}
+    for kind, pairs in counts.items():
+        single = [(sum(pairs[second::SIDE]) + 1) / (sum(pairs) + SIDE) for second in range(SIDE)]
+        before = [sum(pairs[first * SIDE : (first + 1) * SIDE]) for first in range(SIDE)]
+        logs[kind] = [math.log((n + PRIOR * single[i % SIDE]) / (before[i // SIDE] + PRIOR)) for i, n in enumerate(pairs)]
+    return [a - b for a, b in zip(logs[True], logs[False], strict=True)]
 
 
 def score(token: Column, ratio: list[float]) -> Column:

@@ -70,7 +70,7 @@ def test_license_rules(spark, odd):
     ]
     rows = license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
     # the name alone lies inside the name with its version, the identifier alone inside the one with a version
-    assert [(d["first"], d["last"]) for d in rows[0].detections] == [(0, 5), (8, 13)]
+    assert [(d["first"], d["last"]) for d in rows[0].detections] == [(0, 5), (8, 14)]
     assert rows[0].labels == ["gpl"] and rows[0].score == 1.0
     # neither interval contains the other, so both stay
     assert [(d["first"], d["last"]) for d in rows[1].detections] == [(0, 3), (3, 4)]
