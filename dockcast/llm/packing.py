@@ -26,6 +26,8 @@ from dockcast.llm.tokens import encoder
 
 CAPACITY = 4096
 GROUP_WINDOWS = 128
+#: Documents whose ids a task holds at once.
+DOCS_AT_ONCE = 1024
 #: Sequence ids are group * ID_STEP + place in the group.
 ID_STEP = 1 << 20
 PIECE = "doc_id long, start long, length long, doc_tokens long, ids_crc32 long"
@@ -91,7 +93,7 @@ def _cut(path: str, end_id: int, capacity: int, with_ids: bool):
     fields = [(n, pa.int64()) for n in ("doc_id", "start", "length", "doc_tokens", "ids_crc32")] + [("ids", pa.binary())] * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, DOCS_AT_ONCE) for b in batches for at in range(0, len(b), DOCS_AT_ONCE)):
             ids, counts = encoder(path).encode(batch.column(1))
             stops = np.cumsum(counts)
             rows = []

@@ -1,7 +1,7 @@
 """Token ids of whole texts by a public tokenizer, word by word with a cache.
 
 The tokenizer drops white space, and none of its pieces crosses ASCII white space, so a text's ids are the ids of its
-words in order. Each distinct word is encoded once per process and looked up from then on; the cache is emptied
+words in order. Each distinct piece of a word is encoded once per process and looked up from then on; the cache is emptied
 when it is full. Plain words (Latin letters, then punctuation) go straight to the model, all others through the whole tokenizer.
 """
 
@@ -15,9 +15,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-#: Distinct words that a process keeps, and bytes of text that are encoded at once.
-MOST_WORDS = 400_000
-SLICE_BYTES = 8 << 20
+#: Distinct pieces that a process keeps, and bytes of text that are encoded at once.
+MOST_PIECES = 250_000
+SLICE_BYTES = 4 << 20
 
 # Letters whose lower case and normal form are themselves or one letter, and ASCII punctuation.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
@@ -32,7 +32,11 @@ def _byte_letters() -> dict[int, str]:
 
 
 class Encoder:
-    """Encodes arrays of texts to one array of ids and the number of ids per text."""
+    """Encodes arrays of texts to one array of ids and the number of ids per text.
+
+    A plain word is two pieces, its letters and its punctuation (or nothing); any other word is one piece, marked by a tab,
+    which no word holds. The cache maps pieces to places in arrays.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
@@ -42,35 +46,24 @@ class Encoder:
 
     def _clear(self) -> None:
         self.place: dict[str, int] = {}
-        self.pieces: dict[str, list[int]] = {}
         self.ids = np.empty(1 << 16, np.uint32)
         self.starts = np.empty(1 << 14, np.int64)
         self.counts = np.empty(1 << 14, np.int64)
         self.used = 0
+        self._learn([""])
+
+    def _ids(self, piece: str) -> list[int]:
+        if piece[:1] == "\t":
+            return self.tokenizer.encode(piece[1:], add_special_tokens=False).ids
+        mapped = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        return [t.id for t in self.model.tokenize(mapped)] if mapped else []
 
-    def _piece(self, piece: str) -> list[int]:
-        """Ids of one piece of lower-case letters or of punctuation."""
-        ids = self.pieces.get(piece)
-        if ids is None:
-            mapped = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
-            ids = self.pieces[piece] = [t.id for t in self.model.tokenize(mapped)]
-        return ids
-
-    def _learn(self, words: list[str]) -> None:
-        """Appends the ids of words that are not in the cache."""
-        parts = pc.extract_regex(pa.array(words, pa.string()), _PLAIN)
-        plain = parts.is_valid().to_pylist()
-        letters = pc.utf8_lower(parts.field(0)).to_pylist()
-        rest = parts.field(1).to_pylist()
-        encoded = [
-            (self._piece(a) + self._piece(b) if b else self._piece(a))
-            if ok
-            else self.tokenizer.encode(w, add_special_tokens=False).ids
-            for w, ok, a, b in zip(words, plain, letters, rest, strict=True)
-        ]
+    def _learn(self, pieces: list[str]) -> None:
+        """Appends the ids of pieces that are not in the cache."""
+        encoded = list(map(self._ids, pieces))
         counts = np.fromiter(map(len, encoded), np.int64, len(encoded))
         flat = np.fromiter(chain.from_iterable(encoded), np.uint32, int(counts.sum()))
-        n, m = len(self.place), len(words)
+        n, m = len(self.place), len(pieces)
         while n + m > len(self.starts):
             self.starts, self.counts = (np.concatenate([x, np.empty_like(x)]) for x in (self.starts, self.counts))
         while self.used + len(flat) > len(self.ids):
@@ -79,21 +72,32 @@ class Encoder:
         self.starts[n : n + m] = self.used + np.cumsum(counts) - counts
         self.counts[n : n + m] = counts
         self.used += len(flat)
-        self.place.update(zip(words, range(n, n + m), strict=True))
+        self.place.update(zip(pieces, range(n, n + m), strict=True))
+
+    def _places(self, pieces: pa.Array) -> np.ndarray:
+        """Places of known pieces."""
+        coded = pieces.dictionary_encode()
+        at = np.fromiter(map(self.place.__getitem__, coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))
+        return at[coded.indices.to_numpy()]
 
     def _slice(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         listed = pc.ascii_split_whitespace(texts.fill_null(""))
         ends = listed.offsets.to_numpy()
         coded = listed.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        if len(self.place) + len(words) > MOST_WORDS:
+        parts = pc.extract_regex(coded.dictionary, _PLAIN)
+        plain = parts.is_valid()
+        first = pc.if_else(plain, pc.utf8_lower(parts.field(0)), pc.binary_join_element_wise("\t", coded.dictionary, ""))
+        rest = pc.if_else(plain, parts.field(1), "")
+        pieces = pa.concat_arrays([first, rest]).unique().to_pylist()
+        if len(self.place) + len(pieces) > MOST_PIECES:
             self._clear()
-        self._learn([w for w in words if w not in self.place])
-        where = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))[coded.indices.to_numpy()]
+        self._learn([p for p in pieces if p not in self.place])
+        pairs = np.stack([self._places(first), self._places(rest)], axis=1)
+        where = pairs[coded.indices.to_numpy()].ravel()
         counts = self.counts[where]
         sums = np.concatenate([[0], np.cumsum(counts)])
         at = np.repeat(self.starts[where] - sums[:-1], counts) + np.arange(sums[-1])
-        return self.ids[at], np.diff(sums[ends - ends[0]])
+        return self.ids[at], np.diff(sums[2 * (ends - ends[0])])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and their number per text; NULL is empty."""

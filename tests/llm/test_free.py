@@ -56,7 +56,7 @@ def test_encoder_equals_the_tokenizer(texts, plain_ids):
 
 
 def test_encoder_with_a_full_cache(texts, plain_ids, monkeypatch):
-    monkeypatch.setattr(tokens, "MOST_WORDS", 500)
+    monkeypatch.setattr(tokens, "MOST_PIECES", 500)
     monkeypatch.setattr(tokens, "SLICE_BYTES", 20_000)
     ids, _ = tokens.Encoder(queries.TOKENIZER).encode(pa.array(list(texts.values())[:300]))
     assert ids.tolist() == [i for e in list(plain_ids.values())[:300] for i in e]
