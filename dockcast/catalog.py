@@ -29,7 +29,8 @@ SHORT_TOLERANCE = 60
 RADIUS_M = 800.0
 CENTER = (-34.6037, -58.3816)
 PATHS = {name: f"models/{name}/best_model" for name in ("click", "error", "purchase", "signup", "view")}
-SMALL_FOREST = {"numTrees": 20, "maxDepth": 6}
+FOREST = {"numTrees": training.DEFAULT_TREES, "maxDepth": 8}
+SEARCH_SECONDS = 30
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -830,36 +831,39 @@ def compare_summary(spark: SparkSession, folder: str) -> DataFrame:
 # ---- models
 
 
-def _training_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return split_ready(spark, folder)
+def _training_rows(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str]]:
+    """The labelled training table with every feature that its training part teaches, and their names; written once."""
+    rows = split_ready(spark, folder)
+    learnt = encoding.learn_encoding(rows.where("split = 'train'"), [KEY, TS, Y, "event_id", "split"])
+    return materialize(encoding.encode(rows, learnt, [KEY, TS, Y, "split"]), "encoded"), learnt.features
 
 
-def _forest(rows: DataFrame):
-    return training.train_forest(rows, FEATURES, Y, SMALL_FOREST["numTrees"], SMALL_FOREST["maxDepth"])
+def _forest(rows: DataFrame, features: list[str]):
+    return training.train_forest(rows, features, Y, FOREST["numTrees"], FOREST["maxDepth"])
 
 
 @query
 def train_rf(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _training_rows(spark, folder)
+    rows, features = _training_rows(spark, folder)
     baseline = metrics_by(rows.where("split = 'val'").withColumn("split", F.lit("baseline_lag1")), ["split"], Y, persistence())
-    return _forest(rows)[1].unionByName(baseline)
+    return _forest(rows, features)[1].unionByName(baseline)
 
 
 @query
 def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
-    return training.feature_importance(spark, _forest(_training_rows(spark, folder))[0])
+    return training.feature_importance(spark, _forest(*_training_rows(spark, folder))[0])
 
 
 @query
 def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    rows, path = _training_rows(spark, folder), scratch_path(spark, "model")
-    training.save_model(_forest(rows)[0], path)
+    (rows, features), path = _training_rows(spark, folder), scratch_path(spark, "model")
+    training.save_model(_forest(rows, features)[0], path)
     return training.evaluate(training.load_model(path), rows, Y, ["split"])
 
 
 def _forecast_forest(spark: SparkSession, folder: str, interval: bool) -> DataFrame:
-    rows = _training_rows(spark, folder)
-    model = _forest(rows)[0]
+    rows, features = _training_rows(spark, folder)
+    model = _forest(rows, features)[0]
     latest = history.latest_per_key(rows.drop("split"), KEY, [TS])
     return forecast.recursive_forecast(
         latest,
@@ -881,34 +885,33 @@ def forecast_ci(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def compare_models(spark: SparkSession, folder: str) -> DataFrame:
-    rows = materialize(ready(spark, folder).select(TS, Y, *FEATURES), "compare")
-    families = ("linear", "elasticnet", "tree", "forest")
-    return training.trials_table(spark, training.compare_models(rows, TS, folds_of(rows), FEATURES, Y, families))
+    rows, features = _training_rows(spark, folder)
+    return training.trials_table(spark, training.compare_models(rows, TS, folds_of(rows), features, Y))
 
 
 @query
 def tune_model(spark: SparkSession, folder: str) -> DataFrame:
-    rows = materialize(ready(spark, folder).select(TS, Y, *FEATURES), "tune")
+    rows, features = _training_rows(spark, folder)
     folds = folds_of(rows)
-    base = training.compare_models(rows, TS, folds, FEATURES, Y, ("tree",))[0]
-    return training.trials_table(spark, [base, training.tune_model(rows, TS, folds, FEATURES, Y, base, iterations=3)])
+    base = training.compare_models(rows, TS, folds, features, Y, ("tree",))[0]
+    return training.trials_table(spark, [base, training.tune_model(rows, TS, folds, features, Y, base)])
 
 
 @query
 def budget_search(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _training_rows(spark, folder)
+    rows, features = _training_rows(spark, folder)
     train, val = (rows.where(F.col("split") == part) for part in ("train", "val"))
-    _, trials = training.budget_search(train, val, FEATURES, Y, seconds=60, families=("ridge", "tree"), max_trials=4)
+    _, trials = training.budget_search(train, val, features, Y, seconds=SEARCH_SECONDS)
     return training.trials_table(spark, trials)
 
 
 @query
 def refit_champion(spark: SparkSession, folder: str) -> DataFrame:
     """Search on the holdout, refit on train and validation, and report both: selection on unseen rows, refit on the test part."""
-    rows = _training_rows(spark, folder)
+    rows, features = _training_rows(spark, folder)
     train, val = (rows.where(F.col("split") == part) for part in ("train", "val"))
-    best, _ = training.budget_search(train, val, FEATURES, Y, seconds=60, families=("ridge", "tree"), max_trials=2)
-    model = training.refit(rows.where("split <> 'test'"), FEATURES, Y, best)
+    best, _ = training.budget_search(train, val, features, Y, seconds=SEARCH_SECONDS)
+    model = training.refit(rows.where("split <> 'test'"), features, Y, best)
     selected = training.trials_table(spark, [best]).select(F.lit("val_select").alias("stage"), "framework", "rmse", "mae", "r2")
     scores = training.evaluate(model, rows.where("split <> 'train'"), Y, ["split"], lower=0.0)
     stage = F.when(F.col("split") == "val", "val_refit").otherwise("test")
@@ -917,13 +920,13 @@ def refit_champion(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def backtest_rf(spark: SparkSession, folder: str) -> DataFrame:
-    rows = stored_ready(spark, folder)
-    scored = backtest.model_backtest(rows, TS, Y, FEATURES, folds_of(rows), "forest", {"numTrees": 10, "maxDepth": 5})
+    rows, features = _training_rows(spark, folder)
+    scored = backtest.model_backtest(rows, TS, Y, features, folds_of(rows), "forest", FOREST)
     return backtest.backtest_summary(scored, Y)
 
 
 def _slot_models(features: DataFrame) -> list[training.SlotModel]:
-    return training.train_slots(features, slots.DEFAULT_SLOTS, n_splits=2, families=("ridge", "tree"))
+    return training.train_slots(features, slots.DEFAULT_SLOTS)
 
 
 @query

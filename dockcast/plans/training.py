@@ -267,11 +267,11 @@ def budget_search(
     families: Sequence[str] = tuple(SEARCH_SPACE),
     max_trials: int | None = None,
 ) -> tuple[Trial, list[Trial]]:
-    """Search on a fixed holdout until the time budget ends; every family gets one default trial first."""
+    """Search on a fixed holdout until the time budget ends, but not before every family had its default trial."""
     rng, started, trials = random.Random(seed), time.monotonic(), []
     train, val = (materialize(d.select(*features, label), "search") for d in (train, val))
     best = None
-    while not trials or time.monotonic() - started < seconds:
+    while len(trials) < len(families) or time.monotonic() - started < seconds:
         if max_trials is not None and len(trials) >= max_trials:
             break
         first_round = len(trials) < len(families)
