@@ -126,7 +126,8 @@ def test_radius_across_the_date_line(spark):
 
 def test_nearest_without_stations(spark):
     assert [tuple(r) for r in nearest_station(places(spark, [(0, 0)], "p"), places(spark, [], "station_id"), "p").collect()] == [(0, None, None)]
-    found = nearest_station(places(spark, [(0, 0), (None, 5)], "p"), places(spark, [(0, 0)], "station_id"), "p").collect()
+    lost = spark.createDataFrame([(1, None, 5.0)], "p long, lat double, lon double")
+    found = nearest_station(places(spark, [(0, 0)], "p").select("p", "lat", "lon").unionByName(lost), places(spark, [(0, 0)], "station_id"), "p").collect()
     assert sorted((r["p"], r["station_id"]) for r in found) == [(0, 0), (1, None)]
 
 
