@@ -106,7 +106,7 @@ def slot_features(
     widths: Sequence[int] = (3, 6, 12),
     tie: Sequence[str] = (),
     max_age_minutes: float | None = None,
-    target_rows: int = TARGET_ROWS,
+    target_rows: int | None = None,
 ) -> DataFrame:
     """Features of each slot from the history up to slot minus its lead.
 
@@ -126,10 +126,10 @@ def _on_grid(targets: DataFrame, slots: Sequence[str], lead_minutes: int) -> boo
     return targets.where(~F.coalesce(fits, F.lit(False))).isEmpty()
 
 
-def _is_dense(obs: DataFrame, slots: Sequence[str], depth: int, target_rows: int = TARGET_ROWS) -> bool:
+def _is_dense(obs: DataFrame, slots: Sequence[str], depth: int, target_rows: int | None = None) -> bool:
     """Whether a table too large for one task holds more rows per station and slot than a slot can use."""
     rows = obs.count()
-    if rows <= target_rows:
+    if rows <= (TARGET_ROWS if target_rows is None else target_rows):
         return False
     stations, low, high = obs.agg(F.approx_count_distinct("station_id"), F.min("ts"), F.max("ts")).first()
     return rows > depth * stations * ((high - low).days + 1) * len(slots)
