@@ -19,7 +19,7 @@ columns are ignored by components() and kept by drop_near_copies().
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -257,17 +257,22 @@ def components(docs: DataFrame, shingle: int = SHINGLE, budget: int = BUDGET, te
     return join_groups(rows, linked, "fp", "n", docs.count()).select("doc_id", "fp", "component_id", "n_prints")
 
 
-def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE, budget: int = BUDGET, text: str = "text") -> DataFrame:
-    """One document of each component, the one with the smallest id, with all its columns.
+def drop_linked(docs: DataFrame, found: DataFrame, key: str, key_of: Callable[[], Column]) -> DataFrame:
+    """One document of each component_id in `found` (doc_id, the key, component_id): the one with that id, with all its columns.
 
     Rows that are dropped are few against the texts, so all others pass by a bit table; the rest is joined.
     """
-    found = components(docs, shingle, budget, text).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
-    marked = store(first_of(found, ["component_id"], "kept").select("doc_id", "fp", "kept"), "simhash-verdicts")
+    decided = found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    marked = store(first_of(decided, ["component_id"], "kept").select("doc_id", key, "kept"), "simhash-verdicts")
     dropped = marked.filter("NOT kept").select(F.xxhash64("doc_id").alias("h"))
     split = screen(docs, F.xxhash64("doc_id"), dropped, max(1, marked.count()).bit_length() + 3)
-    stay = marked.filter("kept").select(F.col("doc_id").alias("_id"), F.col("fp").alias("_stay"))
-    doubtful = split.filter("_maybe").drop("_maybe").withColumn("_fp", fingerprint_column(F.col(text), shingle))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_fp") == F.col("_stay"))
-    kept = doubtful.join(stay, same, "left_semi").dropDuplicates(["doc_id", "_fp"]).drop("_fp")
+    stay = marked.filter("kept").select(F.col("doc_id").alias("_id"), F.col(key).alias("_stay"))
+    doubtful = split.filter("_maybe").drop("_maybe").withColumn("_key", key_of())
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_stay"))
+    kept = doubtful.join(stay, same, "left_semi").dropDuplicates(["doc_id", "_key"]).drop("_key")
     return split.filter(~F.col("_maybe")).drop("_maybe").unionByName(kept)
+
+
+def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE, budget: int = BUDGET, text: str = "text") -> DataFrame:
+    """One document of each component, the one with the smallest id, with all its columns."""
+    return drop_linked(docs, components(docs, shingle, budget, text), "fp", lambda: fingerprint_column(F.col(text), shingle))
