@@ -68,9 +68,9 @@ NAMES = {
     "wtfpl": (("wtfpl",), "wtfpl", ()),
     "cc0": (("cc0", "creative commons zero"), "cc0", ("1 0",)),
     "cc-by": (("creative commons attribution",), "cc by", ("2 0", "2 5", "3 0", "4 0")),
-    "cc-by-sa": (("creative commons attribution share ?alike", "creative commons attribution share alike"), "cc by sa", ("2 0", "3 0", "4 0")),
-    "cc-by-nc": (("creative commons attribution non ?commercial", "creative commons attribution non commercial"), "cc by nc", ("2 0", "3 0", "4 0")),
-    "cc-by-nd": (("creative commons attribution no ?derivatives",), "cc by nd", ("2 0", "3 0", "4 0")),
+    "cc-by-sa": (("creative commons attribution sharealike", "creative commons attribution share alike"), "cc by sa", ("2 0", "3 0", "4 0")),
+    "cc-by-nc": (("creative commons attribution noncommercial", "creative commons attribution non commercial"), "cc by nc", ("2 0", "3 0", "4 0")),
+    "cc-by-nd": (("creative commons attribution noderivatives", "creative commons attribution noderivs", "creative commons attribution no derivatives"), "cc by nd", ("2 0", "3 0", "4 0")),
     "ofl": (("sil open font", "open font"), "ofl", ("1 0", "1 1")),
     "osl": (("open software",), "osl", ("1 0", "2 0", "3 0")),
     "afl": (("academic free",), "afl", ("2 0", "3 0")),
@@ -97,7 +97,7 @@ SENTENCES = (
 
 
 def signature_rules() -> list[Rule]:
-    """The rules, best priority first: identifiers, license sentences, names with a version, in a clause, alone."""
+    """The rules, best priority first: identifiers, license sentences, names with a version or clause before or after 'license', in a clause, alone."""
     lic, spdx = "licen[cs]e", ("spdx", "license", "identifier")
     rules = [Rule(label, tuple(text.split()), keyword, 1, 1.0) for label, text, keyword in SENTENCES]
     for label, (names, short, versions) in NAMES.items():
@@ -106,7 +106,9 @@ def signature_rules() -> list[Rule]:
         rules += [Rule(label, (*spdx, *ident), "spdx", 2, 0.95)]
         for name in names:
             w = tuple(name.split())
-            rules += [Rule(label, (*w, lic, "(?:version|v)", *v.split()), "license", 3, 0.95) for v in versions]
+            rules += [Rule(label, (*w, lic, "(?:version|v)", *v.split()), "license", 3, 0.95) for v in versions if "clause" not in v]
+            rules += [Rule(label, (*w, *v.split(), lic), "license", 3, 0.95) for v in versions]
+            rules += [Rule(label, (*w, lic, *v.split()), "license", 3, 0.95) for v in versions]
             rules += [
                 Rule(label, ("licensed", "under", "the", *w), "licensed", 4, 0.9),
                 Rule(label, ("under", "the", "terms", "of", "the", *w), "terms", 4, 0.9),
