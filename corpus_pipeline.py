@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dockcast.llm import exact_dedup, mixing, near_copies, packing, quality_rules
+from dockcast.llm import exact_dedup, mixing, packing, quality_rules, simhash
 from dockcast.session import shared_dir
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -27,8 +27,8 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a similarity of 0.8 at five words, the one with the smallest id stays."""
-    return near_copies.drop_near_copies(docs)
+    """Of documents linked by SimHash (three words, two bits), the one with the smallest id stays."""
+    return simhash.drop_near_copies(docs, simhash.SHINGLE, simhash.BUDGET)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
