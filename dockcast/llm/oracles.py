@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dockcast.llm.common import UPPER
 from dockcast.llm.license_scan import BASE, signature_rules
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -134,8 +135,39 @@ SELECT doc_id, n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, co
 FROM laid LEFT JOIN by_base USING (doc_id) LEFT JOIN by_rule USING (doc_id) LEFT JOIN by_label USING (doc_id)
 """
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+_SEARCH = rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '{_TERM}') AS t
+  FROM documents
+),
+total AS (SELECT count(*) AS n_docs, sum(len(t))::BIGINT AS n_terms FROM texts WHERE len(t) > 0),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '{_TERM}')) AS term
+  FROM benchmark
+),
+held AS (
+  SELECT r, doc_id, term, count(*) AS tf, any_value(n) AS n
+  FROM (SELECT r, doc_id, len(t) AS n, unnest(t) AS term FROM texts)
+  WHERE term IN (SELECT term FROM asked) GROUP BY r, doc_id, term
+),
+weighed AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM held GROUP BY term), total
+),
+scored AS (
+  SELECT item_id, r, doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM asked JOIN held USING (term) JOIN weighed USING (term), total GROUP BY item_id, r, doc_id
+)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 50
+"""
+
 
 _ORACLES = {
+    "op13_ranked_search": _SEARCH,
     "op2_license_scan": _license(),
     "op1_quality_rules": _QUALITY,
     "op5_chat_formatting": _CHAT,

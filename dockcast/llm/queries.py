@@ -1,15 +1,28 @@
-"""The ten operators as queries over the given tables, each a thin digest of its operator's output."""
+"""The operators as queries over the given tables, each a thin digest of its operator's output."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockcast.llm import chat_format, exact_dedup, license_scan, mixing, packing, quality_rules, secret_scan, simhash, simple8b, suffix_tree
-from dockcast.llm.common import documents
+from dockcast.llm import (
+    chat_format,
+    exact_dedup,
+    license_scan,
+    mixing,
+    packing,
+    periodic_runs,
+    quality_rules,
+    ranked_search,
+    secret_scan,
+    simhash,
+    simple8b,
+    suffix_tree,
+)
+from dockcast.llm.common import documents, let, whole_text, words_of
 from dockcast.session import scratch_path
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -127,3 +140,48 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(mixing.sized(documents(spark, folder)))
     taken = (F.col("copies") * F.col("size")).cast("long")
     return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "source")
+
+
+def _with_period(doc_id: Column, text: Column) -> Column:
+    """The text, for every tenth id (by its crc32) with words that repeat from some word on."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        word = lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int"))
+        return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(0), n - 1), word), " ")).otherwise("")
+
+    return F.when(h % 10 == 0, let(words_of(text), repeated)).otherwise(text)
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    given = docs.select("doc_id", _with_period(F.col("doc_id"), whole_text()).alias("text"))
+    found = periodic_runs.find_runs(given)
+
+    def order(x: Column, y: Column) -> Column:
+        more = x["length"] * y["period"] - y["length"] * x["period"]
+        return F.when(more != 0, -more).when(x["start"] != y["start"], x["start"] - y["start"]).otherwise(x["period"] - y["period"])
+
+    sign = lambda x, y: F.signum(order(x, y)).cast("int")
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    best = found.withColumn("best", F.get(F.array_sort("runs", sign), F.lit(0)))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search.search(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
