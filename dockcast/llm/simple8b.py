@@ -31,6 +31,8 @@ from dockcast.llm.tokens import encoder
 
 BLOCK = 1024
 SHARD_IDS = 1 << 20
+#: Documents that are encoded at once.
+DOCS_AT_ONCE = 1024
 MAGIC, VERSION = b"S8BT", 1
 HEADER = struct.Struct("<4sHHQQQQ")
 NO_ID = -(1 << 63)
@@ -169,10 +171,10 @@ def _shards(path: str, end_id: int):
 
         for batch in batches:
             docs = batch.column(0).fill_null(NO_ID).to_numpy()
-            for at in range(0, len(docs), 512):
-                part = batch.slice(at, 512)
+            for at in range(0, len(docs), DOCS_AT_ONCE):
+                part = batch.slice(at, DOCS_AT_ONCE)
                 ids, counts = encoder(path).encode(part.column(1))
-                held.append((docs[at : at + 512], counts + 1, np.insert(ids, np.cumsum(counts), np.uint32(end_id))))
+                held.append((docs[at : at + DOCS_AT_ONCE], counts + 1, np.insert(ids, np.cumsum(counts), np.uint32(end_id))))
                 if sum(len(h[2]) for h in held) >= SHARD_IDS:
                     yield out()
                     held, shard = [], shard + 1
