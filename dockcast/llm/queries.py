@@ -13,6 +13,7 @@ from dockcast.llm import (
     exact_dedup,
     license_scan,
     mixing,
+    ngram_join,
     packing,
     periodic_runs,
     quality_rules,
@@ -142,6 +143,11 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "source")
 
 
+@query
+def op11_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.components(documents(spark, folder)).select("doc_id", "n_shingles", "component_id")
+
+
 def _with_period(doc_id: Column, text: Column) -> Column:
     """The text, for every tenth id (by its crc32) with words that repeat from some word on."""
     h = F.crc32(doc_id.cast("string").cast("binary"))
