@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,12 +11,12 @@ from pyspark.sql import functions as F
 
 from dockcast.functions import display, geo, timestamps, values
 from dockcast.functions.calendar import CALENDAR_COLUMNS, calendar_columns
-from dockcast.operators import contracts, encoding, history, leaderboard, monitor, nearby, slots, split
+from dockcast.operators import contracts, encoding, history, leaderboard, monitor, nearby, slots, spatial, split
 from dockcast.operators.asof import asof_join
 from dockcast.operators.metrics import metrics_by, persistence, rounded
 from dockcast.plans import backtest, forecast, health, serving, training
 from dockcast.plans import slots as slot_plans
-from dockcast.plans.features import model_ready
+from dockcast.plans.features import model_ready, publish_ready, publish_split
 from dockcast.session import materialize, scratch_path
 from dockcast.sources import io
 from dockcast.sources.adapters import stations, status, status_hourly, table
@@ -200,6 +201,26 @@ def publish_latest(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(io.read_latest(spark, base).select(KEY, "timestamp_pred", "h", "yhat"), "yhat")
 
 
+@query
+def newest_file(spark: SparkSession, folder: str) -> DataFrame:
+    """Two batches are written one after the other; the newest file tells which one is read."""
+    base = scratch_path(spark, "batches")
+    for name in ("click", "view"):
+        io.write_table(status(spark, folder).where(F.col("event_type") == name), f"{base}/batch={name}")
+    batch = io.newest_file(spark, base).rsplit("batch=", 1)[1].split("/")[0]
+    read = spark.read.parquet(base).where(F.col("batch") == batch)
+    return read.groupBy("batch").agg(F.count(F.lit(1)).alias("n_rows"), F.max(TS).alias("last_ts"))
+
+
+@query
+def gated_split(spark: SparkSession, folder: str) -> DataFrame:
+    """Training table and split, each published by a write that counts its own gate."""
+    base, asof = scratch_path(spark, "gated"), datetime(2024, 1, 1)
+    publish_ready(ready(spark, folder), f"{base}/ready", asof, 60)
+    publish_split(io.read_latest(spark, f"{base}/ready"), f"{base}/split", asof, 60)
+    return split.split_report(io.read_latest(spark, f"{base}/split"), TS)
+
+
 @query
 def champion_manifest(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "manifest")
@@ -501,6 +522,17 @@ def holdout_month(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(months.orderBy(F.desc("month_of")).limit(1), "rmse", "mae", "r2")
 
 
+@query
+def spatial_split(spark: SparkSession, folder: str) -> DataFrame:
+    return spatial.spatial_split(stations(spark, folder).select(KEY, "lat", "lon")).select(KEY, "block", "part")
+
+
+@query
+def spatial_holdout(spark: SparkSession, folder: str) -> DataFrame:
+    out = spatial.spatial_holdout(ready(spark, folder), stations(spark, folder), Y, ["dow", "hour"])
+    return rounded(out, "rmse", "mae", "r2")
+
+
 # ---- slots and as-of joins
 
 
@@ -566,6 +598,26 @@ def slot_targets_zoned(spark: SparkSession, folder: str) -> DataFrame:
     return slot_plans.slot_targets(zoned, tolerance_minutes=LONG_TOLERANCE, tie=TIE)
 
 
+@query
+def slot_features_found(spark: SparkSession, folder: str) -> DataFrame:
+    """A feed whose columns are found by name, and targets that state neither lead nor origin."""
+    feed = status(spark, folder).select(KEY, TS, Y, "event_id")
+    seen = slot_plans.observations(feed, tie=TIE)
+    bare = slot_plans.slot_targets(seen, tolerance_minutes=LONG_TOLERANCE, tie=TIE).drop("lead_minutes", "generated_from")
+    return rounded(slot_plans.slot_features(bare, seen, tie=TIE), "y_ma3", "y_ma6", "y_ma12", "y_diff1", "hour_sin", "hour_cos")
+
+
+@query
+def slot_predictions(spark: SparkSession, folder: str) -> DataFrame:
+    """Two slots are written, one of them again with another forecast; both are read back by their partitions."""
+    path, labels = scratch_path(spark, "slot_predictions"), ("09:00", "13:00")
+    features = materialize(features_of_slots(spark, folder), "slot_features").where(F.col("slot_label").isin(*labels))
+    forecasts = {c: features.select(KEY, "t_slot", "slot_label", F.coalesce(c, F.lit(0.0)).alias("yhat")) for c in ("y_lag1", "y_ma3")}
+    io.write_slots(forecasts["y_lag1"], path)
+    io.write_slots(forecasts["y_ma3"].where(F.col("slot_label") == labels[1]), path)
+    return rounded(_union([io.read_slots(spark, path, s) for s in labels]), "yhat")
+
+
 @query
 def filter_slot(spark: SparkSession, folder: str) -> DataFrame:
     return targets(spark, folder).where((F.col("slot_label") == "09:00") & F.col("y").isNotNull()).select(KEY, "t_slot", "y")
@@ -646,6 +698,14 @@ def tiles(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(serving.tiles(linear_forecast(spark, folder), stations(spark, folder)), "yhat", "lat", "lon")
 
 
+@query
+def tiles_published(spark: SparkSession, folder: str) -> DataFrame:
+    base, latest = scratch_path(spark, "tiles"), latest_rows(spark, folder)
+    asof = forecast.resolve_asof(latest, TS)
+    serving.publish_tiles(forecast.recursive_forecast(latest, LINEAR, asof), stations(spark, folder), base, asof, forecast.DEFAULT_STEP_MINUTES)
+    return rounded(io.read_latest(spark, base), "yhat", "lat", "lon")
+
+
 @query
 def capacity_metrics(spark: SparkSession, folder: str) -> DataFrame:
     joined = serving.enrich(linear_forecast(spark, folder), stations(spark, folder))
@@ -938,4 +998,6 @@ def train_slots(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def predict_slots(spark: SparkSession, folder: str) -> DataFrame:
     features = materialize(features_of_slots(spark, folder), "slot_features")
-    return training.predict_slots(features, _slot_models(features))
+    path = scratch_path(spark, "slot_predictions")
+    io.write_slots(training.predict_slots(features, _slot_models(features)), path)
+    return io.read_slots(spark, path)

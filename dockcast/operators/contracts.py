@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -76,14 +76,18 @@ def contract_report(df: DataFrame, key: str, ts: str, y: str) -> DataFrame:
     return df.agg(*contract_counts(key, ts, y))
 
 
-def check_contract(df: DataFrame, key: str, ts: str, y: str) -> None:
-    """Raise with the counts if an id or time is missing or a target is negative."""
-    found = contract_report(df, key, ts, y).first().asDict()
+def contract_gate(found: Mapping[str, object]) -> None:
+    """Raise with the counts of broken rules, if there are any."""
     broken = {k: v for k, v in found.items() if k != "n_rows" and v}
     if broken:
         raise ContractError(f"data contract broken: {broken}")
 
 
+def check_contract(df: DataFrame, key: str, ts: str, y: str) -> None:
+    """Raise with the counts if an id or time is missing or a target is negative."""
+    contract_gate(contract_report(df, key, ts, y).first().asDict())
+
+
 def unparsed_count(df: DataFrame, ts: str) -> DataFrame:
     """Rows and how many of their times do not parse."""
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(parse_ts(F.col(ts)).isNull()).alias("n_bad"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -12,6 +12,8 @@ from dockcast.functions.timestamps import lit_ts, micros, micros_of
 from dockcast.operators.contracts import ContractError
 
 MAX_COLLECT = 10_000
+PARTS = ("train", "val", "test")
+MIN_ROWS = 100
 NARROWING = (24, 60, 60, 1_000)
 
 
@@ -86,11 +88,25 @@ def temporal_split(df: DataFrame, ts: str, p_train: float = 0.70, p_val: float =
     return df.withColumn("split", split_label(F.col(ts), split_cuts(df, ts, p_train, p_val)))
 
 
-def check_split_sizes(labelled: DataFrame, min_rows: int = 100) -> None:
-    sizes = {row["split"]: row["count"] for row in labelled.groupBy("split").count().collect()}
-    small = {name: sizes.get(name, 0) for name in ("train", "val", "test") if sizes.get(name, 0) < min_rows}
-    if small:
-        raise ContractError(f"splits below {min_rows} rows: {small}")
+def split_sizes() -> dict[str, Column]:
+    """Rows per part, as aggregates over a labelled table."""
+    return {name: F.count_if(F.col("split") == name) for name in PARTS}
+
+
+def size_gate(min_rows: int = MIN_ROWS):
+    """Raises if a part has too few rows."""
+
+    def gate(found: Mapping[str, object]) -> None:
+        small = {name: found[name] for name in PARTS if found[name] < min_rows}
+        if small:
+            raise ContractError(f"splits below {min_rows} rows: {small}")
+
+    return gate
+
+
+def check_split_sizes(labelled: DataFrame, min_rows: int = MIN_ROWS) -> None:
+    """The same gate for a table that is there already."""
+    size_gate(min_rows)(labelled.agg(*[c.alias(n) for n, c in split_sizes().items()]).first().asDict())
 
 
 def split_report(labelled: DataFrame, ts: str) -> DataFrame:

@@ -172,6 +172,20 @@ _NEAR = f"""{_SERVED}, near AS (
   FROM served f JOIN served o ON f.station_id <> o.station_id AND o.light IN ('verde', 'amarillo')
   WHERE {_haversine("f.", "o.")} <= 800
 )"""
+def _cube(lat: str, lon: str, side: float) -> str:
+    """The cube of a side that a position lies in, as text."""
+    r = "6371000.0::DOUBLE"
+    axes = (f"cos(radians({lat})) * cos(radians({lon}))", f"cos(radians({lat})) * sin(radians({lon}))", f"sin(radians({lat}))")
+    return " || ',' || ".join(f"floor({r} * {a} / {side})::INTEGER" for a in axes)
+
+
+_PLACED = f"""{_STATIONS}, blocks AS (SELECT station_id, lat, lon, {_cube("lat", "lon", 2000.0)} AS block FROM stations),
+drawn AS (SELECT *, ('0x' || substr(md5(block || ':42'), 1, 8))::BIGINT % 1000000 < 200000 AS held FROM blocks),
+placed AS (
+  SELECT station_id, block, CASE WHEN held THEN 'test'
+    WHEN EXISTS (SELECT 1 FROM drawn o WHERE o.held AND {_haversine("d.", "o.")} <= 250) THEN 'buffer' ELSE 'train' END AS part
+  FROM drawn d
+)"""
 _TEXT_TIMES = f"""{_STATUS}, texts AS (
   SELECT event_id, CASE WHEN event_type = 'error' THEN event_type ELSE strftime(ts_local, '%Y-%m-%d %H:%M:%S') END AS t FROM status
 )"""
@@ -429,6 +443,14 @@ def all_oracles() -> dict[str, str]:
     replaced = ", ".join(f"round({c}, 6) + 0.0::DOUBLE AS {c}" for c in ("y_ma3", "y_ma6", "y_ma12", "y_diff1", "hour_sin", "hour_cos"))
     sql["slot_features"] = _with(_SLOT_HISTORY, f"SELECT * REPLACE ({replaced}) FROM slot_features")
     sql["slot_features_reduced"] = sql["slot_features"]
+    sql["slot_features_found"] = sql["slot_features"]
+    sql["slot_predictions"] = _with(
+        _SLOT_HISTORY,
+        f"""SELECT station_id, t_slot, slot_label, {_r("coalesce(CASE slot_label WHEN '09:00' THEN y_lag1 ELSE y_ma3 END, 0)", 6, "yhat")}
+            FROM slot_features WHERE slot_label IN ('09:00', '13:00')""",
+    )
+    sql["newest_file"] = _with(_STATUS, "SELECT event_type AS batch, count(*) AS n_rows, max(ts_local) AS last_ts FROM status WHERE event_type = 'view' GROUP BY 1")
+    sql["gated_split"] = _with(_SPLIT, "SELECT split, min(ts_local) AS first_ts, max(ts_local) AS last_ts, count(*) AS n_rows FROM labelled GROUP BY split")
     sql["slot_features_lead"] = _with(
         _SLOT_HISTORY.replace("10::INTEGER AS lead_minutes", "240::INTEGER AS lead_minutes").replace("INTERVAL 10 MINUTE", "INTERVAL 240 MINUTE"),
         f"SELECT * REPLACE ({replaced}) FROM slot_features",
@@ -488,6 +510,15 @@ def all_oracles() -> dict[str, str]:
     sql["enrich_stations"] = _with(
         _FORECAST, f"SELECT station_id, timestamp_pred, h, {_r('yhat')}, name, {_r('lat')}, {_r('lon')}, capacity FROM forecast LEFT JOIN stations USING (station_id)"
     )
+    sql["spatial_split"] = _with(_PLACED, "SELECT station_id, block, part FROM placed")
+    sql["spatial_holdout"] = _with(
+        f"""{_BASE}, {_PLACED}, profile AS (
+          SELECT dow, hour, avg({_Y}) AS p FROM ready JOIN placed USING (station_id) WHERE part = 'train' GROUP BY ALL
+        ), scored AS (
+          SELECT r.*, block, p FROM ready r JOIN placed USING (station_id) LEFT JOIN profile USING (dow, hour) WHERE part = 'test'
+        )""",
+        f"""SELECT block, count(DISTINCT station_id) AS n_stations, count(*) AS n_rows, {_metric_list(_Y, "p")} FROM scored GROUP BY block""",
+    )
     sql["tiles"] = _with(
         f"""{_FORECAST}, t AS (
           SELECT station_id, name, lat, lon, timestamp_pred, h, greatest(coalesce(yhat, 0), 0) AS yhat FROM forecast LEFT JOIN stations USING (station_id)
@@ -495,6 +526,7 @@ def all_oracles() -> dict[str, str]:
         f"""SELECT station_id, name, {_r('lat')}, {_r('lon')}, timestamp_pred, h, {_r('yhat')}, level,
             CASE level WHEN 'high' THEN '#2ECC71' WHEN 'medium' THEN '#F1C40F' ELSE '#E74C3C' END AS color FROM leveled""",
     )
+    sql["tiles_published"] = sql["tiles"]
     sql["capacity_metrics"] = _with(
         _FORECAST,
         f"""SELECT station_id, h, {_r("capacity - yhat", 6, "docks_pred")}, {_r("yhat / capacity * 100", 6, "pct_bikes")},

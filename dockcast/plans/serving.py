@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,7 @@ from dockcast.functions.values import clip, round_half_even, to_numeric
 from dockcast.operators.history import latest_per_key
 from dockcast.operators.nearby import top_nearby, within_radius
 from dockcast.operators.contracts import require_columns
+from dockcast.sources import io
 
 MAX_BROADCAST_STATIONS = 500_000
 TILE_COLUMNS = ["station_id", "name", "lat", "lon", "timestamp_pred", "h", "yhat", "level", "color"]
@@ -43,6 +46,11 @@ def tiles(predictions: DataFrame, stations: DataFrame, null_as_na: bool = False)
     return coloured.select(*[c for c in TILE_COLUMNS if c in coloured.columns])
 
 
+def publish_tiles(predictions: DataFrame, stations: DataFrame, base: str, asof: datetime, step_minutes: int, null_as_na: bool = False) -> str:
+    """Publish the tiles of a forecast as a version of their own."""
+    return io.publish(tiles(predictions, stations, null_as_na), base, asof, step_minutes)
+
+
 def serving_map(predictions: DataFrame, stations: DataFrame, order: list[str] | None = None) -> DataFrame:
     """The latest prediction per station with capacity figures, rounded to one decimal before the light is chosen."""
     latest = latest_per_key(predictions, "station_id", order) if order else predictions

@@ -11,7 +11,7 @@ from dockcast.functions.calendar import calendar_columns
 from dockcast.functions.timestamps import MICROS_PER_DAY, MICROS_PER_MINUTE, add_minutes, micros, minutes, parse_wall_clock
 from dockcast.functions.values import to_numeric
 from dockcast.operators.asof import asof_join
-from dockcast.operators.contracts import check_times, normalize_id
+from dockcast.operators.contracts import TARGET_CANDIDATES, TS_CANDIDATES, check_times, find_column, normalize_id, with_default
 from dockcast.operators.history import add_slot_history
 from dockcast.operators.segments import TARGET_ROWS
 from dockcast.operators.slots import (
@@ -31,12 +31,20 @@ TARGET_COLUMNS = ["station_id", "t_slot", "slot_label", "y", "generated_from", "
 
 
 def observations(
-    raw: DataFrame, key: str, ts: str, y: str, tie: Sequence[str] = (), zone: str = DEFAULT_ZONE, strict: bool = True
+    raw: DataFrame,
+    key: str = "station_id",
+    ts: str | None = None,
+    y: str | None = None,
+    tie: Sequence[str] = (),
+    zone: str = DEFAULT_ZONE,
+    strict: bool = True,
 ) -> DataFrame:
     """station_id, ts, y and the tie-break columns of a feed; ids of one type, times as the wall clock of `zone`.
 
+    A time or target column that is not named is found by the names that feeds use for it.
     Text that is no time is an error, or dropped with `strict` off. Rows without an id or a time cannot be placed and go.
     """
+    ts, y = ts or find_column(raw, TS_CANDIDATES), y or find_column(raw, TARGET_CANDIDATES)
     kind = dict(raw.dtypes)[ts]
     typed = normalize_id(raw, key)
     if kind == "string" and strict:
@@ -112,8 +120,9 @@ def slot_features(
 
     Targets that all lie on the daily grid and have the given lead allow a large, dense feed to be reduced to the newest
     rows per slot before any shuffle. All other targets, and a small or sparse feed, go through plain windows. Both
-    give the same answer wherever the first one is allowed.
+    give the same answer wherever the first one is allowed. Targets without a lead or an origin get the default ones.
     """
+    targets = with_default(with_default(targets, "lead_minutes", F.lit(lead_minutes)), "generated_from", F.lit(GENERATED_FROM))
     if _is_dense(obs, slots, max(max_lag + 1, *widths), target_rows) and _on_grid(targets, slots, lead_minutes):
         return slot_features_reduced(targets, obs, slots, lead_minutes, max_lag, widths, tie, max_age_minutes)
     return slot_features_any(targets, obs, max_lag, widths, tie, max_age_minutes)

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,6 +31,8 @@ STATIONS = T.StructType(
         T.StructField("capacity", T.DoubleType()),
     ]
 )
+#: Files per slot, at most: a slot with many stations is written by as many tasks.
+SLOT_FILES = 16
 METRICS_LONG = T.StructType(
     [
         T.StructField("framework", T.StringType()),
@@ -70,6 +72,15 @@ def unread_files(spark: SparkSession, found: DataFrame, *paths: str) -> list[str
     return sorted(r["source_file"] for r in listed.join(found.select("source_file").distinct(), "source_file", "left_anti").collect())
 
 
+def newest_file(spark: SparkSession, *paths: str) -> str:
+    """The file modified last, of those that hold rows; of equally new ones the last by path. Reads no column, only what is known about the files."""
+    files = spark.read.parquet(*paths).select("_metadata.file_modification_time", "_metadata.file_path")
+    newest = files.agg(F.max(F.struct("file_modification_time", "file_path"))["file_path"].alias("path")).first()["path"]
+    if newest is None:
+        raise ContractError(f"no file with rows under {list(paths)}")
+    return newest
+
+
 def load_predictions(spark: SparkSession, slots_path: str, horizon_path: str) -> DataFrame:
     """Slot predictions if there are any, else horizon predictions, else a typed empty table.
 
@@ -102,6 +113,20 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), sort
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
+def write_slots(df: DataFrame, path: str, slot: str = "slot_label") -> None:
+    """Predictions partitioned by slot; a slot that is written again replaces its own partition and no other."""
+    out = df.repartition(slot, F.pmod(F.xxhash64("station_id"), F.lit(SLOT_FILES))).sortWithinPartitions(slot, "station_id")
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(slot).parquet(path)
+
+
+def read_slots(spark: SparkSession, path: str, *slots: str) -> DataFrame:
+    """Slot predictions, of some slots only if any are named; the others' files are not opened. A slot label stays text."""
+    found = spark.read.parquet(path)
+    kept = [f for f in found.schema.fields if f.name != "slot_label"]
+    typed = spark.read.schema(T.StructType([*kept, T.StructField("slot_label", T.StringType())])).parquet(path)
+    return typed.where(F.col("slot_label").isin(*slots)) if slots else typed
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").option("header", "true").csv(path)
 
@@ -128,14 +153,26 @@ def version_tag(asof: datetime, step_minutes: int) -> str:
     return f"asof={asof:%Y%m%d_%H%M}/freq={step_minutes}"
 
 
-def publish(df: DataFrame, base: str, asof: datetime, step_minutes: int) -> str:
+def publish(
+    df: DataFrame,
+    base: str,
+    asof: datetime,
+    step_minutes: int,
+    measures: Mapping[str, Column] | None = None,
+    gate: Callable[[Mapping[str, object]], None] | None = None,
+) -> str:
     """Write one version and then announce it.
 
     The announcement is a row appended to a small log, so a reader sees the previous version or the
-    whole new one, and a job that dies halfway announces nothing.
+    whole new one, and a job that dies halfway announces nothing. `measures` are aggregates that the write itself takes, without a pass of
+    their own; the gate sees them before the announcement and stops it by an error.
     """
     path = f"{base}/versions/{version_tag(asof, step_minutes)}/{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
+    seen = Observation()
+    observed = df.observe(seen, *[c.alias(n) for n, c in measures.items()]) if measures else df
+    observed.write.mode("errorifexists").parquet(path)
+    if gate is not None:
+        gate(seen.get if measures else {})
     announcement = df.sparkSession.range(1).select(
         F.lit(path).alias("path"),
         F.lit(asof.isoformat(sep=" ")).cast("timestamp_ntz").alias("asof"),

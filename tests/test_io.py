@@ -1,5 +1,6 @@
 """Sources and sinks."""
 
+import os
 from datetime import datetime
 from pathlib import Path
 
@@ -7,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dockcast.operators.contracts import ContractError
+from dockcast.plans.features import publish_ready, publish_split
 from dockcast.session import scratch_path, shared_dir
 from dockcast.sources import io
 
@@ -36,7 +38,7 @@ def test_predictions_fall_back_and_end_empty(spark, tmp_path):
 def test_corrupt_files_are_skipped_on_request(spark, tmp_path):
     io.write_table(forecast(spark), f"{tmp_path}/a")
     (Path(tmp_path) / "a" / "part-broken.parquet").write_bytes(b"this is not parquet")
-    assert io.scan_glob(spark, f"{tmp_path}/a").count() == 3
+    assert io.scan_glob(spark, f"{tmp_path}/a", skip_corrupt=True).count() == 3
 
 
 def test_stations_fall_back(spark, tmp_path):
@@ -94,3 +96,48 @@ def test_csv_roundtrip(spark, tmp_path):
     rows = spark.createDataFrame([("a", "val", 0.1, None, -2.5)], io.METRICS_LONG)
     io.write_csv(rows, f"{tmp_path}/csv")
     assert io.read_csv(spark, f"{tmp_path}/csv", io.METRICS_LONG).collect() == rows.collect()
+
+
+def test_newest_file_reads_no_column(spark, tmp_path):
+    for i in range(3):
+        io.write_table(forecast(spark, float(i)).coalesce(1), f"{tmp_path}/t/n={i}")
+    assert "n=2/" in io.newest_file(spark, f"{tmp_path}/t")
+    os.utime(next((Path(tmp_path) / "t" / "n=1").glob("*.parquet")), (4_000_000_000, 4_000_000_000))
+    assert "n=1/" in io.newest_file(spark, f"{tmp_path}/t")
+    same = [next((Path(tmp_path) / "t" / f"n={i}").glob("*.parquet")) for i in (0, 1, 2)]
+    for f in same:
+        os.utime(f, (4_100_000_000, 4_100_000_000))
+    assert "n=2/" in io.newest_file(spark, f"{tmp_path}/t")
+    plan = spark.read.parquet(f"{tmp_path}/t").select("_metadata.file_modification_time", "_metadata.file_path")
+    assert "ReadSchema: struct<>" in plan._jdf.queryExecution().explainString(plan._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    io.write_table(forecast(spark).limit(0), f"{tmp_path}/empty")
+    with pytest.raises(ContractError):
+        io.newest_file(spark, f"{tmp_path}/empty")
+
+
+def test_a_gate_stops_the_announcement(spark, tmp_path):
+    base, at = f"{tmp_path}/gated", datetime(2024, 1, 1)
+    rows = spark.range(400).select(F.lit(1).alias("station_id"), (F.lit(at).cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("id"))).alias("ts_local"), F.lit(1.0).alias("y"))
+    first = publish_split(rows, base, at, 60, min_rows=59)
+    with pytest.raises(ContractError, match="'test': 59"):
+        publish_split(rows, base, at, 60, min_rows=60)
+    assert io.latest_version(spark, base) == first
+    assert spark.read.parquet(f"{base}/announced").count() == 1
+    with pytest.raises(ContractError, match="negative_y"):
+        publish_ready(rows.withColumn("y", F.lit(-1.0)), f"{base}/ready", at, 60, y="y")
+    assert not io.path_exists(spark, f"{base}/ready/announced")
+    publish_ready(rows, f"{base}/ready", at, 60, y="y")
+    assert io.read_latest(spark, f"{base}/ready").count() == 400
+
+
+def test_a_slot_replaces_its_own_partition_only(spark, tmp_path):
+    path = f"{tmp_path}/slots"
+    rows = spark.createDataFrame([(s, t, v) for s in range(20) for t, v in (("09:00", 1.0), ("13:00", 2.0))], "station_id long, slot_label string, yhat double")
+    io.write_slots(rows, path)
+    before = {f.name for f in Path(path).glob("slot_label=09*/*.parquet")}
+    io.write_slots(rows.where("slot_label = '13:00' AND station_id < 5").withColumn("yhat", F.lit(7.0)), path)
+    assert {f.name for f in Path(path).glob("slot_label=09*/*.parquet")} == before
+    assert sorted((r.slot_label, r.yhat, r["count"]) for r in io.read_slots(spark, path).groupBy("slot_label", "yhat").count().collect()) == [("09:00", 1.0, 20), ("13:00", 7.0, 5)]
+    one = io.read_slots(spark, path, "13:00")
+    assert one.count() == 5 and all("slot_label=13" in f for f in (r.f for r in one.select(F.input_file_name().alias("f")).distinct().collect()))
+    assert "PartitionFilters: [" in one._jdf.queryExecution().toString() or "isnotnull(slot_label" in one._jdf.queryExecution().toString()
