@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,10 +15,10 @@ from dockcast.functions.calendar import CALENDAR_COLUMNS, calendar_columns
 from dockcast.operators import contracts, encoding, history, leaderboard, monitor, nearby, slots, spatial, split
 from dockcast.operators.asof import asof_join
 from dockcast.operators.metrics import metrics_by, persistence, rounded
-from dockcast.plans import backtest, forecast, health, serving, training
+from dockcast.plans import backtest, forecast, health, ledger, serving, training
 from dockcast.plans import slots as slot_plans
 from dockcast.plans.features import model_ready, publish_ready, publish_split
-from dockcast.session import materialize, scratch_path
+from dockcast.session import materialize, scratch_path, shared_dir
 from dockcast.sources import io
 from dockcast.sources.adapters import stations, status, status_hourly, table
 
@@ -898,38 +899,52 @@ def _training_rows(spark: SparkSession, folder: str) -> tuple[DataFrame, list[st
     return materialize(encoding.encode(rows, learnt, [KEY, TS, Y, "split"]), "encoded"), learnt.features
 
 
-def _forest(rows: DataFrame, features: list[str]):
-    return training.train_forest(rows, features, Y, FOREST["numTrees"], FOREST["maxDepth"])
+@lru_cache(maxsize=4)
+def _stored_forest(application: str, folder: str) -> tuple[DataFrame, str, str, str]:
+    """The encoded training table, where its forest is saved, and the run that made it; fitted once per session and folder."""
+    spark = SparkSession.active()
+    rows, features = _training_rows(spark, folder)
+    model, metrics = training.train_forest(rows, features, Y, FOREST["numTrees"], FOREST["maxDepth"])
+    path, runs = scratch_path(spark, "model"), scratch_path(spark, "runs")
+    training.save_model(model, path)
+    run = io.record_run(metrics, runs, {**FOREST, "seed": training.DEFAULT_SEED, "features": len(features)}, {"model": path})
+    return rows, path, runs, run
+
+
+def stored_forest(spark: SparkSession, folder: str) -> tuple[DataFrame, str, str, str]:
+    return _stored_forest(spark.sparkContext.applicationId, folder)
 
 
 @query
 def train_rf(spark: SparkSession, folder: str) -> DataFrame:
-    rows, features = _training_rows(spark, folder)
+    """The forest's metrics as its run recorded them, and the baseline's."""
+    rows, _, runs, run = stored_forest(spark, folder)
+    scored = spark.read.parquet(f"{runs}/metrics").where(F.col("run_id") == run).drop("run_id", "run_ts")
     baseline = metrics_by(rows.where("split = 'val'").withColumn("split", F.lit("baseline_lag1")), ["split"], Y, persistence())
-    return _forest(rows, features)[1].unionByName(baseline)
+    return scored.unionByName(baseline)
 
 
 @query
 def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
-    return training.feature_importance(spark, _forest(*_training_rows(spark, folder))[0])
+    return training.feature_importance(spark, training.load_model(stored_forest(spark, folder)[1]))
 
 
 @query
 def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    (rows, features), path = _training_rows(spark, folder), scratch_path(spark, "model")
-    training.save_model(_forest(rows, features)[0], path)
-    return training.evaluate(training.load_model(path), rows, Y, ["split"])
+    """The saved model, found through its run, scores the table again."""
+    rows, _, runs, run = stored_forest(spark, folder)
+    return training.evaluate(training.load_model(io.run_artefact(spark, runs, run, "model")), rows, Y, ["split"])
 
 
 def _forecast_forest(spark: SparkSession, folder: str, interval: bool) -> DataFrame:
-    rows, features = _training_rows(spark, folder)
-    model = _forest(rows, features)[0]
-    latest = history.latest_per_key(rows.drop("split"), KEY, [TS])
+    rows, path, _, _ = stored_forest(spark, folder)
+    names = training.stored_features(spark, path, rows.where("split = 'train'"), (Y, "split"))
+    latest = materialize(history.latest_per_key(rows.drop("split"), KEY, [TS]), "latest")
     return forecast.recursive_forecast(
         latest,
-        training.model_scorer(model, leaf=interval),
-        forecast.resolve_asof(rows, TS),
-        interval=training.forest_interval(model) if interval else None,
+        training.model_scorer(training.load_model(path), leaf=interval, names=names),
+        forecast.resolve_asof(latest, TS),
+        interval=training.forest_interval(training.stored_leaves(spark, path)) if interval else None,
     )
 
 
@@ -943,39 +958,106 @@ def forecast_ci(spark: SparkSession, folder: str) -> DataFrame:
     return _forecast_forest(spark, folder, interval=True)
 
 
+@lru_cache(maxsize=4)
+def _trial_table(application: str, folder: str) -> tuple[DataFrame, list[str], ledger.Ledger]:
+    """The training table of the searches and their ledger; what one query has fitted, the next ones of the session read."""
+    spark = SparkSession.active()
+    rows, features = _training_rows(spark, folder)
+    return rows, features, ledger.Ledger(spark, f"{shared_dir(spark)}/dockcast/trials", ledger.data_version(rows))
+
+
+def _trials(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str], ledger.Ledger]:
+    return _trial_table(spark.sparkContext.applicationId, folder)
+
+
+def _compared(spark: SparkSession, folder: str) -> list[training.Trial]:
+    rows, features, known = _trials(spark, folder)
+    return training.compare_models(rows, TS, folds_of(rows), features, Y, ledger=known)
+
+
 @query
 def compare_models(spark: SparkSession, folder: str) -> DataFrame:
-    rows, features = _training_rows(spark, folder)
-    return training.trials_table(spark, training.compare_models(rows, TS, folds_of(rows), features, Y))
+    return training.trials_table(spark, _compared(spark, folder))
 
 
 @query
 def tune_model(spark: SparkSession, folder: str) -> DataFrame:
-    rows, features = _training_rows(spark, folder)
-    folds = folds_of(rows)
-    base = training.compare_models(rows, TS, folds, features, Y, ("tree",))[0]
-    return training.trials_table(spark, [base, training.tune_model(rows, TS, folds, features, Y, base)])
+    """The best of all families, and what tuning makes of it."""
+    rows, features, known = _trials(spark, folder)
+    base = _compared(spark, folder)[0]
+    return training.trials_table(spark, [base, training.tune_model(rows, TS, folds_of(rows), features, Y, base, ledger=known)])
 
 
 @query
 def budget_search(spark: SparkSession, folder: str) -> DataFrame:
-    rows, features = _training_rows(spark, folder)
+    rows, features, known = _trials(spark, folder)
     train, val = (rows.where(F.col("split") == part) for part in ("train", "val"))
-    _, trials = training.budget_search(train, val, features, Y, seconds=SEARCH_SECONDS)
+    _, trials = training.budget_search(train, val, features, Y, seconds=SEARCH_SECONDS, ledger=known)
     return training.trials_table(spark, trials)
 
 
+@query
+def trial_ranking(spark: SparkSession, folder: str) -> DataFrame:
+    """Simple forecasts scored per fold into a ledger, twice; the second run finds every score there."""
+    rows = stored_ready(spark, folder)
+    folds, version = folds_of(rows), ledger.data_version(rows)
+    path, again = scratch_path(spark, "trials"), 0
+    for _ in range(2):
+        known = ledger.Ledger(spark, path, version)
+        for column in LAG_FEATURES:
+            for _, train_end, val_end in folds:
+                after = training.fold_parts(rows, TS, train_end, val_end)[1]
+                score = lambda a=after, c=column: metrics_by(a, [], Y, persistence(c)).first().asDict()
+                known.measure(column, {}, f"{train_end.isoformat()}/{val_end.isoformat()}", [column], 0, score)
+        again = known.fitted
+    summary = known.summary().withColumnRenamed("family", "framework").drop("params", "cost_s")
+    ranked = leaderboard.rank_models(summary, ["rmse", "mae", "r2"]).withColumn("fitted_again", F.lit(again))
+    return rounded(ranked, "rmse", "mae", "r2")
+
+
+@query
+def run_record(spark: SparkSession, folder: str) -> DataFrame:
+    """The record of one run: metrics, a parameter and the artefact, joined by the run."""
+    base, out = scratch_path(spark, "runs"), scratch_path(spark, "scored")
+    rows = split_ready(spark, folder)
+    io.write_table(rows.select(KEY, TS, "split", persistence().alias("yhat")), out)
+    run = io.record_run(metrics_by(rows, ["split"], Y, persistence()), base, {"lag": 1}, {"scored": out})
+    stored = spark.read.parquet(io.run_artefact(spark, base, run, "scored")).groupBy("split").agg(F.count(F.lit(1)).alias("n_stored"))
+    params = spark.read.parquet(f"{base}/params").where(F.col("name") == "lag").select("run_id", F.col("value").alias("lag"))
+    logged = spark.read.parquet(f"{base}/metrics").join(params, "run_id").join(stored, "split")
+    return rounded(logged.select("split", "n_rows", "rmse", "mae", "r2", "lag", "n_stored"), "rmse", "mae", "r2")
+
+
+CHAMPION = "availability_champion"
+
+
+def _registry(spark: SparkSession, folder: str) -> DataFrame:
+    """The two best families fitted on the training rows, stored and registered: the second best first, so that it is archived."""
+    rows, features, _ = _trials(spark, folder)
+    entries = []
+    for day, trial in enumerate(reversed(_compared(spark, folder)[:2]), start=1):
+        path = scratch_path(spark, "model")
+        training.save_model(training.refit(rows.where("split = 'train'"), features, Y, trial), path)
+        entries.append((CHAMPION, trial.family, path, datetime(2024, 1, day)))
+    registered = spark.createDataFrame(entries, "name string, framework string, model_path string, registered_at timestamp_ntz")
+    return leaderboard.registry_table(registered)
+
+
 @query
 def refit_champion(spark: SparkSession, folder: str) -> DataFrame:
-    """Search on the holdout, refit on train and validation, and report both: selection on unseen rows, refit on the test part."""
-    rows, features = _training_rows(spark, folder)
-    train, val = (rows.where(F.col("split") == part) for part in ("train", "val"))
-    best, _ = training.budget_search(train, val, features, Y, seconds=SEARCH_SECONDS)
-    model = training.refit(rows.where("split <> 'test'"), features, Y, best)
-    selected = training.trials_table(spark, [best]).select(F.lit("val_select").alias("stage"), "framework", "rmse", "mae", "r2")
-    scores = training.evaluate(model, rows.where("split <> 'train'"), Y, ["split"], lower=0.0)
-    stage = F.when(F.col("split") == "val", "val_refit").otherwise("test")
-    return selected.unionByName(scores.select(stage.alias("stage"), F.lit(best.family).alias("framework"), "rmse", "mae", "r2"))
+    """What is in production, as it was stored and refitted in both modes; only `trainval` has not seen the test part."""
+    rows, registry = _trials(spark, folder)[0], _registry(spark, folder)
+    stored = leaderboard.in_production(registry, CHAMPION)
+    models = {"stored": (stored["framework"], training.load_model(stored["model_path"]))}
+    for mode in training.REFIT_MODES:
+        models[mode] = training.refit_registered(spark, registry, CHAMPION, rows, Y, mode)
+    scored = [
+        training.evaluate(model, rows.where("split <> 'train'"), Y, ["split"], lower=0.0).select(
+            F.lit(mode).alias("mode"), "split", F.lit(family).alias("framework"), "n_rows", "rmse", "mae", "r2"
+        )
+        for mode, (family, model) in models.items()
+    ]
+    return _union(scored)
 
 
 @query
@@ -986,7 +1068,10 @@ def backtest_rf(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _slot_models(features: DataFrame) -> list[training.SlotModel]:
-    return training.train_slots(features, slots.DEFAULT_SLOTS)
+    """Trained, stored, and loaded again with the features that the stored models name; the trials stay with them."""
+    spark, base = features.sparkSession, scratch_path(features.sparkSession, "slot_models")
+    trained = training.train_slots(features, slots.DEFAULT_SLOTS)
+    return [replace(training.load_slot_model(spark, m.save(base), m.label, features), trials=m.trials) for m in trained]
 
 
 @query

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from dockcast.operators.contracts import ContractError, require_columns
@@ -121,6 +121,14 @@ def registry_table(registrations: DataFrame, name: str = "name", at: str = "regi
     return registrations.withColumns({"version": version, "stage": F.when(newest, stage).otherwise("Archived")})
 
 
+def in_production(registry: DataFrame, name: str, stage: str = "Production") -> Row:
+    """The registry's row of a model that holds the stage; the newest, if several do."""
+    found = registry.where((F.col("name") == name) & (F.col("stage") == stage)).orderBy(F.desc("version")).first()
+    if found is None:
+        raise ContractError(f"no version of {name!r} is in stage {stage!r}")
+    return found
+
+
 def compare_summary(board: DataFrame) -> DataFrame:
     """Number of models compared and the best value of each metric."""
     return board.agg(

@@ -527,6 +527,17 @@ def all_oracles() -> dict[str, str]:
             CASE level WHEN 'high' THEN '#2ECC71' WHEN 'medium' THEN '#F1C40F' ELSE '#E74C3C' END AS color FROM leveled""",
     )
     sql["tiles_published"] = sql["tiles"]
+    forecasts = " UNION ALL ".join(f"SELECT '{c}' AS framework, fold, {_Y} AS y, coalesce({c}, 0) AS p FROM folded WHERE part = 'val'" for c in ("y_lag1", "y_lag2", "y_ma3"))
+    sql["trial_ranking"] = _with(
+        f"""{_FOLDED}, candidates AS ({forecasts}), per_fold AS (
+          SELECT framework, fold, {_raw_metric_list("y", "p")} FROM candidates GROUP BY ALL
+        ), means AS (SELECT framework, count(*) AS n_folds, avg(rmse) AS rmse, avg(mae) AS mae, avg(r2) AS r2 FROM per_fold GROUP BY framework)""",
+        f"""SELECT framework, n_folds, {_r("rmse")}, {_r("mae")}, {_r("r2")}, 0::INTEGER AS fitted_again,
+            (row_number() OVER (ORDER BY rmse, mae, r2 DESC, framework))::INTEGER AS place FROM means""",
+    )
+    sql["run_record"] = _with(
+        _SPLIT, f"SELECT split, count(*) AS n_rows, {_metric_list(_Y, 'coalesce(y_lag1, 0)')}, '1' AS lag, count(*) AS n_stored FROM labelled GROUP BY split"
+    )
     sql["capacity_metrics"] = _with(
         _FORECAST,
         f"""SELECT station_id, h, {_r("capacity - yhat", 6, "docks_pred")}, {_r("yhat / capacity * 100", 6, "pct_bikes")},

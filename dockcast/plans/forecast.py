@@ -74,7 +74,7 @@ def recursive_forecast(
     y: str = "num_bikes_available",
     capacity: str | None = None,
     shift_in_current: bool = False,
-    interval: Callable[[str], tuple[Column, Column]] | None = None,
+    interval: Callable[[DataFrame, Sequence[str]], DataFrame] | None = None,
 ) -> DataFrame:
     """station_id, timestamp_pred, h, yhat, yhat_lo, yhat_hi for every horizon.
 
@@ -102,8 +102,10 @@ def recursive_forecast(
         new = F.col(f"_yhat{h}")
         state = state.withColumns({"_lag1": new, "_lag2": F.col("_lag1"), "_mean3": (new + F.col("_lag1") + F.col("_lag2")) / 3})
     # the bounds feed nothing, so all horizons' bounds are worked out in one step at the end
-    nothing = (F.lit(None).cast("double"), F.lit(None).cast("double"))
-    bounds = {h: interval(f"_raw{h}") if interval else nothing for h in steps}
+    if interval:
+        state = interval(state, [f"_raw{h}" for h in steps])
+    nothing = F.lit(None).cast("double")
+    bounds = {h: (F.col(f"_lo_raw{h}"), F.col(f"_hi_raw{h}")) if interval else (nothing, nothing) for h in steps}
     cells = [
         F.struct(
             lit_ts(ends[h]).alias("timestamp_pred"),

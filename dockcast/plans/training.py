@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import random
-import re
 import time
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -12,23 +11,24 @@ from datetime import datetime
 from typing import Any
 
 import numpy as np
-import pandas as pd
 from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from dockcast.functions.timestamps import lit_ts
 from dockcast.functions.values import clip
+from dockcast.operators import leaderboard
 from dockcast.operators.encoding import kept_features, numeric_columns, screen_features
 from dockcast.operators.metrics import metrics_by, regression_metrics
 from dockcast.operators.split import fold_cuts
 from dockcast.operators.contracts import ContractError
 from dockcast.plans.forecast import require_features
+from dockcast.plans.ledger import Ledger, params_text
 from dockcast.session import materialize
 
 Folds = Sequence[tuple[int, datetime, datetime]]
@@ -41,10 +41,20 @@ DEFAULT_TUNE_ITERATIONS = 50
 MIN_SLOT_ROWS = 100
 MAX_TREE_DEPTH = 30
 PARALLEL_FITS = 4
+DEFAULT_ETA = 3
+BRACKET = 9
+#: Rows of a rung are so many hash parts out of this number.
+RUNG_PARTS = 10_000
 INTERVAL_Z = 1.96
+_NOT_RECIPE = ("featuresCol", "labelCol", "predictionCol", "weightCol", "leafCol", "seed", "maxMemoryInMB", "cacheNodeIds", "checkpointInterval")
 SLOT_NON_FEATURES = ("station_id", "t_slot", "slot_label", "generated_from", "y")
 
+LEAST_HISTOGRAM_MB, MOST_HISTOGRAM_MB = 256, 1024
+# families that grow trees level by level; which node a row is in is kept between levels, and that chain is cut every few of them
+_GROWN = ("forest", "boosted")
+_GROWTH = {"cacheNodeIds": True, "checkpointInterval": 10}
 _INTEGER_PARAMS = ("numTrees", "maxDepth", "maxBins", "maxIter", "minInstancesPerNode")
+_ROUNDS = ("numTrees", "maxIter")
 _FAMILIES: dict[str, tuple[type, dict[str, Any]]] = {
     "linear": (LinearRegression, {}),
     "ridge": (LinearRegression, {"regParam": 1.0, "elasticNetParam": 0.0}),
@@ -56,6 +66,8 @@ _FAMILIES: dict[str, tuple[type, dict[str, Any]]] = {
     "boosted": (GBTRegressor, {"maxIter": 20}),
 }
 SEARCH_SPACE: dict[str, dict[str, tuple[float, float]]] = {
+    "linear": {"regParam": (0.0, 0.1)},
+    "huber": {"epsilon": (1.05, 2.5), "regParam": (0.0, 1.0)},
     "ridge": {"regParam": (0.001, 10.0)},
     "lasso": {"regParam": (0.001, 1.0)},
     "elasticnet": {"regParam": (0.001, 1.0), "elasticNetParam": (0.05, 0.95)},
@@ -65,6 +77,15 @@ SEARCH_SPACE: dict[str, dict[str, tuple[float, float]]] = {
 }
 
 
+def histogram_mb(depth: int, bins: int, features: int = 100) -> int:
+    """Memory for the histograms of a level: as many nodes as a level of this depth can hold, within bounds.
+
+    Nodes that do not fit wait for another pass over the rows, so a deep tree with too little of it reads the rows again and again.
+    """
+    nodes = 1 << min(depth, 14)
+    return int(min(MOST_HISTOGRAM_MB, max(LEAST_HISTOGRAM_MB, nodes * bins * features * 3 * 8 >> 20)))
+
+
 def build_estimator(name: str, params: Mapping[str, Any] | None = None, seed: int = DEFAULT_SEED, label: str = "label"):
     """An estimator by family name; whole-number parameters may arrive as floats."""
     family = name.lower()
@@ -73,6 +94,8 @@ def build_estimator(name: str, params: Mapping[str, Any] | None = None, seed: in
     kind, defaults = _FAMILIES[family]
     chosen = {**defaults, **(params or {})}
     chosen = {k: int(round(v)) if k in _INTEGER_PARAMS else v for k, v in chosen.items()}
+    if family in _GROWN:
+        chosen = {**_GROWTH, "maxMemoryInMB": histogram_mb(chosen.get("maxDepth", 5), chosen.get("maxBins", 32)), **chosen}
     estimator = kind(featuresCol="features", labelCol=label, predictionCol="prediction", **chosen)
     return estimator.setSeed(seed) if estimator.hasParam("seed") else estimator
 
@@ -88,11 +111,41 @@ def expected_features(model: PipelineModel) -> list[str]:
     return model.stages[0].getInputCols()
 
 
+def stored_features(spark: SparkSession, path: str, training: DataFrame | None = None, leave_out: Sequence[str] = ()) -> list[str]:
+    """The features of a saved model, from the metadata of its first stage; without such metadata, the numeric columns of its training table."""
+    try:
+        found = spark.read.json(f"{path}/stages/0_VectorAssembler*/metadata").select("paramMap.inputCols").first()
+    except AnalysisException:
+        found = None
+    if found is not None and found["inputCols"]:
+        return list(found["inputCols"])
+    if training is None:
+        raise ContractError(f"the model under {path} does not say its features, and there is no training table to ask")
+    return [c for c in numeric_columns(training) if c not in leave_out]
+
+
+def recipe_of(model: PipelineModel) -> tuple[str, dict[str, Any]]:
+    """Family and parameters of a fitted model, enough to fit it anew."""
+    stage = model.stages[-1]
+    kinds = {name: kind for name, (kind, _) in _FAMILIES.items()}
+    same = [name for name, kind in kinds.items() if type(stage).__name__.startswith(kind.__name__.removesuffix("or"))]
+    if not same:
+        raise ContractError(f"no family fits a {type(stage).__name__}")
+    estimator = kinds[same[0]]()
+    names = [p.name for p in estimator.params if p.name not in _NOT_RECIPE and stage.hasParam(p.name) and stage.isSet(p.name)]
+    params = {n: stage.getOrDefault(n) for n in names}
+    if kinds[same[0]] is LinearRegression:
+        shrunk, mix = params.get("regParam", 0.0) > 0, params.get("elasticNetParam", 0.0)
+        family = "huber" if params.get("loss") == "huber" else "linear" if not shrunk else "ridge" if mix == 0 else "lasso" if mix == 1 else "elasticnet"
+        return family, params
+    return same[0], params
+
+
 def model_scorer(
-    model: PipelineModel, leaf: bool = False, absent_as_zero: bool = False
+    model: PipelineModel, leaf: bool = False, absent_as_zero: bool = False, names: Sequence[str] = ()
 ) -> Callable[[DataFrame, Mapping[str, Column], str], DataFrame]:
     """Score a table whose features are expressions. An absent feature is an error unless it is asked to count as 0."""
-    names = expected_features(model)
+    names = list(names) or expected_features(model)
     predictor = model.stages[-1].copy()
 
     def score(df: DataFrame, features: Mapping[str, Column], output: str) -> DataFrame:
@@ -111,35 +164,41 @@ def model_scorer(
     return score
 
 
-def forest_leaf_values(forest) -> list[list[float]]:
-    """Prediction of every leaf of every tree, left to right, which is the numbering of the leaf column."""
-    trees: list[list[float]] = []
-    for line in forest.toDebugString.splitlines():
-        text = line.strip()
-        if re.match(r"Tree \d+ ", text):
-            trees.append([])
-        elif text.startswith("Predict:"):
-            trees[-1].append(float(text.split(":", 1)[1]))
-    return trees
+def stored_leaves(spark: SparkSession, path: str) -> DataFrame:
+    """The leaves of a saved forest as a table: tree, leaf (left to right, as the leaf column counts them) and its value.
 
+    Nodes are saved in the order of a walk from the root, left before right, so leaves are numbered by the order of their ids.
+    """
+    nodes = spark.read.parquet(f"{path}/stages/*_RandomForestRegress*/data").select("treeID", "nodeData.*")
+    order = Window.partitionBy("treeID").orderBy("id")
+    leaves = nodes.where(F.col("leftChild") < 0)
+    return leaves.select(F.col("treeID").alias("tree"), (F.row_number().over(order) - 1).alias("leaf"), F.col("prediction").alias("value"))
 
-def forest_interval(model: PipelineModel) -> Callable[[str], tuple[Column, Column]]:
-    """Forecast ± 1.96 population deviations over the trees; each tree's value is looked up by its leaf, in Arrow batches."""
-    trees = forest_leaf_values(model.stages[-1])
-    table = np.full((len(trees), max(map(len, trees))), np.nan)
-    for i, leaves in enumerate(trees):
-        table[i, : len(leaves)] = leaves
 
-    @F.pandas_udf(T.DoubleType())
-    def deviation(leaves: pd.Series) -> pd.Series:
-        index = np.stack(leaves.to_numpy()).astype(int) if len(leaves) else np.empty((0, len(table)), dtype=int)
-        return pd.Series(table[np.arange(len(table)), index].std(axis=1))
+def tree_spread(scored: DataFrame, leaves: DataFrame, row: str, outputs: Sequence[str]) -> DataFrame:
+    """Per row and output the population deviation of the trees' own values: an equi-join of every (tree, leaf) that a row falls into."""
+    cells = [F.struct(F.lit(i).alias("output"), F.col(f"_leaf{o}").alias("leaves")) for i, o in enumerate(outputs)]
+    each = scored.select(row, F.explode(F.array(*cells)).alias("cell")).select(row, "cell.output", F.posexplode("cell.leaves").alias("tree", "leaf"))
+    met = each.select(row, "output", "tree", F.col("leaf").cast("int").alias("leaf")).join(leaves, ["tree", "leaf"])
+    per_output = met.groupBy(row, "output").agg(F.stddev_pop("value").alias("spread"))
+    return per_output.groupBy(row).agg(*[F.max(F.when(F.col("output") == i, F.col("spread"))).alias(f"_spread{o}") for i, o in enumerate(outputs)])
 
-    def interval(output: str) -> tuple[Column, Column]:
-        spread = F.lit(INTERVAL_Z) * deviation(vector_to_array(F.col(f"_leaf{output}")))
-        return F.col(output) - spread, F.col(output) + spread
 
-    return interval
+def forest_interval(leaves: DataFrame) -> Callable[[DataFrame, Sequence[str]], DataFrame]:
+    """Adds forecast ± 1.96 population deviations over the trees as `_lo` and `_hi` of each output; rows must carry their leaf columns."""
+    table = materialize(leaves, "leaves")
+
+    def add(scored: DataFrame, outputs: Sequence[str]) -> DataFrame:
+        plain = scored.withColumns({f"_leaf{o}": vector_to_array(F.col(f"_leaf{o}")) for o in outputs})
+        rows = materialize(plain.withColumn("_row", F.monotonically_increasing_id()), "scored")
+        met = rows.join(tree_spread(rows, table, "_row", outputs), "_row", "left")
+        bounds = {}
+        for o in outputs:
+            half = F.lit(INTERVAL_Z) * F.col(f"_spread{o}")
+            bounds |= {f"_lo{o}": F.col(o) - half, f"_hi{o}": F.col(o) + half}
+        return met.withColumns(bounds).drop("_row", *[f"_spread{o}" for o in outputs])
+
+    return add
 
 
 def evaluate(model: PipelineModel, df: DataFrame, label: str, by: Sequence[str] = (), lower: float | None = None) -> DataFrame:
@@ -166,7 +225,7 @@ def feature_importance(spark: SparkSession, model: PipelineModel) -> DataFrame:
     return spark.createDataFrame(rows, "feature string, importance double")
 
 
-METRIC_SCHEMA = "trial int, framework string, params string, rmse double, mae double, r2 double"
+METRIC_SCHEMA = "trial int, framework string, params string, rmse double, mae double, r2 double, rung int, cost_s double"
 
 
 @dataclass(frozen=True)
@@ -178,6 +237,8 @@ class Trial:
     rmse: float
     mae: float
     r2: float
+    rung: int = 0
+    cost_s: float = 0.0
 
     def better_than(self, other: Trial | None, metric: str) -> bool:
         if other is None:
@@ -187,7 +248,7 @@ class Trial:
 
 
 def trials_table(spark: SparkSession, trials: Sequence[Trial]) -> DataFrame:
-    rows = [(i, t.family, repr(sorted(t.params.items())), t.rmse, t.mae, t.r2) for i, t in enumerate(trials)]
+    rows = [(i, t.family, params_text(t.params), t.rmse, t.mae, t.r2, t.rung, t.cost_s) for i, t in enumerate(trials)]
     return spark.createDataFrame(rows, METRIC_SCHEMA)
 
 
@@ -197,17 +258,33 @@ def in_parallel(work: Callable[[Any], Any], items: Sequence[Any], width: int = P
         return list(pool.map(inheritable_thread_target(SparkSession.active())(work), items))
 
 
+def _scored(
+    past: DataFrame, after: DataFrame, fold: str, features: Sequence[str], label: str, family: str, params: Mapping[str, Any], seed: int,
+    ledger: Ledger | None, lower: float | None = None,
+) -> Mapping[str, float]:
+    """Scores of one fit, from the ledger if it has them."""
+
+    def work() -> Mapping[str, float]:
+        return evaluate(fit(past, features, label, build_estimator(family, params, seed)), after, label, lower=lower).first().asDict()
+
+    if ledger is not None:
+        return ledger.measure(family, params, fold, features, seed, work)
+    started = time.monotonic()
+    return {**work(), "cost_s": time.monotonic() - started}
+
+
 def _mean_over_folds(
-    rows: DataFrame, ts: str, folds: Folds, features: Sequence[str], label: str, family: str, params: Mapping[str, Any], seed: int
-) -> Trial:
+    rows: DataFrame, ts: str, folds: Folds, features: Sequence[str], label: str, family: str, params: Mapping[str, Any], seed: int,
+    ledger: Ledger | None = None,
+) -> Trial:
     """Fit on each fold's past, score on what follows it, and average the folds."""
     scores = []
     for _, train_end, val_end in folds:
         past, after = fold_parts(rows, ts, train_end, val_end)
-        model = fit(past, features, label, build_estimator(family, params, seed))
-        scores.append(evaluate(model, after, label).first())
+        name = f"{train_end.isoformat()}/{val_end.isoformat()}"
+        scores.append(_scored(past, after, name, features, label, family, params, seed, ledger))
     rmse, mae, r2 = (float(np.mean([s[m] for s in scores])) for m in ("rmse", "mae", "r2"))
-    return Trial(family, dict(params), rmse, mae, r2)
+    return Trial(family, dict(params), rmse, mae, r2, cost_s=float(sum(s["cost_s"] for s in scores)))
 
 
 def fold_parts(rows: DataFrame, ts: str, train_end: datetime, val_end: datetime) -> tuple[DataFrame, DataFrame]:
@@ -225,9 +302,10 @@ def compare_models(
     families: Sequence[str] = tuple(_FAMILIES),
     metric: str = "rmse",
     seed: int = DEFAULT_SEED,
+    ledger: Ledger | None = None,
 ) -> list[Trial]:
     """Every family on the expanding folds, best first. `rows` should be a stored table: all fits read it."""
-    trials = in_parallel(lambda family: _mean_over_folds(rows, ts, folds, features, label, family, {}, seed), families)
+    trials = in_parallel(lambda family: _mean_over_folds(rows, ts, folds, features, label, family, {}, seed, ledger), families)
     return sorted(trials, key=lambda t: -t.r2 if metric == "r2" else getattr(t, metric))
 
 
@@ -245,17 +323,60 @@ def tune_model(
     iterations: int = DEFAULT_TUNE_ITERATIONS,
     metric: str = "rmse",
     seed: int = DEFAULT_SEED,
+    ledger: Ledger | None = None,
 ) -> Trial:
     """Random search around one family on the folds; the original stays unless something beats it."""
     if base.family not in SEARCH_SPACE:
         return base
     rng, best = random.Random(seed), base
     tries = [sample_params(base.family, rng) for _ in range(iterations)]
-    for trial in in_parallel(lambda p: _mean_over_folds(rows, ts, folds, features, label, base.family, p, seed), tries):
+    for trial in in_parallel(lambda p: _mean_over_folds(rows, ts, folds, features, label, base.family, p, seed, ledger), tries):
         best = trial if trial.better_than(best, metric) else best
     return best
 
 
+def with_share(family: str, params: Mapping[str, Any], share: float) -> dict[str, Any]:
+    """Parameters with the trees or boosting rounds that go with a share of the rows."""
+    whole = {**_FAMILIES[family][1], **params}
+    return {k: max(2, round(v * share)) if k in _ROUNDS else v for k, v in whole.items()} if share < 1 else dict(params)
+
+
+def halving(
+    train: DataFrame,
+    val: DataFrame,
+    features: Sequence[str],
+    label: str,
+    candidates: Sequence[tuple[str, Mapping[str, Any]]],
+    eta: int = DEFAULT_ETA,
+    metric: str = "rmse",
+    seed: int = DEFAULT_SEED,
+    ledger: Ledger | None = None,
+) -> list[Trial]:
+    """Successive halving: all candidates on a share of the rows, trees and rounds, the best of every rung on eta times as much.
+
+    The last rung fits on all rows with all trees and rounds, so its scores compare with any other full fit. Rows of a lower rung are
+    chosen by a hash of their values: the same in every run, and a part of the next rung's rows.
+    """
+    last, live, trials = 0, list(candidates), []
+    while eta ** (last + 1) <= len(live):
+        last += 1
+    for rung in range(last + 1):
+        share = float(eta) ** (rung - last)
+        chosen = F.pmod(F.xxhash64(*features, label), F.lit(RUNG_PARTS)) < F.lit(int(share * RUNG_PARTS))
+        rows = train if rung == last else train.where(chosen)
+
+        def fit_one(candidate: tuple[str, Mapping[str, Any]], rows=rows, share=share, rung=rung) -> tuple[Trial, tuple]:
+            family, params = candidate
+            own = with_share(family, params, share)
+            s = _scored(rows, val, f"holdout/{share:.6f}", features, label, family, own, seed, ledger, lower=0.0)
+            return Trial(family, dict(params), s["rmse"], s["mae"], s["r2"], rung, s["cost_s"]), candidate
+
+        scored = sorted(in_parallel(fit_one, live), key=lambda x: -x[0].r2 if metric == "r2" else getattr(x[0], metric))
+        trials += [t for t, _ in scored]
+        live = [c for _, c in scored[: max(1, len(scored) // eta)]]
+    return trials
+
+
 def budget_search(
     train: DataFrame,
     val: DataFrame,
@@ -266,23 +387,28 @@ def budget_search(
     seed: int = DEFAULT_SEED,
     families: Sequence[str] = tuple(SEARCH_SPACE),
     max_trials: int | None = None,
+    ledger: Ledger | None = None,
 ) -> tuple[Trial, list[Trial]]:
-    """Search on a fixed holdout until the time budget ends, but not before every family had its default trial."""
-    rng, started, trials = random.Random(seed), time.monotonic(), []
+    """Search on a fixed holdout within a time budget; the first bracket has every family's default, later ones random candidates.
+
+    A bracket is a successive halving. Another one is started only if the one before shows that it can end in time, by what its fits cost. The
+    winner is the best of the last rungs, whose fits saw all rows.
+    """
+    rng, started = random.Random(seed), time.monotonic()
     train, val = (materialize(d.select(*features, label), "search") for d in (train, val))
-    best = None
-    while len(trials) < len(families) or time.monotonic() - started < seconds:
-        if max_trials is not None and len(trials) >= max_trials:
-            break
-        first_round = len(trials) < len(families)
-        family = families[len(trials)] if first_round else rng.choice(list(families))
-        params = {} if first_round else sample_params(family, rng)
-        model = fit(train, features, label, build_estimator(family, params, seed))
-        score = evaluate(model, val, label, lower=0.0).first()
-        trial = Trial(family, params, score["rmse"], score["mae"], score["r2"])
-        trials.append(trial)
-        best = trial if trial.better_than(best, metric) else best
-    return best, trials
+    candidates = [(f, {}) for f in families]
+    best, trials = None, []
+    while True:
+        began = time.monotonic()
+        tried = halving(train, val, features, label, candidates, metric=metric, seed=seed, ledger=ledger)
+        trials += tried
+        for t in tried:
+            if t.rung == max(x.rung for x in tried):
+                best = t if t.better_than(best, metric) else best
+        spent = time.monotonic() - began
+        if time.monotonic() - started + spent > seconds or (max_trials is not None and len(trials) >= max_trials):
+            return best, trials
+        candidates = [(f, sample_params(f, rng)) for f in (rng.choice(list(families)) for _ in range(BRACKET))]
 
 
 def refit(full: DataFrame, features: Sequence[str], label: str, winner: Trial, seed: int = DEFAULT_SEED) -> PipelineModel:
@@ -290,6 +416,26 @@ def refit(full: DataFrame, features: Sequence[str], label: str, winner: Trial, s
     return fit(full, features, label, build_estimator(winner.family, winner.params, seed))
 
 
+REFIT_MODES = ("trainval", "curated")
+
+
+def refit_rows(labelled: DataFrame, mode: str) -> DataFrame:
+    """What a champion is refitted on: training and validation rows, or the whole curated table."""
+    if mode not in REFIT_MODES:
+        raise ValueError(f"mode must be one of {REFIT_MODES}, not {mode!r}")
+    return labelled.where("split <> 'test'") if mode == "trainval" else labelled
+
+
+def refit_registered(
+    spark: SparkSession, registry: DataFrame, name: str, labelled: DataFrame, label: str, mode: str = "trainval", seed: int = DEFAULT_SEED
+) -> tuple[str, PipelineModel]:
+    """The model that the registry has in production, fitted anew: its stored version tells the family, the parameters and the features."""
+    entry = leaderboard.in_production(registry, name)
+    family, params = recipe_of(load_model(entry["model_path"]))
+    features = stored_features(spark, entry["model_path"], labelled.where("split = 'train'"), (label, "split"))
+    return family, fit(refit_rows(labelled, mode), features, label, build_estimator(family, params, seed))
+
+
 def slot_feature_columns(df: DataFrame) -> list[str]:
     """Numeric columns of the slot features that are known often enough and vary."""
     candidates = [c for c in numeric_columns(df) if c not in SLOT_NON_FEATURES]
@@ -303,6 +449,17 @@ class SlotModel:
     model: PipelineModel
     trials: list[Trial]
 
+    def save(self, base: str) -> str:
+        """Stored under the slot's name without what a path cannot hold."""
+        path = f"{base}/{self.label.replace(':', '')}"
+        save_model(self.model, path)
+        return path
+
+
+def load_slot_model(spark: SparkSession, path: str, label: str, training: DataFrame | None = None) -> SlotModel:
+    """A slot's stored model with the features that its own metadata names."""
+    return SlotModel(label, stored_features(spark, path, training, SLOT_NON_FEATURES), load_model(path), [])
+
 
 def train_slot(
     features_table: DataFrame, slot: str, n_splits: int, families: Sequence[str], min_rows: int = MIN_SLOT_ROWS, seed: int = DEFAULT_SEED

@@ -149,6 +149,27 @@ def append_params(spark: SparkSession, path: str, run_id: str, params: Mapping[s
     spark.createDataFrame(rows, "run_id string, name string, value string").write.mode("append").parquet(path)
 
 
+def record_run(
+    metrics: DataFrame, base: str, params: Mapping[str, object], artefacts: Mapping[str, str], run_id: str | None = None
+) -> str:
+    """Record a run: its metrics, its parameters, and where what it made is stored. Three logs under one folder, joined by run_id."""
+    run = append_metrics(metrics, f"{base}/metrics", run_id)
+    spark = metrics.sparkSession
+    append_params(spark, f"{base}/params", run, params)
+    if artefacts:
+        rows = [(run, name, path) for name, path in artefacts.items()]
+        spark.createDataFrame(rows, "run_id string, name string, path string").write.mode("append").parquet(f"{base}/artefacts")
+    return run
+
+
+def run_artefact(spark: SparkSession, base: str, run_id: str, name: str) -> str:
+    """Where a run's artefact is stored."""
+    found = spark.read.parquet(f"{base}/artefacts").where((F.col("run_id") == run_id) & (F.col("name") == name)).first()
+    if found is None:
+        raise ContractError(f"run {run_id} has no artefact {name!r}")
+    return found["path"]
+
+
 def version_tag(asof: datetime, step_minutes: int) -> str:
     return f"asof={asof:%Y%m%d_%H%M}/freq={step_minutes}"
 
