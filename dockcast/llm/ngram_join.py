@@ -1,8 +1,9 @@
 """Documents linked by the Jaccard similarity of their word n-grams: a grouped prefix join.
 
-A document's set holds the 64-bit hashes of its distinct n-grams, in ascending order. Two sets that reach the similarity share one of
-the first n - ceil(t * n) + 1 hashes (their prefixes). Equal sets are one node, told apart by 128-bit digests. Nodes with identical prefixes and equal size
-are one group, so a hash's posting list holds groups. Pairs of groups that meet in a list are filtered by size and by the place of the common hash,
+A document's set holds the 64-bit hashes of its distinct n-grams. Two sets that reach the similarity share one of the first n - ceil(t * n) + 1
+hashes (their prefixes) in any order that is the same for all. The order is that of the numbers, but hashes that many documents hold come last. Those are found by
+a count over all documents (of the hashes that can come into a prefix); the MOST_FREQUENT most frequent are put last, which is an order like any other, so nothing
+depends on that bound but work. Equal sets are one node, told apart by 128-bit digests. Nodes with identical prefixes and equal size are one group, so a hash's posting list holds groups. Pairs of groups that meet in a list are filtered by size and by the place of the common hash,
 then expanded to their members; member pairs are filtered by bitmaps of their sets (every hash flips one of 256 bits, so the bits in which
 two bitmaps differ are a lower bound of the hashes in which the sets differ) and verified by the sets themselves.
 
@@ -14,6 +15,8 @@ in one of the first few, so the nodes are dealt anew to a bucket per such hash,
 differ from the core in any one hash, so buckets halve with every step until all are small. No pair is lost, no bucket is cut off, and
 nothing is quadratic in a bucket above SMALL. Hashes of a passage that many texts share are in the core, and so out of the way.
 
+Only prefixes and digests are stored. The whole sets of nodes that are looked at are made from their texts again.
+
 Links become components on Spark, with a stored table per step.
 
 Defined results: A-Z are lowered; words end at ASCII white space; fewer words than an n-gram needs make one n-gram; NULL, empty and blank texts have
@@ -34,17 +37,19 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockcast.llm.common import join_groups, screen, store
+from dockcast.llm.common import join_groups, screen, store, whole_text
 from dockcast.llm.simhash import connect
 from dockcast.llm.texts import slices, starts_of, words
 
 SHINGLE, PERCENT = 4, 85
 #: All pairs of a bucket with at most so many nodes are looked at.
 SMALL = 64
+#: Hashes that are put last, at most; two megabytes.
+MOST_FREQUENT = 1 << 18
 #: Longs of a bitmap.
 MAP = 4
 
-SETS = "doc_id long, n long, sig binary, grouped binary, prefix array<long>, rest array<long>, bits array<long>"
+SETS = "doc_id long, text_hash long, n long, sig binary, grouped binary, prefix array<long>, bits array<long>"
 
 _ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -95,37 +100,83 @@ def bitmaps(found: np.ndarray, owner: np.ndarray, size: int) -> np.ndarray:
     return np.packbits(odd.reshape(size, width), axis=1, bitorder="little").view("<i8").reshape(size, MAP)
 
 
-def _sets(shingle: int, percent: int):
-    """(doc_id, text) to SETS; the hashes only with the first of a partition's equal sets."""
+def _counted(shingle: int, percent: int):
+    """(text_hash, text) to the hashes that can come into a prefix, those below a limit; once for equal texts of a partition."""
+    # half as much again as a prefix holds, for prefixes from which frequent hashes were taken
+    limit = np.int64(-(1 << 63) + int((1 << 64) * min(1.0, 1.5 * (100 - percent) / 100)) - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[bytes] = set()
+        seen: set[int] = set()
         for batch, texts in slices(batches, 1):
+            new = []
+            for i, h in enumerate(batch.column(0).to_pylist()):
+                if h not in seen:
+                    seen.add(h)
+                    new.append(i)
+            found, _ = shingles(texts.take(pa.array(new, pa.int64())), shingle)
+            yield pa.RecordBatch.from_arrays([pa.array(found[found <= limit])], ["hash"])
+
+    return run
+
+
+def frequent_hashes(texts: DataFrame, shingle: int, percent: int) -> np.ndarray:
+    """The hashes that most documents hold, of those in more than SMALL; ascending, at most MOST_FREQUENT."""
+    counts = texts.select("text_hash", "text").mapInArrow(_counted(shingle, percent), "hash long").groupBy("hash").count()
+    most = counts.filter(F.col("count") > SMALL).orderBy(F.desc("count"), "hash").limit(MOST_FREQUENT)
+    return np.sort(np.array([r["hash"] for r in most.select("hash").collect()], np.int64))
+
+
+def _is_in(found: np.ndarray, listed: np.ndarray) -> np.ndarray:
+    at = np.searchsorted(listed, found)
+    return listed[np.minimum(at, len(listed) - 1)] == found if len(listed) else np.zeros(len(found), bool)
+
+
+def _digests(found: np.ndarray, starts: np.ndarray, ends: np.ndarray, marks: np.ndarray) -> list[bytes]:
+    """128 bits of the hashes from each start to its end, and a number."""
+    raw = memoryview(found.astype("<i8").tobytes())
+    salted = zip(starts.tolist(), ends.tolist(), marks.tolist(), strict=True)
+    return [blake2b(raw[8 * a : 8 * b], digest_size=16, salt=m.to_bytes(8, "little")).digest() for a, b, m in salted]
+
+
+def _lists(found: np.ndarray, sizes: np.ndarray, given: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(starts_of(sizes).astype(np.int32)), pa.array(found), mask=pa.array(~given))
+
+
+def _sets(shingle: int, percent: int, frequent: np.ndarray):
+    """(doc_id, text_hash, text) to SETS; the prefix only with the first of a partition's equal sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        for batch, texts in slices(batches, 2):
             found, counts = shingles(texts, shingle)
-            starts = starts_of(counts)
-            cut = starts[:-1] + np.where(counts > 0, prefix_length(counts, percent), 0)
-            raw = memoryview(found.astype("<i8").tobytes())
-            sig = [blake2b(raw[8 * a : 8 * b], digest_size=16).digest() for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
-            grouped = [
-                blake2b(raw[8 * a : 8 * b], digest_size=16, salt=n.to_bytes(8, "little")).digest()
-                for a, b, n in zip(starts[:-1].tolist(), cut.tolist(), counts.tolist(), strict=True)
-            ]
+            starts, owner = starts_of(counts), np.repeat(np.arange(len(counts)), counts)
+            sig = _digests(found, starts[:-1], starts[1:], counts)
+            bits = bitmaps(found, owner, len(counts))
+            ordered = found[np.lexsort((found, _is_in(found, frequent), owner))]
+            kept = np.where(counts > 0, prefix_length(counts, percent), 0)
+            grouped = _digests(ordered, starts[:-1], starts[:-1] + kept, counts)
             first = np.zeros(len(sig), bool)
             for i, s in enumerate(sig):
                 if counts[i] and s not in seen:
                     seen.add(s)
                     first[i] = True
-            owner = np.repeat(np.arange(len(counts)), counts)
-            in_prefix = np.arange(len(found)) < cut[owner]
-            lists = []
-            for part in (in_prefix, ~in_prefix):
-                taken = part & first[owner]
-                offsets = starts_of(np.bincount(owner[taken], minlength=len(counts)))
-                lists.append(pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(found[taken]), mask=pa.array(~first)))
-            maps = pa.array(bitmaps(found, owner, len(counts)).ravel())
-            bits = pa.ListArray.from_arrays(np.arange(0, len(maps) + 1, MAP, dtype=np.int32), maps)
-            kinds = [batch.column(0), pa.array(counts.astype(np.int64)), pa.array(sig, pa.binary()), pa.array(grouped, pa.binary()), *lists, bits]
-            yield pa.RecordBatch.from_arrays(kinds, ["doc_id", "n", "sig", "grouped", "prefix", "rest", "bits"])
+            taken = (np.arange(len(found)) < (starts[:-1] + kept)[owner]) & first[owner]
+            maps = pa.ListArray.from_arrays(np.arange(0, len(counts) * MAP + 1, MAP, dtype=np.int32), pa.array(bits.ravel()))
+            cells = [batch.column(0), batch.column(1), pa.array(counts.astype(np.int64)), pa.array(sig, pa.binary()), pa.array(grouped, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*cells, _lists(ordered[taken], np.where(first, kept, 0), first), maps], [c.split()[0] for c in SETS.split(", ")])
+
+    return run
+
+
+def _whole(shingle: int):
+    """Texts to (sig, hashes): their whole sets, ascending."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, texts in slices(batches, 0):
+            found, counts = shingles(texts, shingle)
+            starts = starts_of(counts)
+            sig = _digests(found, starts[:-1], starts[1:], counts)
+            yield pa.RecordBatch.from_arrays([pa.array(sig, pa.binary()), _lists(found, counts, np.ones(len(counts), bool))], ["sig", "hashes"])
 
     return run
 
@@ -175,12 +226,14 @@ def differing(n: Column, m: Column, percent: int) -> Column:
     return F.floor((100 - percent) * (n + m) / (100 + percent))
 
 
-def _with_sets(rows: DataFrame, sets: DataFrame, column: str) -> DataFrame:
-    """rows with `n` and `hashes` of the node in a column. Only sets that are asked for move."""
-    wanted = rows.select(F.xxhash64(column).alias("h")).distinct()
-    bits = max(1, wanted.count()).bit_length() + 3
-    near = screen(sets, F.xxhash64("node"), wanted, bits).filter("_maybe")
-    return rows.join(near.select(F.col("node").alias(column), "n", F.concat("prefix", "rest").alias("hashes")), column)
+def _wholes(texts: DataFrame, nodes: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """node, n and hashes of the wanted nodes (one column), from one text of each. Other texts are passed over by a bit table."""
+    asked = store(nodes.join(wanted.select("node").distinct(), "node").select("node", "n", "sig", "text_hash"), "join-asked")
+    listed = asked.select("text_hash")
+    near = screen(texts.select("text", "text_hash"), F.col("text_hash"), listed, max(1, asked.count()).bit_length() + 4).filter("_maybe")
+    one = near.select("text_hash", "text").join(listed.distinct(), "text_hash", "left_semi").distinct()
+    made = one.select("text").mapInArrow(_whole(shingle), "sig binary, hashes array<long>")
+    return store(made.join(asked.select("node", "n", "sig"), "sig").select("node", "n", "hashes"), "join-wholes")
 
 
 def _sized(rows: DataFrame, total: int) -> DataFrame:
@@ -189,10 +242,10 @@ def _sized(rows: DataFrame, total: int) -> DataFrame:
     return join_groups(rows, store(sizes, "join-sizes"), "bucket", "m", total).filter("m IS NOT NULL")
 
 
-def _halved(large: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+def _halved(large: DataFrame, wholes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Large buckets (bucket, node, m) to sure links (a, b) and the rows of the next, smaller buckets."""
     total = large.count()
-    held = store(_with_sets(large, sets, "node"), "join-large")
+    held = large.join(wholes, "node")
     hashes = held.select("bucket", "m", F.explode("hashes").alias("hash"))
     most = hashes.groupBy("bucket", "hash").agg(F.count("*").alias("c"), F.first("m").alias("m")).filter("2 * c > m")
     # a core holds at most twice as many hashes as its bucket's mean set
@@ -218,23 +271,28 @@ def _families(shared: DataFrame) -> DataFrame:
     return join_groups(shared.select("bucket", "gid"), family, "bucket", "_m", total).select(F.col("family").alias("bucket"), "gid").distinct()
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of pairs of nodes those that are similar: by size and bitmap first, then by their sets."""
+def _near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of pairs of nodes those whose bitmaps allow that they are similar."""
     short = sets.filter("prefix IS NOT NULL").select("node", "n", "bits")
     left, right = (short.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("bits").alias(f"bits{c}")) for c in "ab")
     off = F.aggregate(F.zip_with("bitsa", "bitsb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    near = pairs.join(left, "a").join(right, "b").filter(off <= differing(F.col("na"), F.col("nb"), percent)).select("a", "b")
-    near = store(near, "join-candidates")
-    first = _with_sets(near, sets, "a").withColumnsRenamed({"n": "na", "hashes": "ha"})
-    both = _with_sets(first, sets, "b")
-    common = F.size(F.array_intersect("ha", "hashes"))
-    return both.filter((100 + percent) * common >= percent * (F.col("na") + F.col("n"))).select("a", "b")
+    met = pairs.join(left, "a").join(right, "b")
+    return met.filter(off <= differing(F.col("na"), F.col("nb"), percent)).select("a", "b")
+
+
+def _verified(near: DataFrame, wholes: DataFrame, percent: int) -> DataFrame:
+    """Of pairs of nodes those that are similar, by their sets."""
+    left, right = (wholes.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("hashes").alias(f"h{c}")) for c in "ab")
+    common = F.size(F.array_intersect("ha", "hb"))
+    return near.join(left, "a").join(right, "b").filter((100 + percent) * common >= percent * (F.col("na") + F.col("nb"))).select("a", "b")
 
 
-def links(sets: DataFrame, nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
+def links(texts: DataFrame, sets: DataFrame, nodes: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Links (a, b) between nodes: all similar pairs are connected by them, and no others."""
-    groups = nodes.groupBy("grouped").agg(F.min("node").alias("gid"), F.count("*").alias("size"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    groups = nodes.groupBy("grouped").agg(F.min("node").alias("gid"), F.count("*").alias("size"), F.first("n").alias("n"))
     groups = store(groups, "join-groups")
+    first = sets.filter("prefix IS NOT NULL").select(F.col("node").alias("gid"), "prefix")
+    prefixes = store(groups.select("gid", "size", "n").join(first, "gid"), "join-prefixes")
     several = groups.filter("size > 1").select("grouped", "gid", "size")
     members = store(join_groups(nodes.select("grouped", "node", "n"), several, "grouped", "size", max(1, nodes.count())).filter("gid IS NOT NULL"), "join-members")
 
@@ -242,7 +300,7 @@ def links(sets: DataFrame, nodes: DataFrame, percent: int = PERCENT) -> DataFram
         own = members.select(F.col("gid").alias(column), F.col("node").alias("_node"))
         return rows.join(own, column, "left").withColumn(column, F.coalesce("_node", column)).drop("_node")
 
-    posted = groups.select("gid", "size", "n", F.posexplode("prefix").alias("pos", "bucket"))
+    posted = prefixes.select("gid", "size", "n", F.posexplode("prefix").alias("pos", "bucket"))
     sizes = posted.groupBy("bucket").agg(F.sum("size").alias("m"), F.count("*").alias("lists")).filter("lists > 1").drop("lists")
     total = posted.count()
     shared = store(join_groups(posted, store(sizes, "join-sizes"), "bucket", "m", total).filter("m IS NOT NULL"), "join-shared")
@@ -255,32 +313,35 @@ def links(sets: DataFrame, nodes: DataFrame, percent: int = PERCENT) -> DataFram
     many = _families(shared.filter(F.col("m") > SMALL).select("bucket", "gid", "m")).withColumn("node", F.col("gid"))
     many = expand(many.select("bucket", "node"), "node").unionByName(members.filter(F.col("size") > SMALL).select(F.col("gid").alias("bucket"), "node"))
     at = store(many.distinct().select("bucket", "node", F.lit(0).cast("long").alias("n"), nought, yes), "join-buckets")
-    sure = []
+    sure, wholes = [], None
     while not at.isEmpty():
         sized = store(_sized(at, at.count()), "join-sized")
         pairs.append(small_pairs(sized.filter(F.col("m") <= SMALL), percent))
         large = sized.filter(F.col("m") > SMALL).select("bucket", "node", "m")
         if large.isEmpty():
             break
-        linked, again = _halved(large, sets, percent)
+        if wholes is None:
+            wholes = _wholes(texts, nodes, large, shingle)
+        linked, again = _halved(large, wholes, percent)
         sure.append(linked)
         at = store(again, "join-buckets")
-    candidates = reduce(DataFrame.unionByName, pairs).distinct()
-    return reduce(DataFrame.unionByName, [_verified(candidates, sets, percent), *sure])
+    near = store(_near(reduce(DataFrame.unionByName, pairs).distinct(), sets, percent), "join-near")
+    both = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node")))
+    return reduce(DataFrame.unionByName, [_verified(near, _wholes(texts, nodes, both, shingle), percent), *sure])
 
 
 def components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, text: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the smallest id of its component) and n_sets, the component's distinct sets."""
-    found = docs.select("doc_id", text).mapInArrow(_sets(shingle, percent), SETS)
-    sets = store(found.withColumn("node", F.monotonically_increasing_id()), "join-sets")
-    some = sets.filter("n > 0")
-    first = F.min(F.when(F.col("prefix").isNotNull(), F.col("node")))
-    nodes = some.groupBy("sig").agg(
-        first.alias("node"), F.min("doc_id").alias("least"), F.count("*").alias("rows"), F.first("n").alias("n"),
-        F.first("grouped").alias("grouped"), F.first("prefix", ignorenulls=True).alias("prefix"),
-    )
-    nodes = store(nodes, "join-nodes")
-    roots = store(connect(store(links(sets, nodes, percent).distinct(), "join-links")).withColumnRenamed("node", "_node"), "join-roots")
+    given = whole_text(text)
+    texts = docs.select("doc_id", F.xxhash64(given).alias("text_hash"), given.alias("text"))
+    frequent = frequent_hashes(texts, shingle, percent)
+    sets = store(texts.mapInArrow(_sets(shingle, percent, frequent), SETS).withColumn("node", F.monotonically_increasing_id()), "join-sets")
+    first = F.when(F.col("prefix").isNotNull(), F.struct("node", "text_hash"))
+    nodes = sets.filter("n > 0").groupBy("sig").agg(
+        F.min(first).alias("one"), F.min("doc_id").alias("least"), F.count("*").alias("rows"), F.first("n").alias("n"), F.first("grouped").alias("grouped")
+    )
+    nodes = store(nodes.select("sig", "one.node", "one.text_hash", "least", "rows", "n", "grouped"), "join-nodes")
+    roots = store(connect(store(links(texts, sets, nodes, shingle, percent).distinct(), "join-links")).withColumnRenamed("node", "_node"), "join-roots")
     rooted = nodes.select("sig", "node", "least", "rows").join(roots, F.col("node") == F.col("_node"), "left")
     rooted = store(rooted.select("sig", "rows", "least", F.coalesce("root", "node").alias("root")), "join-rooted")
     whole = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n_sets"))
