@@ -45,6 +45,7 @@ DEFAULT_ETA = 3
 BRACKET = 9
 #: Rows of a rung are so many hash parts out of this number.
 RUNG_PARTS = 10_000
+LEAST_RUNG_ROWS = 1_000
 INTERVAL_Z = 1.96
 _NOT_RECIPE = ("featuresCol", "labelCol", "predictionCol", "weightCol", "leafCol", "seed", "maxMemoryInMB", "cacheNodeIds", "checkpointInterval")
 SLOT_NON_FEATURES = ("station_id", "t_slot", "slot_label", "generated_from", "y")
@@ -351,14 +352,16 @@ def halving(
     metric: str = "rmse",
     seed: int = DEFAULT_SEED,
     ledger: Ledger | None = None,
+    least_rows: int = LEAST_RUNG_ROWS,
 ) -> list[Trial]:
     """Successive halving: all candidates on a share of the rows, trees and rounds, the best of every rung on eta times as much.
 
-    The last rung fits on all rows with all trees and rounds, so its scores compare with any other full fit. Rows of a lower rung are
+    A rung has at least `least_rows` rows, as a choice among fits on fewer would be chance; a small table is searched in one rung. The last rung fits on all rows with all trees and rounds, so its scores compare with any other full fit. Rows of a lower rung are
     chosen by a hash of their values: the same in every run, and a part of the next rung's rows.
     """
     last, live, trials = 0, list(candidates), []
-    while eta ** (last + 1) <= len(live):
+    n_rows = train.count()
+    while eta ** (last + 1) <= min(len(live), n_rows / least_rows):
         last += 1
     for rung in range(last + 1):
         share = float(eta) ** (rung - last)
@@ -371,9 +374,10 @@ def halving(
             s = _scored(rows, val, f"holdout/{share:.6f}", features, label, family, own, seed, ledger, lower=0.0)
             return Trial(family, dict(params), s["rmse"], s["mae"], s["r2"], rung, s["cost_s"]), candidate
 
-        scored = sorted(in_parallel(fit_one, live), key=lambda x: -x[0].r2 if metric == "r2" else getattr(x[0], metric))
+        scored = in_parallel(fit_one, live)
         trials += [t for t, _ in scored]
-        live = [c for _, c in scored[: max(1, len(scored) // eta)]]
+        ranked = sorted(scored, key=lambda x: -x[0].r2 if metric == "r2" else getattr(x[0], metric))
+        live = [c for _, c in ranked[: max(1, len(ranked) // eta)]]
     return trials
 
 

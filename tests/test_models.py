@@ -7,9 +7,10 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from dockcast.operators import split
+from dockcast.operators import leaderboard, split
+from dockcast.operators.contracts import ContractError
 from dockcast.operators.metrics import metrics_by, persistence
-from dockcast.plans import backtest, forecast, training
+from dockcast.plans import backtest, forecast, ledger, training
 from dockcast.plans import slots as slot_plans
 from dockcast.plans.features import model_ready
 from dockcast.session import materialize, scratch_path
@@ -59,25 +60,144 @@ def test_saved_model_scores_the_same(spark, rows, model):
     assert a.exceptAll(b).isEmpty()
 
 
-def test_leaf_values_are_the_trees_own(rows, model):
-    forest = model[0].stages[-1]
-    values = training.forest_leaf_values(forest)
-    scored = model[0].transform(rows.limit(200))
-    leaves = forest.copy().setLeafCol("leaf").transform(scored.drop("prediction")).select("features", vector_to_array("leaf").alias("leaf"), "prediction").collect()
-    for r in leaves[:50]:
-        per_tree = [values[i][int(leaf)] for i, leaf in enumerate(r["leaf"])]
+@pytest.fixture(scope="module")
+def deep(spark, rows):
+    """A saved forest of full depth."""
+    path = scratch_path(spark, "deep")
+    training.save_model(training.train_forest(rows, FEATURES, Y, trees=5, depth=30)[0], path)
+    return path
+
+
+def test_stored_leaves_are_the_trees_own(spark, rows, deep):
+    forest = training.load_model(deep).stages[-1]
+    assert max(t.depth for t in forest.trees) > 10
+    table = {(r["tree"], r["leaf"]): r["value"] for r in training.stored_leaves(spark, deep).collect()}
+    assert len(table) == sum((t.numNodes + 1) // 2 for t in forest.trees)
+    assembled = training.load_model(deep).stages[0].transform(rows.limit(200))
+    scored = forest.copy().setLeafCol("leaf").transform(assembled).select("features", vector_to_array("leaf").alias("leaf"), "prediction").collect()
+    for r in scored[:50]:
+        per_tree = [table[i, int(leaf)] for i, leaf in enumerate(r["leaf"])]
         assert per_tree == pytest.approx([t.predict(r["features"]) for t in forest.trees])
         assert np.mean(per_tree) == pytest.approx(r["prediction"])
 
 
-def test_forecast_interval_holds_the_forecast(rows, model):
+def test_forecast_interval_is_the_spread_of_the_trees(spark, rows, deep):
     latest = rows.orderBy(F.desc(TS)).limit(6).drop("split")
-    out = forecast.recursive_forecast(
-        latest, training.model_scorer(model[0], leaf=True), forecast.resolve_asof(rows, TS), interval=training.forest_interval(model[0])
-    ).collect()
+    model = training.load_model(deep)
+    asof = forecast.resolve_asof(rows, TS)
+    interval = training.forest_interval(training.stored_leaves(spark, deep))
+    out = forecast.recursive_forecast(latest, training.model_scorer(model, leaf=True), asof, interval=interval).collect()
+    plain = forecast.recursive_forecast(latest, training.model_scorer(model), asof).collect()
+    assert {(r["station_id"], r["h"], r["yhat"]) for r in out} == {(r["station_id"], r["h"], r["yhat"]) for r in plain}
     assert len(out) == 24
     assert all(r["yhat_lo"] <= r["yhat"] <= r["yhat_hi"] for r in out)
-    assert any(r["yhat_lo"] < r["yhat_hi"] for r in out)
+    first = {c: F.col(c).cast("double") for c in FEATURES}
+    calendar = {n: F.lit(float(v)) for n, v in forecast.calendar_of(asof + timedelta(hours=1)).items()}
+    inputs = latest.select("station_id", *[({**first, **calendar}[c]).alias(c) for c in FEATURES])
+    forest = model.stages[-1]
+    for r in model.stages[0].transform(inputs).collect():
+        own = np.std([t.predict(r["features"]) for t in forest.trees])
+        found = next(x for x in out if x["station_id"] == r["station_id"] and x["h"] == 1)
+        assert found["yhat_hi"] - found["yhat"] == pytest.approx(training.INTERVAL_Z * own)
+
+
+def test_tree_histograms_grow_with_the_level_within_bounds():
+    assert training.histogram_mb(5, 32) == training.LEAST_HISTOGRAM_MB
+    assert training.LEAST_HISTOGRAM_MB < training.histogram_mb(13, 32) <= training.histogram_mb(30, 32) == training.MOST_HISTOGRAM_MB
+    assert training.build_estimator("forest", {"maxDepth": 30}).getCacheNodeIds()
+
+
+def test_features_of_a_stored_model(spark, rows, deep, tmp_path):
+    assert training.stored_features(spark, deep) == FEATURES
+    bare = f"{tmp_path}/bare"
+    training.load_model(deep).stages[-1].write().save(f"{bare}/stages/1_forest")
+    assert training.stored_features(spark, bare, rows.select("hour", "y_lag1", Y, "split"), (Y,)) == ["hour", "y_lag1"]
+    with pytest.raises(ContractError):
+        training.stored_features(spark, bare)
+
+
+def test_recipes(spark, rows):
+    for family, params in (("ridge", {"regParam": 0.7}), ("lasso", {}), ("huber", {"epsilon": 1.5}), ("tree", {"maxDepth": 3}), ("boosted", {"maxIter": 3, "maxDepth": 2}), ("forest", {"numTrees": 4})):
+        path = scratch_path(spark, "recipe")
+        training.save_model(training.fit(rows, FEATURES, Y, training.build_estimator(family, params)), path)
+        found, own = training.recipe_of(training.load_model(path))
+        assert found == family
+        assert all(own[k] == v for k, v in params.items())
+
+
+def test_registered_champion_is_refitted_without_a_search(spark, rows, monkeypatch):
+    entries = []
+    for day, (family, params) in enumerate((("tree", {"maxDepth": 2}), ("ridge", {"regParam": 0.3})), start=1):
+        path = scratch_path(spark, "registered")
+        training.save_model(training.fit(rows.where("split = 'train'"), FEATURES[:4] if day == 1 else FEATURES, Y, training.build_estimator(family, params)), path)
+        entries.append(("champion", family, path, datetime(2024, 1, day)))
+    registry = leaderboard.registry_table(spark.createDataFrame(entries, "name string, framework string, model_path string, registered_at timestamp_ntz"))
+    assert {r["framework"]: r["stage"] for r in registry.collect()} == {"tree": "Archived", "ridge": "Production"}
+    seen = []
+    real = training.fit
+    monkeypatch.setattr(training, "fit", lambda df, *a: seen.append(df.count()) or real(df, *a))
+    for mode in training.REFIT_MODES:
+        family, model = training.refit_registered(spark, registry, "champion", rows, Y, mode)
+        assert family == "ridge" and training.expected_features(model) == FEATURES
+        assert training.recipe_of(model)[1]["regParam"] == 0.3
+    assert seen == [rows.where("split <> 'test'").count(), rows.count()]
+    with pytest.raises(ValueError):
+        training.refit_registered(spark, registry, "champion", rows, Y, "all")
+    with pytest.raises(ContractError):
+        training.refit_registered(spark, registry, "unknown", rows, Y)
+
+
+class Lost(Exception):
+    """The driver is gone."""
+
+
+def test_a_search_goes_on_where_it_stopped(spark, rows, monkeypatch):
+    folds = split.fold_cuts(rows, TS, n_splits=2)
+    path, version = scratch_path(spark, "trials"), ledger.data_version(rows)
+    monkeypatch.setattr(training, "PARALLEL_FITS", 1)
+    families = ("lasso", "tree", "linear")
+    real, fits = training.fit, []
+
+    def dying(*a):
+        if len(fits) == 4:
+            raise Lost
+        fits.append(1)
+        return real(*a)
+
+    monkeypatch.setattr(training, "fit", dying)
+    monkeypatch.setattr(training, "in_parallel", lambda work, items: [work(x) for x in items])
+    with pytest.raises(Lost):
+        training.compare_models(rows, TS, folds, FEATURES, Y, families, ledger=ledger.Ledger(spark, path, version))
+    monkeypatch.setattr(training, "fit", lambda *a: fits.append(1) or real(*a))
+    again = ledger.Ledger(spark, path, version)
+    trials = training.compare_models(rows, TS, folds, FEATURES, Y, families, ledger=again)
+    assert len(fits) == 6 and again.fitted == 2
+    third = ledger.Ledger(spark, path, version)
+    assert training.compare_models(rows, TS, folds, FEATURES, Y, families, ledger=third) == trials and third.fitted == 0
+    summary = {r["family"]: r["rmse"] for r in third.summary().collect()}
+    assert summary == pytest.approx({t.family: t.rmse for t in trials})
+    other = ledger.Ledger(spark, path, ledger.data_version(rows.limit(100)))
+    assert other.version != version and other.own().isEmpty()
+
+
+def test_data_version_ignores_order_and_sees_values(rows):
+    some = materialize(rows.select("station_id", TS, Y), "some")
+    assert ledger.data_version(some) == ledger.data_version(some.orderBy(F.desc(TS)).repartition(3))
+    assert ledger.data_version(some) != ledger.data_version(some.withColumn(Y, F.col(Y) + F.when(F.col("station_id") == 1, 1).otherwise(0)))
+
+
+def test_halving_finds_what_an_exhaustive_search_finds(spark, rows):
+    train, val = (materialize(rows.where(f"split = '{p}'").select(*FEATURES, Y), p) for p in ("train", "val"))
+    grid = [("ridge", {"regParam": r}) for r in (0.01, 50.0, 500.0)] + [("lasso", {"regParam": r}) for r in (5.0, 50.0)] + [("tree", {"maxDepth": d}) for d in (1, 2)] + [("boosted", {"maxIter": n, "maxDepth": 1}) for n in (3, 9)]
+    trials = training.halving(train, val, FEATURES, Y, grid, least_rows=100)
+    assert [sum(t.rung == r for t in trials) for r in (0, 1, 2)] == [9, 3, 1]
+    assert {t.rung for t in training.halving(train, val, FEATURES, Y, grid[:4], least_rows=train.count())} == {0}
+    assert all(t.cost_s > 0 for t in trials)
+    winner = trials[-1]
+    whole = [(training.evaluate(training.fit(train, FEATURES, Y, training.build_estimator(f, p)), val, Y, lower=0.0).first()["rmse"], f, p) for f, p in grid]
+    best = min(whole, key=lambda x: x[0])
+    assert (winner.family, winner.params) == best[1:] and winner.rmse == pytest.approx(best[0])
+    assert training.with_share("boosted", {"maxIter": 18}, 1 / 9) == {"maxIter": 2}
 
 
 def test_scorer_agrees_with_the_pipeline(rows, model):
