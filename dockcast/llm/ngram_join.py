@@ -3,9 +3,10 @@
 A document's set holds the 64-bit hashes of its distinct n-grams. Two sets that reach the similarity share one of the first n - ceil(t * n) + 1
 hashes (their prefixes) in any order that is the same for all. The order is that of the numbers, but hashes that many documents hold come last. Those are found by
 a count over all documents (of the hashes that can come into a prefix); the MOST_FREQUENT most frequent are put last, which is an order like any other, so nothing
-depends on that bound but work. Equal sets are one node, told apart by 128-bit digests. Nodes with identical prefixes and equal size are one group, so a hash's posting list holds groups. Pairs of groups that meet in a list are filtered by size and by the place of the common hash,
-then expanded to their members; member pairs are filtered by bitmaps of their sets (every hash flips one of 256 bits, so the bits in which
-two bitmaps differ are a lower bound of the hashes in which the sets differ) and verified by the sets themselves.
+depends on that bound but work. Equal sets are one node, told apart by 128-bit digests. Nodes with identical prefixes and equal size are one group, so a hash's posting list holds groups. Pairs of groups that meet in lists are filtered by their sizes and by how many lists they meet in
+(similar sets share about half of their prefixes), then expanded to their members; member pairs are filtered by bitmaps of their sets (every hash flips one of 256 bits, so the bits in which
+two bitmaps differ are a lower bound of the hashes in which the sets differ) and verified by the sets themselves: first one pair per node, then the pairs
+that these links leave in different components.
 
 Lists (and groups) of more than SMALL nodes are never paired as they are. Lists with the same most central group become one bucket. Of a
 bucket the core is taken: the hashes that more than half of its nodes hold. Let |x| be the hashes in which a node differs from the core, d(x, y) <= |x| + |y|.
@@ -49,7 +50,7 @@ MOST_FREQUENT = 1 << 18
 #: Longs of a bitmap.
 MAP = 4
 
-SETS = "doc_id long, text_hash long, n long, sig binary, grouped binary, prefix array<long>, bits array<long>"
+SETS = "doc_id long, text_key binary, n long, sig binary, grouped binary, prefix array<long>, bits array<long>"
 
 _ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -101,12 +102,12 @@ def bitmaps(found: np.ndarray, owner: np.ndarray, size: int) -> np.ndarray:
 
 
 def _counted(shingle: int, percent: int):
-    """(text_hash, text) to the hashes that can come into a prefix, those below a limit; once for equal texts of a partition."""
-    # half as much again as a prefix holds, for prefixes from which frequent hashes were taken
-    limit = np.int64(-(1 << 63) + int((1 << 64) * min(1.0, 1.5 * (100 - percent) / 100)) - 1)
+    """(text_key, text) to the hashes that can come into a prefix, those below a limit; once for equal texts of a partition."""
+    # a quarter more than a prefix holds, for prefixes from which frequent hashes were taken
+    limit = np.int64(-(1 << 63) + int((1 << 64) * min(1.0, 1.25 * (100 - percent) / 100)) - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        seen: set[bytes] = set()
         for batch, texts in slices(batches, 1):
             new = []
             for i, h in enumerate(batch.column(0).to_pylist()):
@@ -121,7 +122,7 @@ def _counted(shingle: int, percent: int):
 
 def frequent_hashes(texts: DataFrame, shingle: int, percent: int) -> np.ndarray:
     """The hashes that most documents hold, of those in more than SMALL; ascending, at most MOST_FREQUENT."""
-    counts = texts.select("text_hash", "text").mapInArrow(_counted(shingle, percent), "hash long").groupBy("hash").count()
+    counts = texts.select("text_key", "text").mapInArrow(_counted(shingle, percent), "hash long").groupBy("hash").count()
     most = counts.filter(F.col("count") > SMALL).orderBy(F.desc("count"), "hash").limit(MOST_FREQUENT)
     return np.sort(np.array([r["hash"] for r in most.select("hash").collect()], np.int64))
 
@@ -143,7 +144,7 @@ def _lists(found: np.ndarray, sizes: np.ndarray, given: np.ndarray) -> pa.ListAr
 
 
 def _sets(shingle: int, percent: int, frequent: np.ndarray):
-    """(doc_id, text_hash, text) to SETS; the prefix only with the first of a partition's equal sets."""
+    """(doc_id, text_key, text) to SETS; the prefix only with the first of a partition's equal sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
@@ -169,35 +170,37 @@ def _sets(shingle: int, percent: int, frequent: np.ndarray):
 
 
 def _whole(shingle: int):
-    """Texts to (sig, hashes): their whole sets, ascending."""
+    """(node, n, text) to (node, n, hashes): whole sets, ascending."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in slices(batches, 0):
+        for batch, texts in slices(batches, 2):
             found, counts = shingles(texts, shingle)
-            starts = starts_of(counts)
-            sig = _digests(found, starts[:-1], starts[1:], counts)
-            yield pa.RecordBatch.from_arrays([pa.array(sig, pa.binary()), _lists(found, counts, np.ones(len(counts), bool))], ["sig", "hashes"])
+            lists = _lists(found, counts, np.ones(len(counts), bool))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], ["node", "n", "hashes"])
 
     return run
 
 
 def _pairs(percent: int):
-    """Sorted small buckets (bucket, node, n, pos, open) to pairs of nodes that sizes and places allow; one of each is open."""
+    """Sorted small buckets (bucket, node, n, open) to pairs of nodes that their sizes allow, and in how many buckets they meet; one of each is open."""
 
     def listed(rows: tuple[np.ndarray, ...]) -> pa.RecordBatch:
-        bucket, node, n, pos, open_ = rows
+        bucket, node, n, open_ = rows
         found = []
         for k in range(1, SMALL):
             same = np.flatnonzero(bucket[k:] == bucket[:-k])
             if not len(same):
                 break
             x, y = same, same + k
-            both, least = n[x] + n[y], np.minimum(n[x] - pos[x], n[y] - pos[y])
-            fits = ((100 + percent) * least >= percent * both) & (open_[x] | open_[y])
+            fits = (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])) & (open_[x] | open_[y])
             a, b = node[x[fits]], node[y[fits]]
             found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1))
-        pairs = np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+        every = np.concatenate(found) if found else np.empty((0, 2), np.int64)
+        order = np.lexsort((every[:, 1], every[:, 0]))
+        every = every[order]
+        new = np.flatnonzero(np.concatenate([np.ones(min(1, len(every)), bool), (every[1:] != every[:-1]).any(axis=1)]))
+        times = np.diff(np.append(new, len(every)))
+        return pa.RecordBatch.from_arrays([pa.array(every[new, 0]), pa.array(every[new, 1]), pa.array(times)], ["a", "b", "times"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -216,9 +219,29 @@ def _pairs(percent: int):
 
 
 def small_pairs(buckets: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a < b) of nodes of small buckets: bucket, node, n, pos (0: unknown), open."""
-    rows = buckets.select("bucket", "node", "n", "pos", "open")
-    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_pairs(percent), "a long, b long").distinct()
+    """Pairs (a < b) of nodes of small buckets (bucket, node, n, open), and in how many buckets they meet."""
+    rows = buckets.select("bucket", "node", "n", "open").repartition("bucket").sortWithinPartitions("bucket")
+    return rows.mapInArrow(_pairs(percent), "a long, b long, times long").groupBy("a", "b").agg(F.sum("times").alias("times"))
+
+
+def enough(pairs: DataFrame, groups: DataFrame, large_lists: DataFrame, percent: int) -> DataFrame:
+    """Pairs of groups that meet in enough lists to be similar.
+
+    A common hash is in both prefixes, or it comes after the end of the prefix that ends first. So the sets share at most as many as their prefixes do,
+    and the rest of the larger one. What prefixes share are the small lists that were counted and, at most, the large lists that each is in.
+    """
+    for c in "ab":
+        own = groups.select(F.col("gid").alias(c), F.col("n").alias(f"n{c}"))
+        many = large_lists.select(F.col("gid").alias(c), F.col("uncounted").alias(f"u{c}"))
+        pairs = pairs.join(own, c).join(many, c, "left")
+    uncounted = F.least(F.coalesce("ua", F.lit(0)), F.coalesce("ub", F.lit(0)))
+    larger = F.greatest("na", "nb")
+    most = F.col("times") + uncounted + larger - prefix_column(larger, percent)
+    return pairs.filter((100 + percent) * most >= percent * (F.col("na") + F.col("nb"))).select("a", "b")
+
+
+def prefix_column(n: Column, percent: int) -> Column:
+    return n - F.floor((percent * n + 99) / 100) + 1
 
 
 def differing(n: Column, m: Column, percent: int) -> Column:
@@ -228,12 +251,12 @@ def differing(n: Column, m: Column, percent: int) -> Column:
 
 def _wholes(texts: DataFrame, nodes: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     """node, n and hashes of the wanted nodes (one column), from one text of each. Other texts are passed over by a bit table."""
-    asked = store(nodes.join(wanted.select("node").distinct(), "node").select("node", "n", "sig", "text_hash"), "join-asked")
-    listed = asked.select("text_hash")
-    near = screen(texts.select("text", "text_hash"), F.col("text_hash"), listed, max(1, asked.count()).bit_length() + 4).filter("_maybe")
-    one = near.select("text_hash", "text").join(listed.distinct(), "text_hash", "left_semi").distinct()
-    made = one.select("text").mapInArrow(_whole(shingle), "sig binary, hashes array<long>")
-    return store(made.join(asked.select("node", "n", "sig"), "sig").select("node", "n", "hashes"), "join-wholes")
+    asked = store(nodes.join(wanted.select("node").distinct(), "node").select("node", "n", "text_key"), "join-asked")
+    short = F.xxhash64("text_key")
+    near = screen(texts.select("text", "text_key"), short, asked.select(short.alias("h")), max(1, asked.count()).bit_length() + 4).filter("_maybe")
+    one = near.groupBy("text_key").agg(F.first("text").alias("text"))
+    made = asked.join(one, "text_key").select("node", "n", "text").mapInArrow(_whole(shingle), "node long, n long, hashes array<long>")
+    return store(made, "join-wholes")
 
 
 def _sized(rows: DataFrame, total: int) -> DataFrame:
@@ -259,7 +282,7 @@ def _halved(large: DataFrame, wholes: DataFrame, percent: int) -> tuple[DataFram
     largest = F.floor(100 * F.col("n") / percent)
     kept = F.least(F.size("off").cast("long"), differing(F.col("n"), largest, percent) + 1).cast("int")
     dealt = at.select("bucket", "node", "n", (F.col("w") > 0).alias("open"), F.explode(F.slice("off", F.lit(1), kept)).alias("hash"))
-    again = dealt.select(F.xxhash64("bucket", "hash").alias("bucket"), "node", "n", F.lit(0).cast("long").alias("pos"), "open")
+    again = dealt.select(F.xxhash64("bucket", "hash").alias("bucket"), "node", "n", "open")
     return sure.select(F.col("node").alias("a"), F.col("c.node").alias("b")), again
 
 
@@ -300,23 +323,25 @@ def links(texts: DataFrame, sets: DataFrame, nodes: DataFrame, shingle: int = SH
         own = members.select(F.col("gid").alias(column), F.col("node").alias("_node"))
         return rows.join(own, column, "left").withColumn(column, F.coalesce("_node", column)).drop("_node")
 
-    posted = prefixes.select("gid", "size", "n", F.posexplode("prefix").alias("pos", "bucket"))
+    posted = prefixes.select("gid", "size", "n", F.explode("prefix").alias("bucket"))
     sizes = posted.groupBy("bucket").agg(F.sum("size").alias("m"), F.count("*").alias("lists")).filter("lists > 1").drop("lists")
     total = posted.count()
     shared = store(join_groups(posted, store(sizes, "join-sizes"), "bucket", "m", total).filter("m IS NOT NULL"), "join-shared")
-    yes, nought = F.lit(True).alias("open"), F.lit(0).cast("long").alias("pos")
-    few = shared.filter(F.col("m") <= SMALL).select("bucket", F.col("gid").alias("node"), "n", F.col("pos").cast("long").alias("pos"), yes)
-    pairs = [expand(expand(small_pairs(few, percent), "a"), "b")]
-    inside = members.filter(F.col("size") <= SMALL).select(F.col("gid").alias("bucket"), "node", "n", nought, yes)
-    pairs.append(small_pairs(inside, percent))
+    yes = F.lit(True).alias("open")
+    few = shared.filter(F.col("m") <= SMALL).select("bucket", F.col("gid").alias("node"), "n", yes)
+    large_lists = store(shared.filter(F.col("m") > SMALL).groupBy("gid").agg(F.count("*").alias("uncounted")), "join-uncounted")
+    met = store(enough(small_pairs(few, percent), groups, large_lists, percent), "join-met")
+    pairs = [expand(expand(met, "a"), "b")]
+    inside = members.filter(F.col("size") <= SMALL).select(F.col("gid").alias("bucket"), "node", "n", yes)
+    pairs.append(small_pairs(inside, percent).select("a", "b"))
 
     many = _families(shared.filter(F.col("m") > SMALL).select("bucket", "gid", "m")).withColumn("node", F.col("gid"))
     many = expand(many.select("bucket", "node"), "node").unionByName(members.filter(F.col("size") > SMALL).select(F.col("gid").alias("bucket"), "node"))
-    at = store(many.distinct().select("bucket", "node", F.lit(0).cast("long").alias("n"), nought, yes), "join-buckets")
+    at = store(many.distinct().join(nodes.select("node", "n"), "node").select("bucket", "node", "n", yes), "join-buckets")
     sure, wholes = [], None
     while not at.isEmpty():
         sized = store(_sized(at, at.count()), "join-sized")
-        pairs.append(small_pairs(sized.filter(F.col("m") <= SMALL), percent))
+        pairs.append(small_pairs(sized.filter(F.col("m") <= SMALL), percent).select("a", "b"))
         large = sized.filter(F.col("m") > SMALL).select("bucket", "node", "m")
         if large.isEmpty():
             break
@@ -327,20 +352,32 @@ def links(texts: DataFrame, sets: DataFrame, nodes: DataFrame, shingle: int = SH
         at = store(again, "join-buckets")
     near = store(_near(reduce(DataFrame.unionByName, pairs).distinct(), sets, percent), "join-near")
     both = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node")))
-    return reduce(DataFrame.unionByName, [_verified(near, _wholes(texts, nodes, both, shingle), percent), *sure])
+    wholes = _wholes(texts, nodes, both, shingle)
+    first = near.groupBy("b").agg(F.min("a").alias("a"))
+    linked = store(reduce(DataFrame.unionByName, [_verified(first, wholes, percent), *sure]).distinct(), "join-first")
+    open_ = store(_apart(near, connect(linked)).join(first, ["a", "b"], "left_anti"), "join-open")
+    return linked.unionByName(_verified(open_, wholes, percent))
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs whose nodes are in different components so far (roots: node, root of all that are not roots themselves)."""
+    held = store(roots, "join-roots")
+    for c in "ab":
+        pairs = pairs.join(held.select(F.col("node").alias(c), F.col("root").alias(f"r{c}")), c, "left")
+    return pairs.filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
 
 
 def components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, text: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the smallest id of its component) and n_sets, the component's distinct sets."""
     given = whole_text(text)
-    texts = docs.select("doc_id", F.xxhash64(given).alias("text_hash"), given.alias("text"))
+    texts = docs.select("doc_id", F.unhex(F.md5(given.cast("binary"))).alias("text_key"), given.alias("text"))
     frequent = frequent_hashes(texts, shingle, percent)
     sets = store(texts.mapInArrow(_sets(shingle, percent, frequent), SETS).withColumn("node", F.monotonically_increasing_id()), "join-sets")
-    first = F.when(F.col("prefix").isNotNull(), F.struct("node", "text_hash"))
+    first = F.when(F.col("prefix").isNotNull(), F.struct("node", "text_key"))
     nodes = sets.filter("n > 0").groupBy("sig").agg(
         F.min(first).alias("one"), F.min("doc_id").alias("least"), F.count("*").alias("rows"), F.first("n").alias("n"), F.first("grouped").alias("grouped")
     )
-    nodes = store(nodes.select("sig", "one.node", "one.text_hash", "least", "rows", "n", "grouped"), "join-nodes")
+    nodes = store(nodes.select("sig", "one.node", "one.text_key", "least", "rows", "n", "grouped"), "join-nodes")
     roots = store(connect(store(links(texts, sets, nodes, shingle, percent).distinct(), "join-links")).withColumnRenamed("node", "_node"), "join-roots")
     rooted = nodes.select("sig", "node", "least", "rows").join(roots, F.col("node") == F.col("_node"), "left")
     rooted = store(rooted.select("sig", "rows", "least", F.coalesce("root", "node").alias("root")), "join-rooted")
