@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,6 +17,8 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: A key is hot above this share of all rows; so there are at most 1 / HOT_SHARE hot keys, and they can be broadcast.
 HOT_SHARE = 1e-3
 
+BATCH_ROWS = 2048
+
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
@@ -88,9 +91,22 @@ def matches(text: Column, pattern: Column | str) -> Column:
     )
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Rows go to Python in batches of BATCH_ROWS meanwhile: rows with whole texts are large, and every task holds a batch on both sides."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(BATCH_ROWS, int(before)) if int(before) > 0 else BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back: later steps reuse it, and lost executors cost nothing twice."""
-    return materialize(df, f"llm-{name}")
+    with small_batches(df.sparkSession):
+        return materialize(df, f"llm-{name}")
 
 
 def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockcast.llm.common import first_of, join_groups, screen, store, whole_text
+from dockcast.llm.common import computed_once, first_of, join_groups, screen, store, whole_text
 
 BITS = 64
 SHINGLE, BUDGET = 3, 2
@@ -267,7 +267,8 @@ def drop_linked(docs: DataFrame, found: DataFrame, key: str, key_of: Callable[[]
     dropped = marked.filter("NOT kept").select(F.xxhash64("doc_id").alias("h"))
     split = screen(docs, F.xxhash64("doc_id"), dropped, max(1, marked.count()).bit_length() + 3)
     stay = marked.filter("kept").select(F.col("doc_id").alias("_id"), F.col(key).alias("_stay"))
-    doubtful = split.filter("_maybe").drop("_maybe").withColumn("_key", key_of())
+    # the key is worked out for these rows only; the optimizer would otherwise filter all rows on it first
+    doubtful = split.filter("_maybe").drop("_maybe").withColumn("_key", computed_once(key_of()))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_stay"))
     kept = doubtful.join(stay, same, "left_semi").dropDuplicates(["doc_id", "_key"]).drop("_key")
     return split.filter(~F.col("_maybe")).drop("_maybe").unionByName(kept)
