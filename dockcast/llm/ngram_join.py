@@ -12,7 +12,7 @@ Lists (and groups) of more than SMALL nodes are never paired as they are. Lists
 bucket the core is taken: the hashes that more than half of its nodes hold. Let |x| be the hashes in which a node differs from the core, d(x, y) <= |x| + |y|.
 Pairs whose |x| + |y| is small enough are linked without a look at them, and all of them are linked to the node with the
 least |x| against its size; so one link per node does for all. Any other linked pair differs from the core in a common hash, again
-in one of the first few, so the nodes are dealt anew to a bucket per such hash, if it holds a node that is not surely linked. At most half of a bucket's nodes
+in one of the first few, so the nodes are dealt anew to a bucket per such hash, if it holds a node that is not yet connected with the rest. At most half of a bucket's nodes
 differ from the core in any one hash, so buckets halve with every step until all are small. No pair is lost, no bucket is cut off, and
 nothing is quadratic in a bucket above SMALL. Hashes of a passage that many texts share are in the core, and so out of the way.
 
@@ -266,7 +266,11 @@ def _sized(rows: DataFrame, total: int) -> DataFrame:
 
 
 def _halved(large: DataFrame, wholes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Large buckets (bucket, node, m) to sure links (a, b) and the rows of the next, smaller buckets."""
+    """Large buckets (bucket, node, m, open) to sure links (a, b) and the rows of the next, smaller buckets.
+
+    Nodes that are not open are connected with each other already, so pairs of them are of no interest. What is surely linked to a bucket's centre joins them, if
+    one of them is there too or none is in the bucket.
+    """
     total = large.count()
     held = large.join(wholes, "node")
     hashes = held.select("bucket", "m", F.explode("hashes").alias("hash"))
@@ -276,14 +280,23 @@ def _halved(large: DataFrame, wholes: DataFrame, percent: int) -> tuple[DataFram
     own = F.coalesce("core", F.array().cast("array<long>"))
     met = join_groups(held, core, "bucket", "_m", total).withColumn("off", F.concat(F.array_except("hashes", own), F.array_except(own, F.col("hashes"))))
     weight = (100 + percent) * F.size("off") - (100 - percent) * F.col("n")
-    at = store(met.select("bucket", "node", "n", "m", "off", weight.alias("w")), "join-off")
+    at = store(met.select("bucket", "node", "n", "m", "open", "off", weight.alias("w")), "join-off")
     centre = at.groupBy("bucket").agg(F.min(F.struct("w", "node")).alias("c"), F.count("*").alias("_size"))
-    sure = join_groups(at.select("bucket", "node", "w"), centre, "bucket", "_size", total).filter("w + c.w <= 0 AND node <> c.node")
+    sure = (F.col("w") + F.col("c.w") <= 0) | (F.col("node") == F.col("c.node"))
+    marked = join_groups(at, centre, "bucket", "_size", total).withColumn("sure", sure)
+    linked = marked.filter("sure AND node <> c.node").select(F.col("node").alias("a"), F.col("c.node").alias("b"))
+    flags = marked.groupBy("bucket").agg(
+        F.max(~F.col("open")).alias("closed"), F.max(~F.col("open") & F.col("sure")).alias("meets"),
+        F.max(F.col("open") & ~F.col("sure")).alias("apart"), F.max("open").alias("any"), F.count("*").alias("_rows"),
+    )
+    one = ~F.col("closed") | F.col("meets")
+    alive = store(flags.filter(F.when(one, F.col("apart")).otherwise(F.col("any"))).select("bucket", one.alias("one"), "_rows"), "join-alive")
+    left = join_groups(marked, alive, "bucket", "_rows", total).filter("one IS NOT NULL")
     largest = F.floor(100 * F.col("n") / percent)
     kept = F.least(F.size("off").cast("long"), differing(F.col("n"), largest, percent) + 1).cast("int")
-    dealt = at.select("bucket", "node", "n", (F.col("w") > 0).alias("open"), F.explode(F.slice("off", F.lit(1), kept)).alias("hash"))
-    again = dealt.select(F.xxhash64("bucket", "hash").alias("bucket"), "node", "n", "open")
-    return sure.select(F.col("node").alias("a"), F.col("c.node").alias("b")), again
+    open_ = F.col("open") & ~(F.col("sure") & F.col("one"))
+    dealt = left.select("bucket", "node", "n", open_.alias("open"), F.explode(F.slice("off", F.lit(1), kept)).alias("hash"))
+    return linked, dealt.select(F.xxhash64("bucket", "hash").alias("bucket"), "node", "n", "open")
 
 
 def _families(shared: DataFrame) -> DataFrame:
@@ -342,7 +355,7 @@ def links(texts: DataFrame, sets: DataFrame, nodes: DataFrame, shingle: int = SH
     while not at.isEmpty():
         sized = store(_sized(at, at.count()), "join-sized")
         pairs.append(small_pairs(sized.filter(F.col("m") <= SMALL), percent).select("a", "b"))
-        large = sized.filter(F.col("m") > SMALL).select("bucket", "node", "m")
+        large = sized.filter(F.col("m") > SMALL).select("bucket", "node", "m", "open")
         if large.isEmpty():
             break
         if wholes is None:
