@@ -55,7 +55,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """An optional input: a typed empty table where it is absent."""
     return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
 
