@@ -9,7 +9,8 @@ A fingerprint that a third of all rows has is sent once per partition, and its t
 
 Defined results: NULL text equals the empty text; of equal texts the row with the largest doc_id stays (NULL ids are
 smallest), of rows equal in doc_id too any one; an empty table gives no rows; other columns are ignored by decide() and
-kept by drop_copies(), whatever their names (names that start with an underscore are ours).
+kept by drop_copies(), whatever their names (names that start with an underscore are ours). Very long texts are hashed whole, and
+compared whole where their fingerprints meet.
 """
 
 from __future__ import annotations

@@ -12,6 +12,7 @@ report every place and their labels always stay.
 Defined results: NULL or empty text has no words and no detection (score 0); equal detections of one rule at several
 places all stay; an empty table gives no rows; repeated rows are scanned each on their own; other columns pass through
 unless they have the name of a result column, which is replaced.
+Very long texts are scanned whole; the time grows with the square of the matches in one text (README, "Choices and limits").
 """
 
 from __future__ import annotations

@@ -12,6 +12,7 @@ All draws are hashes of the seed and ids, so reruns agree.
 Defined results: NULL text has size 0; a document of size 0 takes 0; NULL source is a source of its own, last in order;
 rows equal in id, source and text are rounded as one unit and get the same copies; an empty table gives no rows; other
 columns pass through unless they have the name of a result column, which is replaced.
+Very long texts count all their words; a size above a source's target is taken or not like any other.
 """
 
 from __future__ import annotations

@@ -8,6 +8,7 @@ one is left. If its fullest window is above the capacity, the group gets more wi
 
 Defined results: NULL or empty texts have the end id only; ties in length are broken by id and place; rows equal in id
 are packed each on their own; an empty table gives no rows; other columns are ignored.
+Very long texts are encoded whole and cut into pieces of the capacity.
 """
 
 from __future__ import annotations

@@ -7,6 +7,7 @@ samples; a long token is a secret if its log-likelihood ratio is high. A model i
 Defined results: NULL text is empty; texts without a candidate have no spans; equal values at several places are
 several spans; without samples of a label its model is uniform; an empty table gives no rows; other columns pass through
 unless they have the name of a result column, which is replaced.
+Very long texts are scanned whole; the time grows with the square of the spans in one text.
 """
 
 from __future__ import annotations

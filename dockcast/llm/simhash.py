@@ -14,7 +14,8 @@ and small-star steps on Spark, with every step's table in the shared folder.
 
 Defined results: NULL and empty texts have fingerprint 0 and are linked like others; fewer words than a shingle needs
 form one shingle; rows equal in all columns are separate members of one component; an empty table gives no rows; other
-columns are ignored by components() and kept by drop_near_copies().
+columns are ignored by components() and kept by drop_near_copies(). Very long texts are read whole, with some hundred
+bytes of memory per word.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ Parquet folder with a shard per row (`file`, `shard`, `n_ids`, `payload`), so Sp
 storage and once, however many tasks are lost; `file` and `shard` number the shards in ascending order of doc_id.
 
 Defined results: NULL or empty texts have the end id only; NULL ids come first; equal ids are ordered by a hash of
-the text; an empty table gives an empty dataset; other columns are ignored.
+the text; an empty table gives an empty dataset; other columns are ignored. Very long texts are
+encoded whole and lie in one shard.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ other words are joined by a shuffle, in which no word is frequent.
 
 Defined results: NULL text is empty and has the end token only; NULL ids count as the empty id; without training texts every
 symbol has an equal share and no token is known; an empty table gives no rows; repeated rows are scored each on their own;
-other columns are ignored.
+other columns are ignored. Very long texts are
+read and scored whole; their symbols run through the automaton in parallel streams.
 """
 
 from __future__ import annotations
