@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from dockcast.functions.timestamps import lit_ts
 from dockcast.operators.metrics import mape, persistence, regression_metrics
 from dockcast.operators.split import label_folds
-from dockcast.plans.training import Folds, build_estimator, fit, fold_parts, in_parallel
+from dockcast.plans.training import Folds, build_estimator, dealt_for_scoring, fit, fold_parts, in_parallel
 
 SAMPLE_ROWS = 50
 
@@ -39,7 +39,8 @@ def model_backtest(
     def score(fold: tuple[int, datetime, datetime]) -> DataFrame:
         number, train_end, val_end = fold
         past, after = fold_parts(df, ts, train_end, val_end)
-        part = fit(past, features, y, build_estimator(family, params)).transform(after).drop("features")
+        model = fit(past, features, y, build_estimator(family, params))
+        part = model.transform(dealt_for_scoring(after, model)).drop("features")
         return part.withColumns({"fold": F.lit(number), "train_end": lit_ts(train_end), "val_end": lit_ts(val_end)})
 
     return reduce(lambda a, b: a.unionByName(b), in_parallel(score, folds))

@@ -244,3 +244,64 @@ def test_slot_models_use_only_their_features(feed):
     assert {r["slot_label"] for r in out.select("slot_label").distinct().collect()} == {"09:00", "13:00"}
     assert out.columns == ["station_id", "t_slot", "slot_label", "yhat", "generated_at"]
     assert training.train_slot(features, "09:00", 2, ("ridge",), min_rows=10_000) is None
+
+
+def test_a_fit_deals_its_rows_by_what_a_task_holds(spark, rows, monkeypatch):
+    many = materialize(rows.repartition(12), "many")
+    assert many.rdd.getNumPartitions() > 1
+    assert training.dealt(many, 1_000).rdd.getNumPartitions() == 1
+    assert training.task_count(24_000_000 * 300, 12) == 450 and training.task_count(137_616 * 20, 12) == 3
+    assert training.task_count(0, 4) == 1 and training.task_count(5_000_000, 4) == 4
+    wide = training.dealt(many, 40 * training.MOST_TASK_CELLS)
+    assert wide.rdd.getNumPartitions() == 40 and wide.exceptAll(many).isEmpty() and wide.count() == many.count()
+    largest, whole = [], training.Pipeline.fit
+
+    def watched(self, df, *a):
+        largest.append(max(df.rdd.mapPartitions(lambda p: [sum(1 for _ in p)]).collect()))
+        return whole(self, df, *a)
+
+    monkeypatch.setattr(training.Pipeline, "fit", watched)
+    monkeypatch.setattr(training, "MOST_TASK_CELLS", 20_000)
+    monkeypatch.setattr(training, "LEAST_TASK_CELLS", 2_000)
+    model = training.fit(rows, FEATURES, Y, training.build_estimator("forest", {"numTrees": 40, "maxDepth": 2}))
+    assert largest[0] <= 2 * 20_000 // 40
+    monkeypatch.setattr(training, "SCORED_TASK_CELLS", 10_000)
+    spread = training.dealt_for_scoring(rows, model)
+    assert spread.rdd.getNumPartitions() >= rows.count() * 40 // 10_000
+    assert training.evaluate(model, rows, Y).first()["n_rows"] == rows.count()
+
+
+def test_node_ids_of_very_large_shallow_forests_are_not_kept(rows, monkeypatch):
+    kept, whole = [], training.Pipeline.fit
+    monkeypatch.setattr(training.Pipeline, "fit", lambda self, df, *a: kept.append(self.getStages()[-1].getCacheNodeIds()) or whole(self, df, *a))
+    few = rows.limit(300)
+    shallow, deep = (training.build_estimator("forest", {"numTrees": 3, "maxDepth": d}) for d in (3, 20))
+    same = [training.fit(few, FEATURES, Y, shallow).stages[-1].toDebugString]
+    monkeypatch.setattr(training, "MOST_NODE_ID_CELLS", 1)
+    same.append(training.fit(few, FEATURES, Y, shallow).stages[-1].toDebugString)
+    training.fit(few, FEATURES, Y, deep)
+    assert kept == [True, False, True]
+    assert same[0].split("\n")[1:] == same[1].split("\n")[1:]
+
+
+def test_all_fits_of_a_comparison_run_side_by_side(spark, rows, monkeypatch):
+    """A family's folds do not wait for each other; the long families start first."""
+    folds, started = split.fold_cuts(rows, TS, n_splits=3), []
+
+    def scored(past, after, fold, features, label, family, params, seed, ledger, lower=None):
+        started.append(family)
+        return {"rmse": float(len(fold)), "mae": 1.0, "r2": 0.0, "cost_s": 1.0}
+
+    monkeypatch.setattr(training, "_scored", scored)
+    monkeypatch.setattr(training, "in_parallel", lambda work, items: [work(x) for x in items])
+    trials = training.compare_models(rows, TS, folds, FEATURES, Y, ("linear", "huber", "boosted"))
+    assert started == ["boosted"] * 3 + ["huber"] * 3 + ["linear"] * 3
+    assert {t.family: t.cost_s for t in trials} == {"linear": 3.0, "huber": 3.0, "boosted": 3.0}
+
+
+def test_boosting_keeps_no_node_ids_of_shallow_trees(rows):
+    assert not training.build_estimator("boosted").getCacheNodeIds()
+    assert training.build_estimator("boosted", {"maxDepth": 20}).getCacheNodeIds()
+    few = rows.limit(300)
+    fits = [training.fit(few, FEATURES, Y, training.build_estimator("boosted", {"maxIter": 3, "cacheNodeIds": k})).stages[-1].toDebugString for k in (True, False)]
+    assert fits[0].split("\n")[1:] == fits[1].split("\n")[1:]
