@@ -9,11 +9,12 @@ two bitmaps differ are a lower bound of the hashes in which the sets differ) and
 that these links leave in different components.
 
 Lists (and groups) of more than SMALL nodes are never paired as they are. Lists with the same most central group become one bucket. Of a
-bucket the core is taken: the hashes that more than half of its nodes hold. Let |x| be the hashes in which a node differs from the core, d(x, y) <= |x| + |y|.
+bucket the core is taken: the hashes that more than half of PROBES of its nodes hold; any core gives the same links, so it need not be known from all. Let |x| be the hashes in which a node differs from the core, d(x, y) <= |x| + |y|.
 Pairs whose |x| + |y| is small enough are linked without a look at them, and all of them are linked to the node with the
 least |x| against its size; so one link per node does for all. Any other linked pair differs from the core in a common hash, again
-in one of the first few, so the nodes are dealt anew to a bucket per such hash, if it holds a node that is not yet connected with the rest. At most half of a bucket's nodes
-differ from the core in any one hash, so buckets halve with every step until all are small. No pair is lost, no bucket is cut off, and
+in one of the first few, so the nodes are dealt anew to a bucket per such hash, if it holds a second node and one that is not yet connected with the rest; a bit
+table tells that before any row is made. More than half of the probes agree with the core in any one hash, so every bucket leaves them behind, and buckets come near
+to half with every step until all are small. The new buckets go on with the differences, not with the sets. No pair is lost, no bucket is cut off, and
 nothing is quadratic in a bucket above SMALL. Hashes of a passage that many texts share are in the core, and so out of the way.
 
 Only prefixes and digests are stored. The whole sets of nodes that are looked at are made from their texts again.
@@ -35,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockcast.llm.common import join_groups, screen, store, whole_text
@@ -45,6 +46,14 @@ from dockcast.llm.texts import slices, starts_of, words
 SHINGLE, PERCENT = 4, 85
 #: All pairs of a bucket with at most so many nodes are looked at.
 SMALL = 64
+#: So many nodes of a large bucket tell its core; all nodes are held against it.
+PROBES = 17
+#: Places of the bit table of the hashes that are worth a bucket (two megabytes), and of a part of it.
+SLOT_BITS, PART_BITS = 24, 18
+#: A task's marks are merged whenever there are so many.
+MARKS = 1 << 20
+#: Hashes that are counted are so many times those of a prefix without frequent ones: texts of which three fifths are frequent hashes still fill their prefixes with others.
+COUNTED = 2.7
 #: Hashes that are put last, at most; two megabytes.
 MOST_FREQUENT = 1 << 18
 #: Longs of a bitmap.
@@ -103,8 +112,8 @@ def bitmaps(found: np.ndarray, owner: np.ndarray, size: int) -> np.ndarray:
 
 def _counted(shingle: int, percent: int):
     """(text_key, text) to the hashes that can come into a prefix, those below a limit; once for equal texts of a partition."""
-    # a quarter more than a prefix holds, for prefixes from which frequent hashes were taken
-    limit = np.int64(-(1 << 63) + int((1 << 64) * min(1.0, 1.25 * (100 - percent) / 100)) - 1)
+    # more than a prefix holds, for prefixes from which frequent hashes were taken
+    limit = np.int64(-(1 << 63) + int((1 << 64) * min(1.0, COUNTED * (100 - percent) / 100)) - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
@@ -265,20 +274,102 @@ def _sized(rows: DataFrame, total: int) -> DataFrame:
     return join_groups(rows, store(sizes, "join-sizes"), "bucket", "m", total).filter("m IS NOT NULL")
 
 
-def _halved(large: DataFrame, wholes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Large buckets (bucket, node, m, open) to sure links (a, b) and the rows of the next, smaller buckets.
+def _cores(held: DataFrame) -> DataFrame:
+    """Per bucket of (bucket, node, m, base) its core, from PROBES nodes (all, of fewer): what more than half of them hold. Also its m, as `_m`."""
+    at = F.xxhash64("bucket", "node")
+    some = held.filter(F.pmod(at, F.col("m")) < 4 * PROBES).withColumn("_at", at)
+    probes = some.withColumn("_k", F.row_number().over(Window.partitionBy("bucket").orderBy("_at", "node"))).filter(F.col("_k") <= PROBES)
+    hashes = probes.select("bucket", "m", F.explode("base").alias("hash"))
+    most = hashes.groupBy("bucket", "hash").agg(F.count("*").alias("c"), F.first("m").alias("m")).filter(2 * F.col("c") > F.least("m", F.lit(PROBES)))
+    return most.groupBy("bucket").agg(F.array_sort(F.collect_list("hash")).alias("core"), F.first("m").alias("_m"))
+
+
+def _entries(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows (bucket, open, prefix, ...): per entry of the prefixes its row, its hash and its place in the bit table."""
+    lists = batch.column("prefix")
+    row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+    found = lists.flatten().to_numpy()
+    mixed = (found.view(np.uint64) ^ (batch.column("bucket").to_numpy().view(np.uint64)[row] * _ODD)) * _MIX
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * _ODD
+    return row, found, (mixed >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(bucket, open, prefix) to (part, marks): per place that a task has met, whether twice (1) and whether by an open node (2), packed."""
+
+    def packed(met: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        places, at = np.unique(np.concatenate(met) >> 1, return_inverse=True)
+        twice = np.bincount(at, minlength=len(places)) > 1
+        by_open = np.bincount(at, weights=np.concatenate(met) & 1, minlength=len(places)) > 0
+        marks = ((places & ((1 << PART_BITS) - 1)) << 2 | twice | by_open.astype(np.int64) << 1).astype("<u4")
+        parts, starts = np.unique(places >> PART_BITS, return_index=True)
+        blobs = [m.tobytes() for m in np.split(marks, starts[1:])]
+        yield pa.RecordBatch.from_arrays([pa.array(parts), pa.array(blobs, pa.binary())], ["part", "marks"])
+
+    met: list[np.ndarray] = []
+    for batch in batches:
+        row, _, place = _entries(batch)
+        if len(place):
+            met.append(place << 1 | batch.column("open").to_numpy(zero_copy_only=False)[row])
+        if sum(map(len, met)) >= MARKS:
+            yield from packed(met)
+            met = []
+    if met:
+        yield from packed(met)
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All marks of some parts to (part, bits): places that two nodes have met, one of them open."""
+    held: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for part, marks in zip(batch.column("part").to_pylist(), batch.column("marks").to_pylist(), strict=True):
+            seen = held.setdefault(part, np.zeros(1 << PART_BITS, np.uint8))
+            found = np.frombuffer(marks, "<u4")
+            # bit 0: met, bit 1: met twice, bit 2: met by an open node; a place comes once in a row of marks
+            place, twice, by_open = found >> 2, (found & 1).astype(np.uint8), (found >> 1 & 1).astype(np.uint8)
+            seen[place] |= ((seen[place] & 1 | twice) << 1) | 1 | by_open << 2
+    for part, seen in held.items():
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([np.packbits(seen == 7).tobytes()], pa.binary())], ["part", "bits"])
+
+
+def _dealt(useful: np.ndarray):
+    """(bucket, node, n, open, prefix) to a row per hash whose place in the bit table is set."""
 
-    Nodes that are not open are connected with each other already, so pairs of them are of no interest. What is surely linked to a bucket's centre joins them, if
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, found, place = _entries(batch)
+            kept = np.flatnonzero(useful[place >> 3] >> (7 - (place & 7)).astype(np.uint8) & 1)
+            own = batch.select(["bucket", "node", "n", "open"]).take(pa.array(row[kept]))
+            yield pa.RecordBatch.from_arrays([*own.columns, pa.array(found[kept])], ["parent", "node", "n", "open", "hash"])
+
+    return run
+
+
+def _deal(left: DataFrame) -> DataFrame:
+    """Rows (bucket, node, n, open, prefix) to the rows of their next buckets, without those that hold one node or no open one.
+
+    The bit table has one size, however many hashes there are: the more, the more rows pass needlessly; none is missed.
+    """
+    marks = left.select("bucket", "open", "prefix").mapInArrow(_marks, "part long, marks binary").repartition("part")
+    size = 1 << PART_BITS >> 3
+    useful = np.zeros(1 << SLOT_BITS >> 3, np.uint8)
+    for r in marks.mapInArrow(_merged, "part long, bits binary").collect():
+        useful[r["part"] * size : (r["part"] + 1) * size] = np.frombuffer(r["bits"], np.uint8)
+    rows = left.mapInArrow(_dealt(useful), "parent long, node long, n long, open boolean, hash long")
+    return rows.select(F.xxhash64("parent", "hash").alias("bucket"), "node", "n", "open", "parent")
+
+
+def _halved(held: DataFrame, total: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Large buckets (bucket, node, n, m, open, base) to sure links (a, b), the rows of the next, smaller buckets, and (parent, node, base) for those.
+
+    A base is a node's set, or the hashes in which it differs from the core of the bucket that this one comes from: differences from one set differ
+    as the sets do. Nodes that are not open are connected with each other already, so pairs of them are of no interest. What is surely linked to a bucket's centre joins them, if
     one of them is there too or none is in the bucket.
     """
-    total = large.count()
-    held = large.join(wholes, "node")
-    hashes = held.select("bucket", "m", F.explode("hashes").alias("hash"))
-    most = hashes.groupBy("bucket", "hash").agg(F.count("*").alias("c"), F.first("m").alias("m")).filter("2 * c > m")
-    # a core holds at most twice as many hashes as its bucket's mean set
-    core = most.groupBy("bucket").agg(F.array_sort(F.collect_list("hash")).alias("core"), F.first("m").alias("_m"))
+    # a core holds at most twice as many hashes as its probes' mean base
+    core = store(_cores(held), "join-cores")
     own = F.coalesce("core", F.array().cast("array<long>"))
-    met = join_groups(held, core, "bucket", "_m", total).withColumn("off", F.concat(F.array_except("hashes", own), F.array_except(own, F.col("hashes"))))
+    met = join_groups(held, core, "bucket", "_m", total).withColumn("off", F.concat(F.array_except("base", own), F.array_except(own, F.col("base"))))
     weight = (100 + percent) * F.size("off") - (100 - percent) * F.col("n")
     at = store(met.select("bucket", "node", "n", "m", "open", "off", weight.alias("w")), "join-off")
     centre = at.groupBy("bucket").agg(F.min(F.struct("w", "node")).alias("c"), F.count("*").alias("_size"))
@@ -295,8 +386,8 @@ def _halved(large: DataFrame, wholes: DataFrame, percent: int) -> tuple[DataFram
     largest = F.floor(100 * F.col("n") / percent)
     kept = F.least(F.size("off").cast("long"), differing(F.col("n"), largest, percent) + 1).cast("int")
     open_ = F.col("open") & ~(F.col("sure") & F.col("one"))
-    dealt = left.select("bucket", "node", "n", open_.alias("open"), F.explode(F.slice("off", F.lit(1), kept)).alias("hash"))
-    return linked, dealt.select(F.xxhash64("bucket", "hash").alias("bucket"), "node", "n", "open")
+    left = store(left.select("bucket", "node", "n", open_.alias("open"), F.slice("off", F.lit(1), kept).alias("prefix")), "join-left")
+    return linked, _deal(left), at.select(F.col("bucket").alias("parent"), "node", F.col("off").alias("base"))
 
 
 def _families(shared: DataFrame) -> DataFrame:
@@ -351,16 +442,18 @@ def links(texts: DataFrame, sets: DataFrame, nodes: DataFrame, shingle: int = SH
     many = _families(shared.filter(F.col("m") > SMALL).select("bucket", "gid", "m")).withColumn("node", F.col("gid"))
     many = expand(many.select("bucket", "node"), "node").unionByName(members.filter(F.col("size") > SMALL).select(F.col("gid").alias("bucket"), "node"))
     at = store(many.distinct().join(nodes.select("node", "n"), "node").select("bucket", "node", "n", yes), "join-buckets")
-    sure, wholes = [], None
+    sure, bases = [], None
     while not at.isEmpty():
         sized = store(_sized(at, at.count()), "join-sized")
         pairs.append(small_pairs(sized.filter(F.col("m") <= SMALL), percent).select("a", "b"))
-        large = sized.filter(F.col("m") > SMALL).select("bucket", "node", "m", "open")
+        large = sized.filter(F.col("m") > SMALL)
         if large.isEmpty():
             break
-        if wholes is None:
-            wholes = _wholes(texts, nodes, large, shingle)
-        linked, again = _halved(large, wholes, percent)
+        if bases is None:
+            held = large.join(_wholes(texts, nodes, large, shingle).select("node", F.col("hashes").alias("base")), "node")
+        else:
+            held = large.join(bases, ["parent", "node"])
+        linked, again, bases = _halved(held, large.count(), percent)
         sure.append(linked)
         at = store(again, "join-buckets")
     near = store(_near(reduce(DataFrame.unionByName, pairs).distinct(), sets, percent), "join-near")

@@ -106,3 +106,25 @@ def test_prefixes_bitmaps_and_sizes():
         maps = [ngram_join.bitmaps(x, np.zeros(len(x), int), 1)[0] for x in (a, b)]
         off = sum(int(x).bit_count() if x >= 0 else (int(x) + (1 << 64)).bit_count() for x in (maps[0] ^ maps[1]).tolist())
         assert off <= len(np.setxor1d(a, b))
+
+
+def test_only_hashes_that_connect_something_open_a_bucket(spark, monkeypatch):
+    """Of a group of near copies no row is made for a hash in which one node alone differs, or none that is not yet connected."""
+    monkeypatch.setattr(ngram_join, "SMALL", 8)
+    draw, dealt, whole = random.Random(4), [], ngram_join._sized
+    text = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(150):
+        own = list(text)
+        for _ in range(draw.choice((0, 1, 2, 3, 4))):
+            own[draw.randrange(len(own))] = draw.choice(("edit", f"own{i}"))
+        rows.append((i, " ".join(own)))
+
+    def watched(buckets, total):
+        sizes = buckets.groupBy("bucket").agg(F.count("*").alias("m"), F.max("open").alias("any"))
+        dealt.append(sizes.agg(F.sum("m").alias("rows"), F.sum(F.when((F.col("m") > 1) & F.col("any"), F.col("m"))).alias("useful")).first())
+        return whole(buckets, total)
+
+    monkeypatch.setattr(ngram_join, "_sized", watched)
+    assert found(spark, rows) == expected(rows)
+    assert len(dealt) > 1 and all(d.useful >= 0.98 * d.rows for d in dealt[1:])
