@@ -125,6 +125,22 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total:
     return done.unionByName(rest)
 
 
+def join_known(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
+    """rows JOIN groups on a long key, where a few keys may hold most rows: join_groups without the rows that have no group.
+
+    As the sizes add up to `total` at most, a list of the hot keys tells rows apart before any join. So a row meets one
+    join, and only rows with a group come out of it. groups should be a stored table: its hot keys are read first.
+    """
+    least = max(1, int(total * HOT_SHARE))
+    hot = groups.filter(F.col(size) > least)
+    keys = [r[0] for r in hot.select(key).collect()]
+    if not keys:
+        return rows.join(groups, key)
+    is_hot = F.col(key).isin(keys)
+    rest = rows.filter(~is_hot).join(groups.filter(F.col(size) <= least), key)
+    return rows.filter(is_hot).join(F.broadcast(hot), key).unionByName(rest)
+
+
 def screen(rows: DataFrame, key: Column, listed: DataFrame, bits: int) -> DataFrame:
     """rows with `_maybe`: false only where the long `key` is not in `listed` (one long column), so the row needs no join.
 

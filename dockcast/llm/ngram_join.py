@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dockcast.llm.common import join_groups, screen, store, whole_text
+from dockcast.llm.common import join_groups, join_known, screen, store, whole_text
 from dockcast.llm.simhash import connect
 from dockcast.llm.texts import slices, starts_of, words
 
@@ -271,7 +271,7 @@ def _wholes(texts: DataFrame, nodes: DataFrame, wanted: DataFrame, shingle: int)
 def _sized(rows: DataFrame, total: int) -> DataFrame:
     """rows with `m`, the nodes of their bucket; only buckets with two nodes or more and an open one."""
     sizes = rows.groupBy("bucket").agg(F.count("*").alias("m"), F.max("open").alias("_any")).filter("m > 1 AND _any").drop("_any")
-    return join_groups(rows, store(sizes, "join-sizes"), "bucket", "m", total).filter("m IS NOT NULL")
+    return join_known(rows, store(sizes, "join-sizes"), "bucket", "m", total)
 
 
 def _cores(held: DataFrame) -> DataFrame:
@@ -382,7 +382,7 @@ def _halved(held: DataFrame, total: int, percent: int) -> tuple[DataFrame, DataF
     )
     one = ~F.col("closed") | F.col("meets")
     alive = store(flags.filter(F.when(one, F.col("apart")).otherwise(F.col("any"))).select("bucket", one.alias("one"), "_rows"), "join-alive")
-    left = join_groups(marked, alive, "bucket", "_rows", total).filter("one IS NOT NULL")
+    left = join_known(marked, alive, "bucket", "_rows", total)
     largest = F.floor(100 * F.col("n") / percent)
     kept = F.least(F.size("off").cast("long"), differing(F.col("n"), largest, percent) + 1).cast("int")
     open_ = F.col("open") & ~(F.col("sure") & F.col("one"))
@@ -391,11 +391,11 @@ def _halved(held: DataFrame, total: int, percent: int) -> tuple[DataFrame, DataF
 
 
 def _families(shared: DataFrame) -> DataFrame:
-    """Large lists (bucket, gid, m) to (bucket, gid) without repeats: lists with one most central group are one bucket."""
+    """Large lists (bucket, gid) to (bucket, gid) without repeats: lists with one most central group are one bucket."""
     total = shared.count()
     times = shared.groupBy("gid").agg(F.count("*").alias("times"))
-    family = shared.join(times, "gid").groupBy("bucket").agg(F.max(F.struct("times", "gid"))["gid"].alias("family"), F.first("m").alias("_m"))
-    return join_groups(shared.select("bucket", "gid"), family, "bucket", "_m", total).select(F.col("family").alias("bucket"), "gid").distinct()
+    family = shared.join(times, "gid").groupBy("bucket").agg(F.max(F.struct("times", "gid"))["gid"].alias("family"), F.count("*").alias("_rows"))
+    return join_known(shared.select("bucket", "gid"), store(family, "join-families"), "bucket", "_rows", total).select(F.col("family").alias("bucket"), "gid").distinct()
 
 
 def _near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -428,9 +428,10 @@ def links(texts: DataFrame, sets: DataFrame, nodes: DataFrame, shingle: int = SH
         return rows.join(own, column, "left").withColumn(column, F.coalesce("_node", column)).drop("_node")
 
     posted = prefixes.select("gid", "size", "n", F.explode("prefix").alias("bucket"))
-    sizes = posted.groupBy("bucket").agg(F.sum("size").alias("m"), F.count("*").alias("lists")).filter("lists > 1").drop("lists")
-    total = posted.count()
-    shared = store(join_groups(posted, store(sizes, "join-sizes"), "bucket", "m", total).filter("m IS NOT NULL"), "join-shared")
+    sizes = posted.groupBy("bucket").agg(F.sum("size").alias("m"), F.count("*").alias("lists")).filter("lists > 1")
+    total = prefixes.agg(F.sum(F.size("prefix"))).first()[0] or 0
+    # most hashes are in one list alone: their rows should not get as far as a join's output
+    shared = store(join_known(posted, store(sizes, "join-sizes"), "bucket", "lists", total).drop("lists"), "join-shared")
     yes = F.lit(True).alias("open")
     few = shared.filter(F.col("m") <= SMALL).select("bucket", F.col("gid").alias("node"), "n", yes)
     large_lists = store(shared.filter(F.col("m") > SMALL).groupBy("gid").agg(F.count("*").alias("uncounted")), "join-uncounted")
@@ -439,7 +440,7 @@ def links(texts: DataFrame, sets: DataFrame, nodes: DataFrame, shingle: int = SH
     inside = members.filter(F.col("size") <= SMALL).select(F.col("gid").alias("bucket"), "node", "n", yes)
     pairs.append(small_pairs(inside, percent).select("a", "b"))
 
-    many = _families(shared.filter(F.col("m") > SMALL).select("bucket", "gid", "m")).withColumn("node", F.col("gid"))
+    many = _families(shared.filter(F.col("m") > SMALL).select("bucket", "gid")).withColumn("node", F.col("gid"))
     many = expand(many.select("bucket", "node"), "node").unionByName(members.filter(F.col("size") > SMALL).select(F.col("gid").alias("bucket"), "node"))
     at = store(many.distinct().join(nodes.select("node", "n"), "node").select("bucket", "node", "n", yes), "join-buckets")
     sure, bases = [], None

@@ -37,3 +37,15 @@ def test_slices_and_words():
     assert flat.to_pylist() == ["a", "b", "c", "x" * 50, "é\u0085f", "g"] and counts.tolist() == [3, 0, 0, 0, 1, 2]
     assert texts.starts_of(counts).tolist() == [0, 3, 3, 3, 3, 4, 6]
     assert list(texts.slices(iter([]), 0)) == []
+
+
+def test_join_known_keeps_rows_with_a_group_whatever_the_share_of_their_key(spark):
+    keys = [1] * 3000 + [2] * 900 + list(range(10, 300)) * 2 + [5000, 5001, None, None]
+    rows = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k long, i long")
+    sizes = {k: keys.count(k) for k in set(keys) if k is not None and keys.count(k) > 1}
+    for given in (sizes, {k: n for k, n in sizes.items() if n < 4}, {}):
+        groups = spark.createDataFrame(list(given.items()), "k long, m long")
+        out = common.join_known(rows, groups, "k", "m", len(keys))
+        assert out.columns == ["k", "i", "m"]
+        assert sorted(map(tuple, out.collect())) == sorted((k, i, given[k]) for i, k in enumerate(keys) if k in given)
+        assert "LeftOuter" not in out._jdf.queryExecution().optimizedPlan().toString()

@@ -128,3 +128,21 @@ def test_only_hashes_that_connect_something_open_a_bucket(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "_sized", watched)
     assert found(spark, rows) == expected(rows)
     assert len(dealt) > 1 and all(d.useful >= 0.98 * d.rows for d in dealt[1:])
+
+
+def test_joins_on_buckets_make_rows_with_a_partner_only(spark, monkeypatch):
+    """Hashes in one list alone, most of all, leave no join with a large bucket in it as rows."""
+    monkeypatch.setattr(ngram_join, "SMALL", 8)
+    draw, plans, whole = random.Random(5), {}, ngram_join.store
+    text = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(w if draw.random() < 0.97 else f"own{i}" for w in text)) for i in range(60)]
+    rows += [(100 + i, " ".join(f"v{i}_{k}" for k in range(40))) for i in range(40)]
+
+    def watched(df, name):
+        plans.setdefault(name, []).append(df._jdf.queryExecution().optimizedPlan().toString())
+        return whole(df, name)
+
+    monkeypatch.setattr(ngram_join, "store", watched)
+    assert found(spark, rows) == expected(rows)
+    made = plans["join-shared"] + plans["join-sized"]
+    assert len(made) > 2 and not any("LeftOuter" in p for p in made)
