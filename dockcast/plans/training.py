@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import math
 import random
+import threading
 import time
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 from typing import Any
 
 import numpy as np
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
@@ -48,6 +50,7 @@ BRACKET = 9
 RUNG_PARTS = 10_000
 LEAST_RUNG_ROWS = 1_000
 INTERVAL_Z = 1.96
+WEIGHT = "_weight_of_condensed"
 _NOT_RECIPE = ("featuresCol", "labelCol", "predictionCol", "weightCol", "leafCol", "seed", "maxMemoryInMB", "cacheNodeIds", "checkpointInterval")
 SLOT_NON_FEATURES = ("station_id", "t_slot", "slot_label", "generated_from", "y")
 
@@ -68,6 +71,10 @@ MOST_NODE_ID_CELLS, SHALLOW = 1_000_000_000, 10
 _LONG_FITS = ("boosted", "huber", "forest", "tree")
 _INTEGER_PARAMS = ("numTrees", "maxDepth", "maxBins", "maxIter", "minInstancesPerNode")
 _ROUNDS = ("numTrees", "maxIter")
+#: Tables with more features are not condensed: every task sends the driver the square of so many numbers.
+MOST_CONDENSED_FEATURES = 200
+#: Families whose fit depends on the rows by their means and covariances alone.
+_LEAST_SQUARES = ("linear", "ridge", "lasso", "elasticnet")
 _FAMILIES: dict[str, tuple[type, dict[str, Any]]] = {
     "linear": (LinearRegression, {}),
     "ridge": (LinearRegression, {"regParam": 1.0, "elasticNetParam": 0.0}),
@@ -156,6 +163,67 @@ def fit(df: DataFrame, features: Sequence[str], label: str, estimator) -> Pipeli
     return Pipeline(stages=[assembler, estimator.setLabelCol(label)]).fit(dealt(known, cells))
 
 
+def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of doubles to one row of a task: how many, their means, and the sums of products of what they differ by from these."""
+    n, mean, products = 0, None, None
+    for batch in batches:
+        x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+        if len(x):
+            own = x.mean(axis=0)
+            part = (len(x), own, (x - own).T @ (x - own))
+            n, mean, products = part if n == 0 else _joined_moments((n, mean, products), part)
+    if n:
+        yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([mean.tolist()]), pa.array([products.ravel().tolist()])], ["n", "mean", "products"])
+
+
+def _joined_moments(a: tuple, b: tuple) -> tuple:
+    n, off = a[0] + b[0], b[1] - a[1]
+    return n, a[1] + off * (b[0] / n), a[2] + b[2] + np.outer(off, off) * (a[0] * b[0] / n)
+
+
+def condensed(rows: DataFrame, features: Sequence[str], label: str) -> DataFrame | None:
+    """A few weighted rows with the number, means and covariances of all rows with a known target, by one pass over these.
+
+    Least squares with any penalty has the same solution on them, so many tries need not read all rows again. None where
+    that would not be safe: missing values, columns that hardly vary, no rows. A column of one whole number is safe, as its sums are exact.
+    """
+    names = [*features, label]
+    if len(features) > MOST_CONDENSED_FEATURES:
+        return None
+    known = rows.where(F.col(label).isNotNull()).select(*[F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate(names)])
+    found = known.mapInArrow(_moments, "n long, mean array<double>, products array<double>").orderBy("n", "mean").collect()
+    if not found:
+        return None
+    size = len(names)
+    parts = [(r["n"], np.array(r["mean"]), np.array(r["products"]).reshape(size, size)) for r in found]
+    n, mean, products = parts[0]
+    for part in parts[1:]:
+        n, mean, products = _joined_moments((n, mean, products), part)
+    spread = np.sqrt(np.diag(products) / n)
+    if not (np.isfinite(mean).all() and np.isfinite(products).all()):
+        return None
+    constant = (spread == 0) & (mean == np.round(mean)) & (np.abs(mean) < 1 << 20)
+    if not (constant | (spread > 1e-9 * np.maximum(1.0, np.abs(mean)))).all() or constant[-1]:
+        return None
+    scale = np.where(constant, 1.0, spread)
+    values, vectors = np.linalg.eigh(products / n / np.outer(scale, scale))
+    root = np.sqrt(np.maximum(values, 0))[:, None] * vectors.T
+    # orthonormal columns that are orthogonal to a column of ones: a reflection that takes the first axis to it
+    m = 1 << size.bit_length()
+    axis = np.full(m, m**-0.5)
+    axis[0] -= 1
+    turn = np.eye(m) - 2 * np.outer(axis, axis) / (axis @ axis)
+    points = mean + m**0.5 * (turn[:, 1 : size + 1] @ root) * spread
+    schema = ", ".join(f"`{c}` double" for c in names) + f", {WEIGHT} double"
+    return rows.sparkSession.createDataFrame([(*p, n / m) for p in points.tolist()], schema).coalesce(1)
+
+
+def fit_condensed(points: DataFrame, features: Sequence[str], label: str, estimator) -> PipelineModel:
+    """A least squares fit on condensed rows."""
+    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
+    return Pipeline(stages=[assembler, estimator.setLabelCol(label).setWeightCol(WEIGHT)]).fit(points)
+
+
 def expected_features(model: PipelineModel) -> list[str]:
     return model.stages[0].getInputCols()
 
@@ -307,14 +375,33 @@ def in_parallel(work: Callable[[Any], Any], items: Sequence[Any], width: int = P
         return list(pool.map(inheritable_thread_target(SparkSession.active())(work), items))
 
 
+class Past:
+    """The rows that several fits learn from; those of least squares share one pass over them."""
+
+    def __init__(self, rows: DataFrame):
+        self.rows, self._lock, self._condensed = rows, threading.Lock(), []
+
+    def condensed(self, features: Sequence[str], label: str) -> DataFrame | None:
+        with self._lock:
+            if not self._condensed:
+                self._condensed.append(condensed(self.rows, features, label))
+            return self._condensed[0]
+
+    def fit(self, features: Sequence[str], label: str, family: str, estimator) -> PipelineModel:
+        few = self.condensed(features, label) if family in _LEAST_SQUARES else None
+        return fit(self.rows, features, label, estimator) if few is None else fit_condensed(few, features, label, estimator)
+
+
 def _scored(
-    past: DataFrame, after: DataFrame, fold: str, features: Sequence[str], label: str, family: str, params: Mapping[str, Any], seed: int,
+    past: DataFrame | Past, after: DataFrame, fold: str, features: Sequence[str], label: str, family: str, params: Mapping[str, Any], seed: int,
     ledger: Ledger | None, lower: float | None = None,
 ) -> Mapping[str, float]:
     """Scores of one fit, from the ledger if it has them."""
 
     def work() -> Mapping[str, float]:
-        return evaluate(fit(past, features, label, build_estimator(family, params, seed)), after, label, lower=lower).first().asDict()
+        estimator = build_estimator(family, params, seed)
+        model = past.fit(features, label, family, estimator) if isinstance(past, Past) else fit(past, features, label, estimator)
+        return evaluate(model, after, label, lower=lower).first().asDict()
 
     if ledger is not None:
         return ledger.measure(family, params, fold, features, seed, work)
@@ -326,12 +413,17 @@ def _means_over_folds(
     rows: DataFrame, ts: str, folds: Folds, features: Sequence[str], label: str, candidates: Sequence[tuple[str, Mapping[str, Any]]], seed: int,
     ledger: Ledger | None = None,
 ) -> list[Trial]:
-    """Fit every candidate on each fold's past, score on what follows it, and average the folds. All those fits run side by side, long ones first."""
+    """Fit every candidate on each fold's past, score on what follows it, and average the folds. All those fits run side by side, long ones first.
+
+    A fold's least squares fits share one pass over its past.
+    """
+    parts = {fold: fold_parts(rows, ts, *fold[1:]) for fold in folds}
+    pasts = {fold: Past(past) for fold, (past, _) in parts.items()}
 
     def score(item: tuple[int, tuple[int, datetime, datetime]]) -> Mapping[str, float]:
         (family, params), (_, train_end, val_end) = candidates[item[0]], item[1]
-        past, after = fold_parts(rows, ts, train_end, val_end)
-        return _scored(past, after, f"{train_end.isoformat()}/{val_end.isoformat()}", features, label, family, params, seed, ledger)
+        name = f"{train_end.isoformat()}/{val_end.isoformat()}"
+        return _scored(pasts[item[1]], parts[item[1]][1], name, features, label, family, params, seed, ledger)
 
     length = {family: -i for i, family in enumerate(reversed(_LONG_FITS), start=1)}
     items = sorted(((i, fold) for i in range(len(candidates)) for fold in folds), key=lambda x: length.get(candidates[x[0]][0], 0))

@@ -305,3 +305,34 @@ def test_boosting_keeps_no_node_ids_of_shallow_trees(rows):
     few = rows.limit(300)
     fits = [training.fit(few, FEATURES, Y, training.build_estimator("boosted", {"maxIter": 3, "cacheNodeIds": k})).stages[-1].toDebugString for k in (True, False)]
     assert fits[0].split("\n")[1:] == fits[1].split("\n")[1:]
+
+
+def test_least_squares_tries_share_one_pass_over_a_fold(spark, rows, monkeypatch):
+    """A try of a linear family is no fit over all rows, and gives what that fit gives."""
+    folds = split.fold_cuts(rows, TS, n_splits=2)
+    tries = [(f, p) for f in ("linear", "ridge", "lasso", "elasticnet") for p in ({}, {"regParam": 0.02})]
+    alone = [training._means_over_folds(rows, TS, folds, FEATURES, Y, [t], 1)[0] for t in [("tree", {})]]
+    expected = []
+    for family, params in tries:
+        each = []
+        for _, train_end, val_end in folds:
+            past, after = training.fold_parts(rows, TS, train_end, val_end)
+            each.append(training.evaluate(training.fit(past, FEATURES, Y, training.build_estimator(family, params)), after, Y).first()["rmse"])
+        expected.append(float(np.mean(each)))
+    fits, whole = [], training.fit
+    monkeypatch.setattr(training, "fit", lambda df, features, label, estimator: fits.append(estimator) or whole(df, features, label, estimator))
+    got = training._means_over_folds(rows, TS, folds, FEATURES, Y, [*tries, ("tree", {})], 1)
+    assert len(fits) == len(folds) and np.allclose([t.rmse for t in got], [*expected, alone[0].rmse], rtol=1e-9)
+
+
+def test_condensed_rows_give_the_same_solution_or_are_refused(spark):
+    draw = np.random.default_rng(2)
+    table = [(float(a), float(b), 7.0, 3 * a - b + c if i % 9 else None) for i, (a, b, c) in enumerate(draw.normal(5, 2, (300, 3)).tolist() * 2)]
+    df = spark.createDataFrame(table, "a double, b double, c double, y double").repartition(5)
+    for family, params in [("linear", {}), ("ridge", {"regParam": 2.0}), ("lasso", {"regParam": 0.3}), ("elasticnet", {"regParam": 0.2, "elasticNetParam": 0.3})]:
+        full = training.fit(df, ["a", "b", "c"], "y", training.build_estimator(family, params)).stages[-1]
+        few = training.fit_condensed(training.condensed(df, ["a", "b", "c"], "y"), ["a", "b", "c"], "y", training.build_estimator(family, params)).stages[-1]
+        assert np.allclose([*few.coefficients, few.intercept], [*full.coefficients, full.intercept], rtol=1e-8, atol=1e-10)
+    odd = {"a null": df.withColumn("a", F.when(F.col("a") > 5, F.col("a"))), "c broken": df.withColumn("c", F.lit(0.1)), "y constant": df.withColumn("y", F.lit(2.0)),
+           "none": df.limit(0), "no target": df.withColumn("y", F.lit(None).cast("double")), "a NaN": df.withColumn("a", F.lit(float("nan")))}
+    assert {k for k, v in odd.items() if training.condensed(v, ["a", "b", "c"], "y") is not None} == set()
