@@ -150,12 +150,13 @@ def dealt_for_scoring(df: DataFrame, model: PipelineModel, times: int = 1) -> Da
 
 
 def fit(df: DataFrame, features: Sequence[str], label: str, estimator) -> PipelineModel:
-    """Fit on the rows with a known target. The feature list lives in the model's first stage.
+    """Fit on the rows with a known target, weighted if the estimator says so. The feature list lives in the model's first stage.
 
     A fit goes over its rows once per level or step, so they are dealt to tasks by what a task has to hold of them, not by the files they come from.
     """
     assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
-    known = df.where(F.col(label).isNotNull()).withColumn(label, F.col(label).cast("double")).select(*features, label)
+    known = df.where(F.col(label).isNotNull()).withColumn(label, F.col(label).cast("double"))
+    known = known.select(*features, label, *([estimator.getWeightCol()] if estimator.hasParam("weightCol") and estimator.isSet("weightCol") else []))
     trees = _trees(estimator)
     cells = known.count() * max(trees, LEAST_TREES)
     if trees > 1 and cells > MOST_NODE_ID_CELLS and estimator.getMaxDepth() <= SHALLOW:
@@ -220,8 +221,7 @@ def condensed(rows: DataFrame, features: Sequence[str], label: str) -> DataFrame
 
 def fit_condensed(points: DataFrame, features: Sequence[str], label: str, estimator) -> PipelineModel:
     """A least squares fit on condensed rows."""
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
-    return Pipeline(stages=[assembler, estimator.setLabelCol(label).setWeightCol(WEIGHT)]).fit(points)
+    return fit(points, features, label, estimator.copy().setWeightCol(WEIGHT))
 
 
 def expected_features(model: PipelineModel) -> list[str]:
